@@ -49,10 +49,22 @@ def encode_vector(
     return grouped.select(*keys, (F.to_json(vector) if as_json else vector).alias(out))
 
 
-def pixels_to_array(features: DataFrame, size: int, as_json: bool = False) -> DataFrame:
-    """Feature rows to one vector per sample, gaps filled by index."""
+def sum_repeats(features: DataFrame) -> DataFrame:
+    """Add up repeated (sample_id, idx) rows, map-side first."""
+    return features.groupBy("sample_id", "idx").agg(F.sum("value").alias("value"))
+
+
+def pixels_to_array(
+    features: DataFrame, size: int, as_json: bool = False, unique: bool = False
+) -> DataFrame:
+    """Feature rows to one vector per sample, gaps filled by index.
+
+    Repeated elements are summed before a vector is gathered, so that no group outgrows ``size``;
+    ``unique`` says that there are none and saves the shuffle.
+    """
     inside = features.filter(F.col("idx").between(0, size - 1))
-    return encode_vector(inside, ["sample_id"], size, as_json, out="x")
+    rows = inside if unique else sum_repeats(inside)
+    return encode_vector(rows, ["sample_id"], size, as_json, out="x")
 
 
 def explode_weights(weights: DataFrame, vector: str = "weights") -> DataFrame:

@@ -98,20 +98,28 @@ def score_against_truth(labels: DataFrame, predictions: DataFrame, ordered: bool
 
 
 def prediction_parity(ours: DataFrame, theirs: DataFrame) -> DataFrame:
-    """Two scored sets side by side, for samples that both hold with the same label."""
+    """Two scored sets side by side, for samples that both hold with the same label.
+
+    Joined on the id alone, so inputs already partitioned by it need no further shuffle.
+    """
 
     def side(df: DataFrame, tag: str) -> DataFrame:
         return df.select(
             "sample_id",
-            "true_label",
+            F.col("true_label").alias(f"{tag}_label"),
             F.col("prediction").alias(f"{tag}_prediction"),
             F.col("logit").alias(f"{tag}_logit"),
         )
 
-    joined = side(ours, "ours").join(side(theirs, "theirs"), ["sample_id", "true_label"])
-    label = F.col("true_label")
-    return joined.select(
-        "*",
+    joined = side(ours, "ours").join(side(theirs, "theirs"), "sample_id")
+    label = F.col("ours_label")
+    return joined.filter(label == F.col("theirs_label")).select(
+        "sample_id",
+        label.alias("true_label"),
+        "ours_prediction",
+        "ours_logit",
+        "theirs_prediction",
+        "theirs_logit",
         flag(F.col("ours_prediction") == F.col("theirs_prediction")).alias("predictions_match"),
         F.abs(F.col("ours_logit") - F.col("theirs_logit")).alias("logit_diff"),
         flag(F.col("ours_prediction") == label).alias("ours_correct"),

@@ -1,4 +1,4 @@
-"""Whole-network scoring, with three physical plans behind one call."""
+"""Whole-network scoring, with several physical plans behind one call."""
 
 from __future__ import annotations
 
@@ -8,16 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabgrad.functions.arrays import argmax_array, dense_forward, softmax_array
-from tabgrad.operators.codec import pixels_to_array
+from tabgrad.operators.codec import pixels_to_array, sum_repeats
 from tabgrad.operators.layers import PACK_WIDTH, linear, linear_packed, pack_by_input, relu
 from tabgrad.plans.kernels import place_entries, run_layers, to_lists, to_matrix
-from tabgrad.plans.model import Model
+from tabgrad.plans.model import DENSE_BYTES, Model
 
-STRATEGIES = ("arrow", "dense", "relational")
+def choose_row_strategy(model: Model) -> str:
+    """Matrix kernels for rows that carry a feature array, if every task can hold the model."""
+    if not model.fits_in_task():
+        raise ValueError("the model exceeds the limit of row scoring; use forward() on feature rows")
+    return "arrow"
 
 
 def choose_strategy(model: Model) -> str:
-    """Matrix kernels when every task can hold the model, joins otherwise."""
+    """Plan for feature rows: one joined layer and kernels for the rest, where that is possible."""
+    tail_bytes = 8 * sum(i * o + o for i, o in zip(model.layers[1:], model.layers[2:]))
+    if model.layers[1] <= PACK_WIDTH and tail_bytes <= DENSE_BYTES:
+        return "hybrid"
     return "arrow" if model.fits_in_task() else "relational"
 
 
@@ -29,7 +36,7 @@ def score(
     ``arrow`` multiplies Arrow batches with numpy; ``dense`` is one JVM expression without Python
     workers.
     """
-    strategy = choose_strategy(model) if strategy == "auto" else strategy
+    strategy = choose_row_strategy(model) if strategy == "auto" else strategy
     if strategy == "arrow":
         # The second argument keeps the optimizer from inlining a lambda expression that produces
         # the features into the UDF call, which Spark then fails to evaluate.
@@ -69,10 +76,14 @@ def _entries_udf(model: Model, result, return_type: str):
     return run
 
 
-def gather_entries(features: DataFrame) -> DataFrame:
-    """``(sample_id, entries)``: the elements of each sample, in any order."""
+def gather_entries(features: DataFrame, unique: bool = False) -> DataFrame:
+    """``(sample_id, entries)``: the elements of each sample, in any order.
+
+    Repeats are summed first, so a group never exceeds the width of the input layer.
+    """
+    rows = features if unique else sum_repeats(features)
     entries = F.collect_list(F.struct("idx", "value")).alias("entries")
-    return features.groupBy("sample_id").agg(entries)
+    return rows.groupBy("sample_id").agg(entries)
 
 
 def score_predictions(
@@ -94,28 +105,32 @@ def explode_logits(df: DataFrame, logits: str = "logits") -> DataFrame:
     return df.select("sample_id", F.posexplode_outer(logits).alias("class_idx", "logit"))
 
 
-def forward(features: DataFrame, model: Model, strategy: str = "auto") -> DataFrame:
+def forward(
+    features: DataFrame, model: Model, strategy: str = "auto", unique: bool = False
+) -> DataFrame:
     """``(sample_id, class_idx, logit)`` from feature rows, for any number of layers.
 
-    ``relational`` joins and aggregates every layer. ``sparse`` does so for the first layer only,
-    touching just the elements that exist, and runs the rest on one array per sample. ``arrow`` and
-    ``dense`` gather each sample's vector first, so its length is bounded by the input layer.
+    ``hybrid`` joins and aggregates the first layer and runs the rest on one short array per sample:
+    one shuffle that carries sums combined map-side instead of elements. ``relational`` joins and
+    aggregates every layer. ``arrow`` and ``dense`` gather each sample's vector first; ``unique``
+    says that no (sample_id, idx) occurs twice, which saves them a shuffle.
     """
     strategy = choose_strategy(model) if strategy == "auto" else strategy
     if strategy == "relational":
         last = layer_states(features, model)[-1]
         return last.select("sample_id", F.col("idx").alias("class_idx"), F.col("z").alias("logit"))
-    if strategy == "sparse":
+    if strategy == "hybrid":
         first = model.layers[1]
         units = pack_by_input(model.layer_params(1), first)
         return forward_from_units(features, units, model.layer_biases(1), tail_of(model), model.layers[0])
     inside = features.filter(F.col("idx").between(0, model.layers[0] - 1))
     if strategy == "arrow":
         logits = _entries_udf(model, lambda inputs, pre: to_lists(pre[-1]), "array<double>")
-        scored = gather_entries(inside).withColumn("logits", logits("entries.idx", "entries.value"))
+        scored = gather_entries(inside, unique).withColumn("logits", logits("entries.idx", "entries.value"))
         return explode_logits(scored)
     if strategy == "dense":
-        return explode_logits(score(pixels_to_array(inside, model.layers[0]), model, strategy="dense"))
+        vectors = pixels_to_array(inside, model.layers[0], unique=unique)
+        return explode_logits(score(vectors, model, strategy="dense"))
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
@@ -165,7 +180,11 @@ def layer_states(features: DataFrame, model: Model) -> list[DataFrame]:
 
 
 def layer_outputs(
-    features: DataFrame, model: Model, layer: int | None = None, first: int | None = None
+    features: DataFrame,
+    model: Model,
+    layer: int | None = None,
+    first: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Hidden activations ``(sample_id, layer, idx, value)``, of one layer or all, optionally idx < first."""
     hidden = range(1, model.n_layers) if layer is None else [layer]
@@ -181,7 +200,7 @@ def layer_outputs(
 
     inside = features.filter(F.col("idx").between(0, model.layers[0] - 1))
     values = _entries_udf(model, activations, "array<array<double>>")
-    vectors = gather_entries(inside).withColumn("_layers", values("entries.idx", "entries.value"))
+    vectors = gather_entries(inside, unique).withColumn("_layers", values("entries.idx", "entries.value"))
     rows = (
         vectors.select("sample_id", F.posexplode_outer("_layers").alias("_k", "_values"))
         .select("sample_id", "_k", F.posexplode("_values").alias("idx", "value"))

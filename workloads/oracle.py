@@ -301,7 +301,7 @@ ORACLE["argmax_prob"] = with_(
     select="""select b.sample_id, b.prediction, round(p.probability, 6) as confidence
 from best b join probs p on b.sample_id = p.sample_id and b.prediction = p.class_idx""",
 )
-for _name in ("forward_pass", "forward_pass_relational", "forward_pass_dense"):
+for _name in ("forward_pass", "forward_pass_relational", "forward_pass_arrow", "forward_pass_dense"):
     ORACLE[_name] = with_(VECTOR_FORWARD, select="select * from logits")
 ORACLE["forward_pass_small"] = with_(SMALL_FORWARD, select="select * from logits")
 ORACLE["forward_pass_sparse"] = with_(
@@ -512,26 +512,24 @@ ORACLE["shuffle_samples"] = (
     f"select o_orderkey as sample_id, cast((row_number() over (order by {order_key('o_orderkey', SEED, 3)}, o_orderkey) - 1) // 32 as int) as batch_num from orders"
 )
 
-LR, MOMENTUM, EPOCHS, BATCHES = 0.125, 0.5, 2, 2
 
-
-def _training() -> str:
+def _training(lr: float, momentum: float, epochs: int, n_batches: int) -> str:
     """The loop unrolled: params_s0 are the start, step s turns params_s{s} into params_s{s+1}."""
     ctes = [
         X,
         TRUTH,
         params(t.SMALL_LAYERS, tag="_s0"),
-        "batches as (select sample_id, (row_number() over (order by sample_id) - 1) // ((count(*) over () + 1) // 2) as batch_num from truth)",
+        f"batches as (select sample_id, (row_number() over (order by sample_id) - 1) // ((count(*) over () + {n_batches - 1}) // {n_batches}) as batch_num from truth)",
     ]
-    for b in range(BATCHES):
+    for b in range(n_batches):
         ctes.append(
             f"x_b{b} as (select x.* from x join batches b on x.sample_id = b.sample_id and batch_num = {b})"
         )
         ctes.append(
             f"truth_b{b} as (select t.* from truth t join batches b on t.sample_id = b.sample_id and batch_num = {b})"
         )
-    for s in range(EPOCHS * BATCHES):
-        b = s % BATCHES
+    for s in range(epochs * n_batches):
+        b = s % n_batches
         tag, new = f"_s{s}", f"_s{s + 1}"
         ctes.append(step(2, f"x_b{b}", f"truth_b{b}", tag))
         for table, grad, value, keys in (
@@ -543,21 +541,21 @@ def _training() -> str:
             old = "p.v" if s else "0"
             ctes.append(
                 f"{table}{new} as (select p.layer, {', '.join('p.' + k for k in keys)}, "
-                f"p.{value} - {LR}::double * ({MOMENTUM}::double * {old} + coalesce(d.grad, 0)) as {value}, "
-                f"{MOMENTUM}::double * {old} + coalesce(d.grad, 0) as v "
+                f"p.{value} - {lr}::double * ({momentum}::double * {old} + coalesce(d.grad, 0)) as {value}, "
+                f"{momentum}::double * {old} + coalesce(d.grad, 0) as v "
                 f"from {table}{tag} p left join ({grads}) d on p.layer = d.layer and {on})"
             )
-    for epoch in range(1, EPOCHS + 1):
+    for epoch in range(1, epochs + 1):
         tag = f"_v{epoch}"
-        ctes.append(forward(2, "x", tag, f"_s{epoch * BATCHES}"))
+        ctes.append(forward(2, "x", tag, f"_s{epoch * n_batches}"))
         ctes.append(softmax(tag))
         ctes.append(evaluate("truth", tag))
     steps = " union all ".join(
-        f"select {s // BATCHES + 1} as epoch, * from metrics_s{s}" for s in range(EPOCHS * BATCHES)
+        f"select {s // n_batches + 1} as epoch, * from metrics_s{s}" for s in range(epochs * n_batches)
     )
     checks = " union all ".join(
         f"select {e} as epoch, loss as val_loss, accuracy as val_accuracy from metrics_v{e}"
-        for e in range(1, EPOCHS + 1)
+        for e in range(1, epochs + 1)
     )
     ctes.append(f"steps as ({steps})")
     ctes.append(f"checks as ({checks})")
@@ -571,7 +569,7 @@ history as (select e.*, val_loss, val_accuracy from epochs e left join checks c
     return ",\n".join(ctes).replace(" as (", " as materialized (")
 
 
-_TRAINING = _training()
+_TRAINING = _training(0.125, 0.5, epochs=2, n_batches=2)
 _MEASURES = ("train_loss", "train_accuracy", "weighted_loss", "weighted_accuracy")
 ORACLE["fit"] = with_(_TRAINING, select=f"select epoch, {r6(*_MEASURES, 'val_loss', 'val_accuracy')} from history")
 ORACLE["epoch_metrics"] = with_(_TRAINING, select=f"select epoch, {r6(*_MEASURES)} from epochs")
@@ -593,6 +591,16 @@ ORACLE["history_summary"] = with_(
 from history""",
 )
 
+ORACLE["early_stopping"] = with_(
+    _training(1.5, 0.9, epochs=6, n_batches=1),
+    """marked as (
+  select epoch, val_loss,
+         val_loss >= min(val_loss) over (order by epoch rows between unbounded preceding and 1 preceding) as worse
+  from history)""",
+    select="""select epoch, round(val_loss, 6) as val_loss from marked
+where epoch <= coalesce((select min(epoch) from marked where worse), 6)""",
+)
+
 # Metrics and parity
 
 LOSSES = "losses as (select t.sample_id, -ln(greatest(p.probability, 1e-10)) as loss from probs p join truth t on p.sample_id = t.sample_id and p.class_idx = t.true_label)"

@@ -118,7 +118,7 @@ def query_encode_vector(spark, sf):
 @query("pixels_to_array")
 def query_pixels_to_array(spark, sf):
     present = t.vector_features(spark, sf).filter("value <> 0")
-    vectors = codec.pixels_to_array(present, t.VECTOR_LAYERS[0])
+    vectors = codec.pixels_to_array(present, t.VECTOR_LAYERS[0], unique=True)
     return vectors.select("sample_id", whole_numbers("x").alias("x"))
 
 
@@ -337,9 +337,14 @@ def query_forward_pass_relational(spark, sf):
     return forward(t.vector_features(spark, sf), vector_model(spark), "relational")
 
 
+@query("forward_pass_arrow")
+def query_forward_pass_arrow(spark, sf):
+    return forward(t.vector_features(spark, sf), vector_model(spark), "arrow", unique=True)
+
+
 @query("forward_pass_dense")
 def query_forward_pass_dense(spark, sf):
-    return forward(t.vector_features(spark, sf), vector_model(spark), "dense")
+    return forward(t.vector_features(spark, sf), vector_model(spark), "dense", unique=True)
 
 
 @query("forward_pass_sparse")
@@ -372,7 +377,7 @@ def query_predictions(spark, sf):
 
 @query("layer_outputs")
 def query_layer_outputs(spark, sf):
-    return layer_outputs(t.vector_features(spark, sf), vector_model(spark))
+    return layer_outputs(t.vector_features(spark, sf), vector_model(spark), unique=True)
 
 
 
@@ -594,9 +599,11 @@ def query_validate_every(spark, sf):
 
 @query("early_stopping")
 def query_early_stopping(spark, sf):
-    """A step so long that the loss soon rises, with at most one fruitless validation allowed."""
-    result = _fit(spark, sf, epochs=6, lr=8.0, early_stopping=1)
-    return result.history.select("epoch", "val_loss")
+    """Whole-table batches with a step long enough that the loss rises again and ends the run."""
+    n = t.table(spark, sf, "embeddings").count()
+    options = {"epochs": 6, "batch_size": n, "lr": 1.5, "momentum": 0.9, "early_stopping": 1}
+    history = _fit(spark, sf, **options).history
+    return history.select("epoch", r6("val_loss"))
 
 
 @query("history_summary")
