@@ -157,19 +157,24 @@ def forward_from_units(
     return explode_logits(score(hidden.select("sample_id", active.alias("x")), tail))
 
 
+def layer_pre(x: DataFrame, model: Model, layer: int) -> DataFrame:
+    """``(sample_id, idx, z)`` of one layer from the rows that feed it."""
+    width = model.layers[layer]
+    return linear(
+        x.select("sample_id", "idx", "value"),
+        model.layer_params(layer),
+        model.layer_biases(layer),
+        width if width <= PACK_WIDTH else None,
+        model.layers[layer - 1],
+    )
+
+
 def layer_states(features: DataFrame, model: Model) -> list[DataFrame]:
     """Per layer ``(sample_id, idx, value, z)``; the last layer's value is its raw logit."""
     states = []
     x = features
     for layer in range(1, model.n_layers + 1):
-        width = model.layers[layer]
-        pre = linear(
-            x.select("sample_id", "idx", "value"),
-            model.layer_params(layer),
-            model.layer_biases(layer),
-            width if width <= PACK_WIDTH else None,
-            model.layers[layer - 1],
-        )
+        pre = layer_pre(x, model, layer)
         if layer < model.n_layers:
             state = relu(pre)
         else:

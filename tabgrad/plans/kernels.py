@@ -92,6 +92,16 @@ def gradient_sums(
     return np.concatenate(parts[::-1]), loss, correct
 
 
+def hidden_deltas(z: np.ndarray, labels: np.ndarray, tail: Matrices) -> np.ndarray:
+    """Gradient with respect to ``z``, the pre-activations that feed the layers ``tail`` through ReLU."""
+    _, pre = run_layers(np.maximum(z, 0.0), tail)
+    delta = softmax_rows(pre[-1])
+    delta[np.arange(len(labels)), labels] -= 1.0
+    for layer in range(len(tail) - 1, 0, -1):
+        delta = np.where(pre[layer - 1] > 0, delta @ tail[layer][0], 0.0)
+    return np.where(z > 0, delta @ tail[0][0], 0.0)
+
+
 def partial_gradients(
     batches: Iterator[pa.RecordBatch], matrices: Matrices, block_size: int
 ) -> Iterator[pa.RecordBatch]:

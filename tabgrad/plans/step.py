@@ -20,12 +20,27 @@ from tabgrad.operators.gradients import (
     relu_backward,
     weight_gradient,
 )
-from tabgrad.operators.layers import PACK_WIDTH, softmax
+from tabgrad.operators.layers import (
+    PACK_WIDTH,
+    linear_packed,
+    pack_by_input,
+    relu,
+    softmax,
+    weighted_sums,
+)
 from tabgrad.operators.metrics import loss_and_accuracy, score_samples
 from tabgrad.operators.optim import update_biases, update_weights
 from tabgrad.operators.tagged import tagged_union
-from tabgrad.plans.forward import layer_states
-from tabgrad.plans.kernels import GRADIENT_SCHEMA, Matrices, partial_gradients, sum_blocks
+from tabgrad.plans.forward import broadcast_matrices, choose_strategy, layer_pre, tail_of
+from tabgrad.plans.kernels import (
+    GRADIENT_SCHEMA,
+    Matrices,
+    hidden_deltas,
+    partial_gradients,
+    sum_blocks,
+    to_lists,
+    to_matrix,
+)
 from tabgrad.plans.model import Model
 from tabgrad.sources.store import materialize
 
@@ -45,39 +60,38 @@ def _packed(width: int) -> int | None:
     return width if width <= PACK_WIDTH else None
 
 
+def with_features(labels: DataFrame, features: DataFrame) -> DataFrame:
+    """Labels of samples that have features, which are the samples of the batch."""
+    return labels.join(features.select("sample_id").distinct(), "sample_id", "left_semi")
+
+
 def relational_step(features: DataFrame, labels: DataFrame, model: Model) -> Step:
     """Forward and backward pass as joins and aggregations; nothing reaches the driver.
 
-    The forward states are written once, since every gradient below reads them again.
+    States and gradients of a layer are read more than once, so each is written once.
     """
-    labels = labels.join(features.select("sample_id").distinct(), "sample_id", "left_semi")
-    rows = [
-        state.select(F.lit(layer).alias("layer"), "sample_id", "idx", "value", "z")
-        for layer, state in enumerate(layer_states(features, model), start=1)
-    ]
-    states = materialize(reduce(DataFrame.unionByName, rows), "states", ["layer"])
-
-    def state_of(layer: int) -> DataFrame:
-        return states.filter(F.col("layer") == layer).drop("layer")
-
-    logits = state_of(model.n_layers).select(
-        "sample_id", F.col("idx").alias("class_idx"), F.col("z").alias("logit")
-    )
+    labels = with_features(labels, features)
+    inputs, x = [features], features
+    for layer in range(1, model.n_layers + 1):
+        pre = layer_pre(x, model, layer)
+        x = materialize(relu(pre) if layer < model.n_layers else pre, f"state{layer}")
+        inputs.append(x)
+    logits = x.select("sample_id", F.col("idx").alias("class_idx"), F.col("z").alias("logit"))
     probabilities = softmax(logits)
     n = batch_count(labels).scalar()
-    grad = output_gradient(probabilities, labels)
+    grad = materialize(output_gradient(probabilities, labels), "gradient")
     weight_parts, bias_parts = [], []
     for layer in range(model.n_layers, 0, -1):
-        inputs = features if layer == 1 else state_of(layer - 1)
         width = model.layers[layer]
         tag = F.lit(layer).alias("layer")
-        weight_parts.append(weight_gradient(grad, inputs, n, _packed(width)).select(tag, "*"))
+        parts = weight_gradient(grad, inputs[layer - 1], n, _packed(width))
+        weight_parts.append(parts.select(tag, "*"))
         bias_parts.append(bias_gradient(grad, n).select(tag, "*"))
         if layer > 1:
             passed = backprop_linear(
                 grad, model.layer_params(layer), model.layers[layer - 1], width
             )
-            grad = relu_backward(passed, state_of(layer - 1))
+            grad = materialize(relu_backward(passed, inputs[layer - 1]), "gradient")
     return Step(
         reduce(DataFrame.unionByName, weight_parts[::-1]),
         reduce(DataFrame.unionByName, bias_parts[::-1]),
@@ -85,6 +99,65 @@ def relational_step(features: DataFrame, labels: DataFrame, model: Model) -> Ste
     )
 
 
+def hybrid_step(
+    features: DataFrame,
+    labels: DataFrame,
+    units: DataFrame,
+    bias: DataFrame,
+    tail: Model,
+    n_inputs: int | None = None,
+) -> Step:
+    """A step for feature rows: joins for the first layer, matrix kernels for the layers after it.
+
+    ``units`` is the first layer packed by input, ``(input_idx, ws)``, and may be larger than any
+    task. Work follows the elements that exist. First-layer gradients come only for inputs seen.
+    """
+    width = tail.layers[0]
+    hidden = linear_packed(features, units, bias, width, n_inputs).join(labels, "sample_id")
+    hidden = materialize(hidden.select("sample_id", "z", "true_label"), "hidden")
+    active = F.transform("z", lambda z: F.greatest(F.lit(0.0), z))
+    rest = arrow_step(hidden.select(active.alias("x"), "true_label"), tail)
+    matrices = broadcast_matrices(tail)
+
+    @F.arrow_udf("array<double>")
+    def deltas(z: pa.Array, label: pa.Array) -> pa.Array:
+        return to_lists(hidden_deltas(to_matrix(z, width), np.asarray(label), matrices.value))
+
+    per_sample = hidden.select("sample_id", deltas("z", "true_label").alias("ws"))
+    n = batch_count(hidden).scalar()
+    rows = features.select("sample_id", F.col("idx").alias("input_idx"), "value")
+    sums = weighted_sums(rows, per_sample, "sample_id", "input_idx", width)
+    first = F.lit(1).alias("layer")
+    weight_grads = sums.select(
+        first, "input_idx", F.posexplode("sums").alias("output_idx", "_sum")
+    ).select("layer", "output_idx", "input_idx", (F.col("_sum") / n).alias("grad"))
+    bias_sums = ", ".join(f"sum(ws[{k}])" for k in range(width))
+    bias_grads = (
+        per_sample.agg(F.expr(f"array({bias_sums})").alias("sums"))
+        .select(first, F.posexplode_outer("sums").alias("output_idx", "_sum"))
+        .select("layer", "output_idx", (F.col("_sum") / n).alias("grad"))
+    )
+    shift = (F.col("layer") + 1).alias("layer")
+    return Step(
+        weight_grads.unionByName(rest.weight_grads.select(shift, "output_idx", "input_idx", "grad")),
+        bias_grads.unionByName(rest.bias_grads.select(shift, "output_idx", "grad")),
+        rest.metrics,
+    )
+
+
+def train_step(features: DataFrame, labels: DataFrame, model: Model, strategy: str = "auto") -> Step:
+    """One step from feature rows: ``hybrid`` where the model allows it, else ``relational``."""
+    if strategy == "auto":
+        strategy = "hybrid" if choose_strategy(model) == "hybrid" else "relational"
+    if strategy == "relational":
+        return relational_step(features, labels, model)
+    if strategy != "hybrid":
+        raise ValueError(f"unknown step strategy {strategy!r}")
+    units = pack_by_input(model.layer_params(1), model.layers[1])
+    bias = model.layer_biases(1)
+    return hybrid_step(features, labels, units, bias, tail_of(model), model.layers[0])
+
+
 def gradient_blocks(rows: DataFrame, model_matrices, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Summed gradient of ``(x, true_label)`` rows, as one row per block of parameters.
 

@@ -479,8 +479,24 @@ def updated_select(n_layers: int, lr: float) -> str:
 ORACLE["train_step_array"] = with_(
     X, params(t.VECTOR_LAYERS), TRUTH, step(3, "x", "truth"), select=updated_select(3, 0.01)
 )
-ORACLE["train_step_long"] = with_(
-    X, params(t.VECTOR_LAYERS), TRUTH, step(3, "x", "truth"), select=gradient_select(3)
+for _name in ("train_step_long", "train_step_relational"):
+    ORACLE[_name] = with_(
+        X, params(t.VECTOR_LAYERS), TRUTH, step(3, "x", "truth"), select=gradient_select(3)
+    )
+ORACLE["train_step_sparse"] = with_(
+    BASKET_X,
+    ORDER_TRUTH.replace("from orders", "from orders where o_orderkey in (select l_orderkey from lineitem)"),
+    f"tail_{params(t.BASKET_TAIL).replace(chr(10) + 'biases as', chr(10) + 'tail_biases as')}",
+    """params as (
+  select 1 as layer, o.range as output_idx, p_partkey as input_idx,
+         cast((o.range * 7919 + p_partkey * 104729 + 1000003) % 257 - 128 as double) / 128 as w
+  from part, range(16) o
+  union all select layer + 1, output_idx, input_idx, w from tail_params),
+biases as (
+  select 1 as layer, range as output_idx, cast((31 + range * 17) % 33 - 16 as double) / 64 as b from range(16)
+  union all select layer + 1, output_idx, b from tail_biases)""",
+    step(3, "x", "truth"),
+    select=gradient_select(3),
 )
 ORACLE["train_step_small"] = with_(
     X, params(t.SMALL_LAYERS), TRUTH, step(2, "x", "truth"), select=gradient_select(2)

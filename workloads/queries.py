@@ -13,7 +13,14 @@ from tabgrad.functions import dot_product
 from tabgrad.operators import batching, codec, gradients, layers, metrics, optim, prep, reports, tagged
 from tabgrad.plans.fit import best_epoch, epoch_metrics, history_summary, score_labelled, validate
 from tabgrad.plans.forward import forward_from_units, layer_outputs, layer_states
-from tabgrad.plans.step import arrow_step, gradient_rows, parameter_rows, relational_step
+from tabgrad.plans.step import (
+    arrow_step,
+    gradient_rows,
+    hybrid_step,
+    parameter_rows,
+    relational_step,
+    train_step,
+)
 from tabgrad.schema import FEATURES, LABELS, conform
 from tabgrad.sources import (
     ModelStore,
@@ -505,11 +512,31 @@ def query_train_step_array(spark, sf):
 
 @query("train_step_long")
 def query_train_step_long(spark, sf):
+    model = vector_model(spark)
+    step = train_step(t.vector_features(spark, sf), t.vector_labels(spark, sf), model)
+    return _round_gradients(gradient_rows(step, model.n_layers))
+
+
+@query("train_step_relational")
+def query_train_step_relational(spark, sf):
     model = vector_model(spark)
     step = relational_step(t.vector_features(spark, sf), t.vector_labels(spark, sf), model)
     return _round_gradients(gradient_rows(step, model.n_layers))
 
 
+@query("train_step_sparse")
+def query_train_step_sparse(spark, sf):
+    """One step of the network with one input unit per part, over all baskets."""
+    step = hybrid_step(
+        t.basket_features(spark, sf),
+        t.order_labels(spark, sf),
+        t.basket_units(spark, sf),
+        t.dyadic_model(spark, (1, t.BASKET_HIDDEN)).layer_biases(1),
+        t.dyadic_model(spark, t.BASKET_TAIL),
+    )
+    return _round_gradients(gradient_rows(step, 3))
+
+
 @query("train_step_small")
 def query_train_step_small(spark, sf):
     model = t.dyadic_model(spark, t.SMALL_LAYERS)
