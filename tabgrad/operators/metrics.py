@@ -100,7 +100,8 @@ def score_against_truth(labels: DataFrame, predictions: DataFrame, ordered: bool
 def prediction_parity(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """Two scored sets side by side, for samples that both hold with the same label.
 
-    Joined on the id alone, so inputs already partitioned by it need no further shuffle.
+    Joined on the id alone, so inputs already partitioned by it need no further shuffle. The labels
+    are compared by their difference: as an equality they would become a second join key.
     """
 
     def side(df: DataFrame, tag: str) -> DataFrame:
@@ -113,7 +114,7 @@ def prediction_parity(ours: DataFrame, theirs: DataFrame) -> DataFrame:
 
     joined = side(ours, "ours").join(side(theirs, "theirs"), "sample_id")
     label = F.col("ours_label")
-    return joined.filter(label == F.col("theirs_label")).select(
+    return joined.filter(label - F.col("theirs_label") == 0).select(
         "sample_id",
         label.alias("true_label"),
         "ours_prediction",
@@ -139,7 +140,7 @@ def parity_summary(parity: DataFrame) -> DataFrame:
         F.avg("logit_diff").alias("avg_logit_diff"),
         F.max("logit_diff").alias("max_logit_diff"),
     )
-    all_match = F.col("matches") == F.col("total_samples")
+    all_match = (F.col("total_samples") > 0) & (F.col("matches") == F.col("total_samples"))
     verdict = (
         F.when(all_match & (F.col("max_logit_diff") < LOGIT_TOLERANCE), "SUCCESS")
         .when(all_match, "PARTIAL SUCCESS")

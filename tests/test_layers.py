@@ -1,0 +1,206 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tabgrad import Model, forward, score, score_predictions
+from tabgrad.functions import argmax_array, relu_column, softmax_array
+from tabgrad.operators import layers
+from tabgrad.plans.forward import choose_strategy, layer_outputs, layer_states
+from tabgrad.sources import features_from_vectors
+
+FEATURE_DDL = "sample_id bigint, idx int, value double"
+PLANS = ["hybrid", "arrow", "dense", "relational"]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return Model.from_layers(spark, [6, 5, 4, 3], seed=3)
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    rng = np.random.default_rng(0)
+    data = [(i, rng.normal(size=6).tolist(), int(i % 3)) for i in range(40)]
+    return spark.createDataFrame(data, "sample_id bigint, x array<double>, true_label int")
+
+
+def numpy_logits(model, x):
+    for k, (w, b) in enumerate(model.matrices()):
+        x = x @ w.T + b
+        if k < model.n_layers - 1:
+            x = np.maximum(x, 0)
+    return x
+
+
+def as_matrix(logits, n, classes):
+    out = np.full((n, classes), np.nan)
+    for row in logits.collect():
+        out[row["sample_id"], row["class_idx"]] = row["logit"]
+    return out
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_plans_agree_with_numpy(model, vectors, plan):
+    features = features_from_vectors(vectors, "sample_id", F.col("x"))
+    x = np.array([r["x"] for r in vectors.orderBy("sample_id").collect()])
+    got = as_matrix(forward(features, model, plan), 40, 3)
+    np.testing.assert_allclose(got, numpy_logits(model, x), atol=1e-12)
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_missing_and_foreign_elements(spark, frame, model, plan):
+    features = frame([(0, 2, 1.5), (0, 5, -1.0), (1, 99, 4.0)], FEATURE_DDL)
+    x = np.zeros((1, 6))
+    x[0, 2], x[0, 5] = 1.5, -1.0
+    got = as_matrix(forward(features, model, plan), 1, 3)
+    np.testing.assert_allclose(got, numpy_logits(model, x), atol=1e-12)
+
+
+@pytest.mark.parametrize("plan", PLANS)
+def test_repeated_elements_are_summed(frame, model, plan):
+    twice = frame([(0, 1, 0.5), (0, 1, 0.25), (0, 3, 1.0)], FEATURE_DDL)
+    once = frame([(0, 1, 0.75), (0, 3, 1.0)], FEATURE_DDL)
+    np.testing.assert_allclose(
+        as_matrix(forward(twice, model, plan), 1, 3), as_matrix(forward(once, model, plan), 1, 3), atol=1e-12
+    )
+
+
+def test_partitioning_does_not_matter(model, vectors):
+    results = [
+        sorted(score(vectors.repartition(n), model).select("sample_id", "logits").collect())
+        for n in (1, 7)
+    ]
+    assert results[0] == results[1]
+
+
+def test_score_accepts_derived_features(model, vectors):
+    derived = vectors.withColumn(
+        "x", F.transform("x", lambda v: F.aggregate(F.array(v, v), F.lit(0.0), lambda a, e: a + e) / 2)
+    )
+    expected = score(vectors, model).select("sample_id", "logits")
+    assert sorted(score(derived, model).drop("x").select("sample_id", "logits").collect()) == sorted(
+        expected.collect()
+    )
+
+
+def test_score_rejects_wrong_width(spark, model):
+    short = spark.createDataFrame([(1, [1.0])], "sample_id bigint, x array<double>")
+    with pytest.raises(Exception, match="6 elements"):
+        score(short, model).collect()
+
+
+def test_single_layer_model(spark, frame):
+    model = Model.from_matrices(spark, [(np.array([[1.0, 2.0], [3.0, 4.0]]), np.array([0.5, -0.5]))])
+    features = frame([(7, 0, 1.0), (7, 1, 1.0)], FEATURE_DDL)
+    for plan in PLANS:
+        assert sorted(tuple(r) for r in forward(features, model, plan).collect()) == [(7, 0, 3.5), (7, 1, 6.5)]
+
+
+def test_linear_wide_and_packed_agree(model, vectors, rows):
+    features = features_from_vectors(vectors, "sample_id", F.col("x"))
+    args = (features, model.layer_params(1), model.layer_biases(1))
+    packed = {r[:2]: r[2] for r in rows(layers.linear(*args, width=5, n_inputs=6))}
+    joined = {r[:2]: r[2] for r in rows(layers.linear(*args))}
+    unbounded = {r[:2]: r[2] for r in rows(layers.linear(*args, width=5))}
+    assert packed.keys() == joined.keys() == unbounded.keys()
+    for key in packed:
+        assert math.isclose(packed[key], joined[key], abs_tol=1e-12)
+        assert math.isclose(packed[key], unbounded[key], abs_tol=1e-12)
+
+
+def test_relu_null_nan_and_zero(frame):
+    df = frame([(-1.0,), (0.0,), (2.0,), (None,), (float("nan"),)], "z double")
+    got = [r[0] for r in df.select(relu_column(F.col("z"))).collect()]
+    assert got[:4] == [0.0, 0.0, 2.0, 0.0] and math.isnan(got[4])
+
+
+def test_softmax_methods(frame, rows):
+    logits = frame(
+        [(1, 0, 800.0), (1, 1, 800.0), (2, 0, 1.0), (2, 1, 3.0)], "sample_id bigint, class_idx int, logit double"
+    )
+    expected = [(1, 0, 0.5), (1, 1, 0.5), (2, 0, 1 / (1 + math.e**2)), (2, 1, 1 / (1 + math.e**-2))]
+    for method in ("window", "join"):
+        got = rows(layers.softmax(logits, method))
+        assert [r[:2] for r in got] == [r[:2] for r in expected]
+        np.testing.assert_allclose([r[2] for r in got], [r[2] for r in expected], atol=1e-12)
+    naive = {r[:2]: r[2] for r in rows(layers.softmax(logits, "naive"))}
+    assert math.isnan(naive[(1, 0)]) and math.isclose(naive[(2, 0)], expected[2][2])
+    with pytest.raises(ValueError):
+        layers.softmax(logits, "other")
+
+
+def test_argmax_prefers_the_lowest_class(frame, rows):
+    logits = frame([(1, 2, 5.0), (1, 1, 5.0), (1, 0, 4.0)], "sample_id bigint, class_idx int, logit double")
+    assert rows(layers.argmax(logits, "logit")) == [(1, 1, 5.0)]
+    best = layers.predictions(logits).first()
+    assert (best["prediction"], best["logit"]) == (1, 5.0)
+    assert math.isclose(best["probability"], 1 / (2 + math.exp(-1)))
+
+
+def test_array_forms(frame):
+    df = frame([([1.0, 3.0, 3.0],)], "s array<double>")
+    row = df.select(argmax_array(F.col("s")).alias("a"), softmax_array(F.col("s")).alias("p")).first()
+    assert row["a"] == 1 and math.isclose(sum(row["p"]), 1.0)
+
+
+def test_row_predictions_match_long_predictions(model, vectors):
+    features = features_from_vectors(vectors, "sample_id", F.col("x"))
+    long = {r["sample_id"]: r for r in layers.predictions(forward(features, model)).collect()}
+    for row in score_predictions(vectors, model).collect():
+        other = long[row["sample_id"]]
+        assert row["prediction"] == other["prediction"]
+        assert math.isclose(row["probability"], other["probability"], abs_tol=1e-12)
+
+
+def test_layer_outputs_match_states(model, vectors):
+    features = features_from_vectors(vectors, "sample_id", F.col("x"))
+    states = layer_states(features, model)
+    outputs = layer_outputs(features, model)
+    for layer in (1, 2):
+        want = {(r["sample_id"], r["idx"]): r["value"] for r in states[layer - 1].collect()}
+        got = {(r["sample_id"], r["idx"]): r["value"] for r in outputs.filter(f"layer = {layer}").collect()}
+        assert got.keys() == want.keys()
+        assert all(math.isclose(got[k], want[k], abs_tol=1e-12) for k in got)
+    few = layer_outputs(features, model, layer=2, first=1)
+    assert few.count() == 40 and few.filter("idx > 0 or layer <> 2").count() == 0
+
+
+def test_strategy_choice_follows_size(spark):
+    params = spark.createDataFrame([], "layer int, output_idx int, input_idx int, w double")
+    biases = spark.createDataFrame([], "layer int, output_idx int, b double")
+
+    def choose(*widths):
+        return choose_strategy(Model(widths, params, biases))
+
+    assert choose(784, 128, 64, 10) == "hybrid"
+    assert choose(10**9, 128, 10) == "hybrid"
+    assert choose(784, 1024, 10) == "arrow"
+    assert choose(10**6, 1024, 10) == "relational"
+    with pytest.raises(ValueError, match="limit"):
+        Model((10**6, 1024, 10), params, biases).matrices()
+
+
+def test_streamed_scores_equal_batch_scores(spark, model, vectors, tmp_path):
+    source, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    vectors.write.parquet(source)
+    for plan in ("arrow", "dense"):
+        stream = score(spark.readStream.schema(vectors.schema).parquet(source), model, strategy=plan)
+        query = (
+            stream.writeStream.format("parquet")
+            .option("checkpointLocation", f"{sink}-{plan}-state")
+            .trigger(availableNow=True)
+            .start(f"{sink}-{plan}")
+        )
+        query.awaitTermination(120)
+        streamed = spark.read.parquet(f"{sink}-{plan}")
+        assert sorted(streamed.collect()) == sorted(score(vectors, model, strategy=plan).collect())
+
+
+def test_validate_finds_broken_models(spark, model):
+    model.validate()
+    with pytest.raises(ValueError, match="without a bias"):
+        Model(model.layers, model.params, model.biases.filter("output_idx > 0")).validate()
+    with pytest.raises(ValueError, match="weights"):
+        Model(model.layers, model.params.union(model.params), model.biases).validate()

@@ -1,0 +1,145 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tabgrad import Model
+from tabgrad.functions import order_key
+from tabgrad.operators import batching, prep
+from tabgrad.plans.joins import HOT_SHARE, join_spread
+from tabgrad.plans.numbering import number_rows
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.range(0, 3000, 3).select(
+        F.col("id").alias("sample_id"),
+        F.when(F.col("id") % 9 == 0, 4).otherwise(F.col("id") % 5).cast("int").alias("true_label"),
+    )
+
+
+def test_number_rows_is_consecutive_with_a_hot_key(spark):
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"), "id"
+    )
+    numbered = number_rows(df.repartition(5), ["k", "id"]).orderBy("row_num").collect()
+    assert [r["row_num"] for r in numbered] == list(range(5000))
+    keys = [(r["k"], r["id"]) for r in numbered]
+    assert keys == sorted(keys)
+
+
+def test_order_key_spreads_ids(spark):
+    ids = spark.range(20000)
+    keys = ids.select("id", order_key(F.col("id"), 1).alias("k"))
+    assert keys.select("k").distinct().count() > 19900
+    first_half = keys.orderBy("k").limit(10000)
+    mean = first_half.agg(F.avg("id")).first()[0]
+    assert abs(mean - 10000) < 300
+    other = ids.select("id", order_key(F.col("id"), 1, epoch=2).alias("j")).join(keys, "id")
+    assert abs(other.agg(F.corr("j", "k")).first()[0]) < 0.05
+
+
+def test_sample_random(labels, rows):
+    drawn = prep.sample_random(labels, 100, 20, seed=5, id_offset=10)
+    train, val = (drawn.filter(F.col("split") == s) for s in ("train", "val"))
+    assert sorted(r["new_id"] for r in train.collect()) == list(range(10, 110))
+    assert sorted(r["new_id"] for r in val.collect()) == list(range(10, 30))
+    assert train.join(val, "sample_id").count() == 0
+    assert rows(prep.sample_random(labels.repartition(3), 100, 20, seed=5, id_offset=10)) == rows(drawn)
+    assert rows(prep.sample_random(labels, 100, 20, seed=6, id_offset=10)) != rows(drawn)
+
+
+def test_sample_stratified(labels):
+    drawn = prep.sample_stratified(labels, 10, 3, seed=5)
+    counts = drawn.join(labels, "sample_id").groupBy("split", "true_label").count().collect()
+    assert {(r["split"], r["true_label"]): r["count"] for r in counts} == {
+        (s, c): n for s, n in (("train", 10), ("val", 3)) for c in range(5)
+    }
+    assert sorted(r["new_id"] for r in drawn.filter("split = 'train'").collect()) == list(range(50))
+
+
+def test_label_distribution_counts_absent_classes(frame, rows):
+    labels = frame([(1, 0), (2, 0), (3, 2)], "sample_id bigint, true_label int")
+    assert rows(prep.label_distribution(labels, 4)) == [(0, 2), (1, 0), (2, 1), (3, 0)]
+
+
+def test_xavier_init_statistics(spark):
+    w = prep.xavier_init(spark, [64, 32], seed=42)
+    limit = math.sqrt(6 / 96)
+    row = w.agg(F.min("w"), F.max("w"), F.avg("w"), F.stddev("w"), F.countDistinct("w")).first()
+    assert -limit <= row[0] < -0.9 * limit and 0.9 * limit < row[1] < limit
+    assert abs(row[2]) < 0.02 and abs(row[3] - limit / math.sqrt(3)) < 0.01
+    assert row[4] > 2040
+    again = prep.xavier_init(spark, [64, 32], seed=42).orderBy("output_idx", "input_idx")
+    assert again.collect() == w.orderBy("output_idx", "input_idx").collect()
+    assert prep.xavier_init(spark, [64, 32], seed=1).first() != w.first()
+
+
+def test_model_sizes(spark, rows):
+    model = Model.from_layers(spark, [784, 128, 64, 10])
+    assert model.n_params == 109386
+    total = [r for r in prep.model_summary(model.params, model.biases).collect() if r["layer"] is None]
+    assert (total[0]["weights"], total[0]["biases"], total[0]["parameters"]) == (109184, 202, 109386)
+    assert Model.from_layers(spark, [784, 32, 10]).n_params == 25450
+    with pytest.raises(ValueError):
+        prep.xavier_init(spark, [3])
+
+
+def test_normalizers(frame, rows):
+    vectors = frame([(1, [0.5, 1.0])], "k bigint, x array<float>")
+    flat = prep.normalize_flatten(vectors, "k", F.col("x"), *prep.INFERENCE_NORMALIZER)
+    assert rows(flat) == [(1, 0, 0.0), (1, 1, 1.0)]
+    fitted = prep.fit_normalizer(flat).first()
+    assert tuple(fitted) == (0.5, 0.5)
+    assert rows(prep.normalize(flat, *fitted)) == [(1, 0, -1.0), (1, 1, 1.0)]
+
+
+def test_batches_cover_each_sample_once(labels):
+    for seed in (None, 9):
+        batches = batching.assign_batches(labels, 64, seed)
+        sizes = {r["batch_num"]: r["count"] for r in batches.groupBy("batch_num").count().collect()}
+        assert sizes == {k: 64 for k in range(15)} | {15: 40}
+        assert batches.select("sample_id").distinct().count() == 1000
+    plain = batching.assign_batches(labels, 64)
+    assert plain.filter("sample_id < 192 and batch_num <> 0").count() == 0
+    epochs = [batching.shuffle_samples(labels, 64, 9, e).orderBy("sample_id").collect() for e in (1, 2)]
+    assert epochs[0] != epochs[1]
+    with pytest.raises(ValueError):
+        batching.assign_batches(labels, 0)
+
+
+def test_batch_selection(labels, rows):
+    assert tuple(batching.batch_plan(labels, 64).first()) == (1000, 16, 40)
+    batches = batching.assign_batches(labels, 64)
+    last = batching.select_batch(batches, 15)
+    assert rows(last) == rows(batching.select_rows(labels, 960, 1000))
+    assert batching.batch_features(labels, last).count() == 40
+    order = batching.shuffle_batches(batches, seed=3).orderBy("position").collect()
+    assert [r["position"] for r in order] == list(range(16))
+    assert sorted(r["batch_num"] for r in order) == list(range(16))
+    assert [r["batch_num"] for r in order] != list(range(16))
+
+
+def test_batch_table_reads_only_the_batch(labels, monkeypatch):
+    monkeypatch.setattr(batching, "MAX_BATCH_FOLDERS", 5)
+    table = batching.BatchTable(labels, batching.assign_batches(labels, 64), 16)
+    assert table.per_folder == 4
+    assert [table.read(k).count() for k in (0, 15)] == [64, 40]
+    plan = table.read(9)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(folder" in plan and "PushedFilters: [IsNotNull(batch_num)" in plan
+    folders = table.read(9).select(F.input_file_name().alias("f")).distinct().collect()
+    assert all("folder=2/" in r["f"] for r in folders)
+
+
+def test_join_spread_splits_hot_keys(spark):
+    data = spark.range(8000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 977 + 1).alias("k"), "id"
+    )
+    units = spark.range(1200).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = join_spread(data, units, "k")
+    assert joined.columns == ["k", "id", "v"]
+    assert joined.count() == 8000 and joined.filter("v <> 2 * k").count() == 0
+    assert "_salt" in joined._jdf.queryExecution().analyzed().toString()
+    even = data.filter("k <> 0")
+    assert 977 > HOT_SHARE
+    assert "_salt" not in join_spread(even, units, "k")._jdf.queryExecution().analyzed().toString()
