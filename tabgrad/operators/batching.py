@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabgrad.functions.seeded import order_key
-from tabgrad.plans.numbering import number_rows, shuffle_partitions
-from tabgrad.sources.store import materialize
-
-MAX_BATCH_FOLDERS = 2048
+from tabgrad.plans.numbering import number_rows, write_slices
+from tabgrad.sources.store import discard, scratch_path
 
 
 def assign_batches(
@@ -69,26 +67,45 @@ def shuffle_batches(batches: DataFrame, seed: int, epoch: int = 0) -> DataFrame:
 
 
 class BatchTable:
-    """Training rows laid out so that reading one batch touches only that batch's files.
+    """Training rows written in batch order, so that a batch is a range of rows.
 
-    Folders hold whole batches, several each when there are many, so a batch is a partition filter;
-    inside a folder rows are sorted by batch and Parquet statistics prune the rest. A batch larger
-    than one shuffle slice spans several files and is read by as many tasks.
+    One shuffle and one write lay the rows out, however many batches there are. Only the start of
+    each slice is kept on the driver. Reading a batch opens the folders of the slices it touches,
+    and the sorted ``place`` column lets Parquet skip the rest of a file. A batch larger than a
+    slice is read by several tasks.
     """
 
-    def __init__(self, rows: DataFrame, batches: DataFrame, n_batches: int, path: str | None = None):
-        self.n_batches = n_batches
-        self.per_folder = -(-n_batches // MAX_BATCH_FOLDERS)
-        num = F.col("batch_num")
-        placed = rows.join(batches, "sample_id").withColumn(
-            "folder", ((num - num % self.per_folder) / self.per_folder).cast("int")
-        )
-        laid_out = placed.repartitionByRange(
-            shuffle_partitions(rows), "folder", "batch_num", "sample_id"
-        ).sortWithinPartitions("folder", "batch_num", "sample_id")
-        self.table = materialize(laid_out, "batches", ["folder"], path)
+    def __init__(self, rows: DataFrame, batch_size: int, seed: int | None = None, epoch: int = 0):
+        if batch_size < 1:
+            raise ValueError("batch_size must be positive")
+        self.batch_size = batch_size
+        self.path = scratch_path(rows.sparkSession, "batches")
+        order = ["sample_id"]
+        if seed is not None:
+            order = [order_key(F.col("sample_id"), seed, epoch), "sample_id"]
+        self.table, starts = write_slices(rows, order, self.path)
+        self.starts = sorted((r["slice"], r["start"], r["size"]) for r in starts.collect())
+        self.n_rows = sum(size for _, _, size in self.starts)
+        self.n_batches = -(-self.n_rows // batch_size)
 
     def read(self, batch_num: int) -> DataFrame:
-        return self.table.filter(
-            (F.col("folder") == batch_num // self.per_folder) & (F.col("batch_num") == batch_num)
-        )
+        """Rows ``batch_num * batch_size`` up to the next batch."""
+        low = batch_num * self.batch_size
+        high = min(low + self.batch_size, self.n_rows)
+        touched = [(s, b, n) for s, b, n in self.starts if b < high and b + n > low]
+        if not touched:
+            return self.table.filter(F.lit(False))
+        place, slice_ = F.col("place"), F.col("slice")
+        (first, first_start, _), (last, last_start, _) = touched[0], touched[-1]
+        if first == last:
+            inside = (slice_ == first) & (place >= low - first_start) & (place < high - first_start)
+        else:
+            inside = (
+                slice_.between(first, last)
+                & ((slice_ > first) | (place >= low - first_start))
+                & ((slice_ < last) | (place < high - last_start))
+            )
+        return self.table.filter(inside).drop("slice", "place")
+
+    def discard(self) -> None:
+        discard(self.table.sparkSession, self.path)

@@ -88,13 +88,13 @@ def linear(
     if width is not None and width <= PACK_WIDTH:
         packed = linear_packed(x, pack_by_input(params, width), bias, width, n_inputs)
         return packed.select("sample_id", F.posexplode("z").alias("idx", "z"))
-    n_bytes = None if width is None or n_inputs is None else 24 * width * n_inputs
-    weights = broadcast_within(params, n_bytes)
-    sums = (
-        x.select("sample_id", F.col("idx").alias("input_idx"), "value")
-        .join(weights, "input_idx")
-        .groupBy("sample_id", "output_idx")
-        .agg(F.sum(F.col("value") * F.col("w")).alias("_sum"))
+    rows = x.select("sample_id", F.col("idx").alias("input_idx"), "value")
+    if width is not None and n_inputs is not None and 24 * width * n_inputs <= BROADCAST_BYTES:
+        joined = rows.join(F.broadcast(params), "input_idx")
+    else:
+        joined = join_spread(rows, params, "input_idx")
+    sums = joined.groupBy("sample_id", "output_idx").agg(
+        F.sum(F.col("value") * F.col("w")).alias("_sum")
     )
     offsets = broadcast_within(bias, None if width is None else 16 * width)
     return sums.join(offsets, "output_idx").select(

@@ -6,10 +6,10 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabgrad.functions.seeded import order_key, seeded_uniform
+from tabgrad.functions.seeded import PRIME, order_key, seeded_uniform
 from tabgrad.plans.numbering import number_rows
 from tabgrad.sources.readers import features_from_vectors
 
@@ -34,12 +34,32 @@ def fit_normalizer(features: DataFrame) -> DataFrame:
     return features.agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
 
 
+_KEY_RANGES = 1024
+
+
+def _lowest_candidates(keyed: DataFrame, n: int, by: list[str]) -> DataFrame:
+    """Rows whose key range can hold one of the ``n`` lowest keys (of each group).
+
+    Counting rows per key range takes one small aggregate and spares ordering the whole table when
+    few samples are drawn; every row it drops has at least ``n`` rows below it.
+    """
+    key_range = F.floor(F.col("_key") * _KEY_RANGES / PRIME).cast("int")
+    ranged = keyed.withColumn("_range", key_range)
+    counts = ranged.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    below = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.withColumn("_below", F.coalesce(F.sum("_rows").over(below), F.lit(0)))
+    needed = needed.filter(F.col("_below") < n).select(*by, "_range")
+    return ranged.join(needed, [*by, "_range"], "left_semi").drop("_range")
+
+
 def sample_random(
     labels: DataFrame, n_train: int, n_val: int, seed: int = 42, id_offset: int = 0
 ) -> DataFrame:
     """Draw ``n_train`` then ``n_val`` ids in a seeded order and number each split from ``id_offset``."""
     keyed = labels.select("sample_id", order_key(F.col("sample_id"), seed).alias("_key"))
-    drawn = number_rows(keyed, ["_key", "sample_id"], "_rank").filter(F.col("_rank") < n_train + n_val)
+    candidates = _lowest_candidates(keyed, n_train + n_val, [])
+    ranked = number_rows(candidates, ["_key", "sample_id"], "_rank")
+    drawn = ranked.filter(F.col("_rank") < n_train + n_val)
     is_train = F.col("_rank") < n_train
     return drawn.select(
         "sample_id",
@@ -59,7 +79,8 @@ def sample_stratified(
     keyed = labels.select(
         "sample_id", "true_label", order_key(F.col("sample_id"), seed).alias("_key")
     )
-    ranked = number_rows(keyed, ["true_label", "_key", "sample_id"], "_row")
+    candidates = _lowest_candidates(keyed, train_per_class + val_per_class, ["true_label"])
+    ranked = number_rows(candidates, ["true_label", "_key", "sample_id"], "_row")
     class_starts = ranked.groupBy("true_label").agg(F.min("_row").alias("_start"))
     chosen = (
         ranked.join(class_starts, "true_label")

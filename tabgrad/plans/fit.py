@@ -10,15 +10,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabgrad.functions.arrays import argmax_array, softmax_array
-from tabgrad.operators.batching import BatchTable, assign_batches
+from tabgrad.operators.batching import BatchTable
 from tabgrad.operators.metrics import clamped_loss, flag, loss_and_accuracy
 from tabgrad.plans.forward import score
 from tabgrad.plans.kernels import Matrices
 from tabgrad.plans.model import Model
-from tabgrad.plans.step import apply_step, gradient_blocks, relational_step, unflatten
+from tabgrad.plans.step import apply_step, gradient_blocks, train_step, unflatten
 from tabgrad.schema import BATCH_METRICS, HISTORY
 from tabgrad.sources.readers import features_from_vectors
-from tabgrad.sources.store import ModelStore, materialize, workspace
+from tabgrad.sources.store import ModelStore, materialize
 
 
 @dataclass(frozen=True)
@@ -86,7 +86,6 @@ def fit(
     if config.shuffle not in (None, "batches", "samples"):
         raise ValueError(f"unknown shuffle {config.shuffle!r}")
     trainer = _ArrowTrainer(model, config) if strategy == "arrow" else _TableTrainer(model, config)
-    n_batches = -(-train.count() // config.batch_size)
     store = ModelStore(spark, config.store_path) if config.store_path else None
     progress = _Progress()
     stopped = False
@@ -94,34 +93,31 @@ def fit(
     for epoch in range(1, config.epochs + 1):
         started = time.monotonic()
         if table is None or config.shuffle == "samples":
+            _release(table, config)
             seed = config.seed if config.shuffle == "samples" else None
-            batches = assign_batches(train, config.batch_size, seed, epoch)
-            table = BatchTable(train, batches, n_batches)
-            rows = table.table.persist() if config.cache else None
-        order = np.arange(n_batches)
+            table = BatchTable(train, config.batch_size, seed, epoch)
+            if config.cache:
+                table.table.persist()
+        order = np.arange(table.n_batches)
         if config.shuffle == "batches":
-            order = np.random.default_rng([config.seed, epoch]).permutation(n_batches)
+            order = np.random.default_rng([config.seed, epoch]).permutation(table.n_batches)
         for step, batch_num in enumerate(order.tolist()):
-            batch = table.read(batch_num)
-            n, loss, accuracy = trainer.step(batch)
+            n, loss, accuracy = trainer.step(table.read(batch_num))
             progress.steps.append((epoch, step, batch_num, n, loss, accuracy))
         elapsed = time.monotonic() - started
-        if config.cache and config.shuffle == "samples":
-            rows.unpersist()
         val_loss = val_accuracy = None
         if validation is not None and config.validate_every and epoch % config.validate_every == 0:
             val_loss, val_accuracy = validate(validation, trainer.model()).first()
             progress.note_validation(epoch, val_loss)
         progress.epochs.append(
-            _epoch_row(epoch, progress.steps, n_batches, val_loss, val_accuracy, elapsed)
+            _epoch_row(epoch, progress.steps, table.n_batches, val_loss, val_accuracy, elapsed)
         )
         if store is not None:
             store.save(trainer.model().params, trainer.model().biases)
         if config.early_stopping and progress.waited >= config.early_stopping:
             stopped = True
             break
-    if config.cache and table is not None and config.shuffle != "samples":
-        rows.unpersist()
+    _release(table, config)
     return FitResult(
         trainer.model(),
         spark.createDataFrame(progress.epochs, HISTORY),
@@ -131,6 +127,14 @@ def fit(
     )
 
 
+def _release(table: BatchTable | None, config: TrainConfig) -> None:
+    """Free a batch table that no later step reads."""
+    if table is not None:
+        if config.cache:
+            table.table.unpersist()
+        table.discard()
+
+
 def _epoch_row(epoch, steps, n_batches, val_loss, val_accuracy, elapsed) -> tuple:
     recent = steps[-n_batches:]
     n = np.array([s[3] for s in recent], dtype=float)
@@ -154,7 +158,6 @@ class _ArrowTrainer:
     def __init__(self, model: Model, config: TrainConfig):
         self.spark = model.params.sparkSession
         self.config = config
-        self.normalizer = model.normalizer
         self.matrices: Matrices = model.matrices()
         self.velocity = [(np.zeros_like(w), np.zeros_like(b)) for w, b in self.matrices]
 
@@ -178,7 +181,7 @@ class _ArrowTrainer:
         return tuple(p - self.config.lr * g for p, g in zip(current, grads))
 
     def model(self) -> Model:
-        return Model.from_matrices(self.spark, self.matrices, self.normalizer)
+        return Model.from_matrices(self.spark, self.matrices)
 
 
 class _TableTrainer:
@@ -189,19 +192,17 @@ class _TableTrainer:
             raise ValueError("momentum needs the arrow strategy in fit(); see momentum_update")
         self.current = model
         self.config = config
-        self.folder = f"{workspace(model.params.sparkSession)}/tabgrad"
 
     def step(self, batch: DataFrame) -> tuple[int, float, float]:
         features = features_from_vectors(batch, "sample_id", F.col("x"))
         labels = batch.select("sample_id", "true_label")
-        step = relational_step(features, labels, self.current)
+        step = train_step(features, labels, self.current, "relational")
         metrics = step.metrics.first()
         updated = apply_step(self.current, step, self.config.lr)
         self.current = Model(
             updated.layers,
             materialize(updated.params, "params"),
             materialize(updated.biases, "biases"),
-            updated.normalizer,
         )
         return labels.count(), metrics["loss"], metrics["accuracy"]
 

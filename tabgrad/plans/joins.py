@@ -19,10 +19,10 @@ def broadcast_within(df: DataFrame, n_bytes: int | None, limit: int = BROADCAST_
 
 
 def join_spread(rows: DataFrame, units: DataFrame, key: str) -> DataFrame:
-    """Inner join of ``rows`` with ``units`` (one row per key), both too large to broadcast.
+    """Inner join of ``rows`` with ``units`` (few rows per key), both too large to broadcast.
 
     A key that holds more than 1/HOT_SHARE of the rows is spread over all shuffle partitions, and
-    only its one unit row is repeated. At most HOT_SHARE keys can qualify, so the list is bounded.
+    only its unit rows are repeated. At most HOT_SHARE keys can qualify, so the list is bounded.
     """
     spread = shuffle_partitions(rows)
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))

@@ -144,7 +144,7 @@ def gradient_rows(
 
 
 def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add up rows that arrive sorted by block, holding one block at a time."""
+    """Add up rows that arrive sorted by block, holding one block's sum at a time."""
     current, counters, total = None, None, None
 
     def flush() -> pa.RecordBatch:
@@ -152,25 +152,29 @@ def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 pa.array([current], pa.int32()),
                 pa.array([0], pa.int32()),
-                pa.array([counters[0]], pa.int64()),
+                pa.array([int(counters[0])], pa.int64()),
                 pa.array([counters[1]], pa.float64()),
-                pa.array([counters[2]], pa.int64()),
+                pa.array([int(counters[2])], pa.int64()),
                 pa.array([total], pa.list_(pa.float64())),
             ],
             names=["block", "slice", "n", "loss_sum", "correct", "grad"],
         )
 
     for batch in batches:
-        blocks = batch.column("block").to_pylist()
-        for i, block in enumerate(blocks):
-            row = [batch.column(c)[i].as_py() for c in ("n", "loss_sum", "correct")]
-            grad = np.asarray(batch.column("grad")[i].values)
-            if block == current:
-                counters = [a + b for a, b in zip(counters, row)]
+        blocks = np.asarray(batch.column("block"))
+        edges = np.flatnonzero(np.diff(blocks)) + 1
+        for start, end in zip([0, *edges], [*edges, len(blocks)]):
+            if start == end:
+                continue
+            run = batch.slice(start, end - start)
+            grad = np.asarray(run.column("grad").flatten()).reshape(end - start, -1).sum(axis=0)
+            added = [np.asarray(run.column(c)).sum() for c in ("n", "loss_sum", "correct")]
+            if blocks[start] == current:
+                counters = [a + b for a, b in zip(counters, added)]
                 total = total + grad
             else:
                 if current is not None:
                     yield flush()
-                current, counters, total = block, row, grad
+                current, counters, total = int(blocks[start]), added, grad
     if current is not None:
         yield flush()

@@ -21,28 +21,22 @@ DENSE_BYTES = 256 << 20
 class Model:
     """``layers`` are the widths from input to output; hidden layers use ReLU, the last is raw.
 
-    ``normalizer`` is the (mean, std) the features were scaled with, kept so that scoring cannot
-    scale differently from training.
+    ``dense`` is the same model in memory, when it was built from there.
     """
 
     layers: tuple[int, ...]
     params: DataFrame
     biases: DataFrame
-    normalizer: tuple[float, float] | None = None
     dense: tuple | None = field(default=None, repr=False, compare=False)
 
     @classmethod
-    def from_layers(
-        cls, spark: SparkSession, layers: Sequence[int], seed: int = 42, normalizer=None
-    ) -> Model:
+    def from_layers(cls, spark: SparkSession, layers: Sequence[int], seed: int = 42) -> Model:
         """Xavier-uniform weights and zero biases."""
-        return cls(
-            tuple(layers), xavier_init(spark, layers, seed), zero_init(spark, layers), normalizer
-        )
+        return cls(tuple(layers), xavier_init(spark, layers, seed), zero_init(spark, layers))
 
     @classmethod
     def from_matrices(
-        cls, spark: SparkSession, matrices: Sequence[tuple[np.ndarray, np.ndarray]], normalizer=None
+        cls, spark: SparkSession, matrices: Sequence[tuple[np.ndarray, np.ndarray]]
     ) -> Model:
         """Tables from in-memory ``(W[out, in], b[out])`` pairs."""
         widths = [matrices[0][0].shape[1], *(w.shape[0] for w, _ in matrices)]
@@ -63,7 +57,6 @@ class Model:
             tuple(widths),
             spark.createDataFrame(table(weight_columns, "w", 3)),
             spark.createDataFrame(table(bias_columns, "b", 2)),
-            normalizer,
             tuple(matrices),
         )
 

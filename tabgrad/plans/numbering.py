@@ -14,30 +14,36 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def number_rows(df: DataFrame, keys: list[str | Column], out: str = "row_num") -> DataFrame:
-    """Add the 0-based position of each row in the order of ``keys``, which must be unique.
-
-    Rows are range-partitioned on all keys, so a popular leading key is spread over many slices, and
-    sorted inside each slice. The slices are written once: range bounds come from a sample and must
-    not be drawn again between counting the slices and numbering their rows.
+def write_slices(
+    df: DataFrame, keys: list[str | Column], path: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Write ``df`` in the order of ``keys`` as numbered slices, one folder each.
+
+    Returns the slices, with ``slice`` and the row's 0-based ``place`` in it, and one row
+    ``(slice, start, size)`` per slice. Rows are range-partitioned on all keys, so a popular leading
+    key is spread over many slices. They are written once: range bounds come from a sample and must
+    not be drawn again between counting the slices and using their places.
     """
     order = [F.col(k) if isinstance(k, str) else k for k in keys]
-    slices = (
+    placed = (
         df.repartitionByRange(shuffle_partitions(df), *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_slice", F.spark_partition_id())
+        .withColumn("slice", F.spark_partition_id())
+        .sortWithinPartitions("slice", *order)
         .withColumn(
-            "_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _SLICE_ROW_BITS) - 1))
+            "place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _SLICE_ROW_BITS) - 1))
         )
     )
-    slices = materialize(slices, "slices")
-    # One row per slice, so this window and the broadcast are bounded by the partition count.
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        slices.groupBy("_slice")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    )
-    return slices.join(F.broadcast(starts), "_slice").select(
-        *df.columns, (F.col("_start") + F.col("_place")).alias(out)
+    slices = materialize(placed, "slices", ["slice"], path)
+    # One row per slice, so this window is bounded by the partition count.
+    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = slices.groupBy("slice").agg(F.count(F.lit(1)).alias("size"))
+    start = F.coalesce(F.sum("size").over(before), F.lit(0))
+    return slices, sizes.select("slice", start.alias("start"), "size")
+
+
+def number_rows(df: DataFrame, keys: list[str | Column], out: str = "row_num") -> DataFrame:
+    """Add the 0-based position of each row in the order of ``keys``, which should be unique."""
+    slices, starts = write_slices(df, keys)
+    return slices.join(F.broadcast(starts), "slice").select(
+        *df.columns, (F.col("start") + F.col("place")).alias(out)
     )

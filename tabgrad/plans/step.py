@@ -44,7 +44,7 @@ from tabgrad.plans.kernels import (
 from tabgrad.plans.model import Model
 from tabgrad.sources.store import materialize
 
-BLOCK_SIZE = 1 << 16
+BLOCK_SIZE = 1 << 13  # parameters per block: 64 KiB from each task to the block's sum
 
 
 @dataclass(frozen=True)
@@ -84,7 +84,8 @@ def relational_step(features: DataFrame, labels: DataFrame, model: Model) -> Ste
     for layer in range(model.n_layers, 0, -1):
         width = model.layers[layer]
         tag = F.lit(layer).alias("layer")
-        parts = weight_gradient(grad, inputs[layer - 1], n, _packed(width))
+        # Only the input rows of a sample have no bound on their number.
+        parts = weight_gradient(grad, inputs[layer - 1], n, _packed(width), bounded=layer > 1)
         weight_parts.append(parts.select(tag, "*"))
         bias_parts.append(bias_gradient(grad, n).select(tag, "*"))
         if layer > 1:
@@ -232,7 +233,6 @@ def apply_step(model: Model, step: Step, lr: float) -> Model:
         model.layers,
         update_weights(model.params, step.weight_grads, lr),
         update_biases(model.biases, step.bias_grads, lr),
-        model.normalizer,
     )
 
 

@@ -8,19 +8,23 @@ from tabgrad.sources.readers import (
     read_labels,
     read_params,
     read_table,
+    read_weight_rows,
 )
 from tabgrad.sources.store import (
     ModelStore,
     append_history,
+    discard,
     export_params,
     materialize,
     read_history,
+    scratch_path,
     workspace,
 )
 
 __all__ = [
     "ModelStore",
     "append_history",
+    "discard",
     "export_params",
     "extract_labels",
     "features_from_columns",
@@ -33,5 +37,7 @@ __all__ = [
     "read_labels",
     "read_params",
     "read_table",
+    "read_weight_rows",
+    "scratch_path",
     "workspace",
 ]

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabgrad.operators.codec import explode_weights
 from tabgrad.schema import BIASES, FEATURES, LABELS, PARAMS, conform
 
 
@@ -38,6 +40,21 @@ def read_biases(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return read_table(spark, path, BIASES, fmt)
 
 
+def read_weight_rows(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> DataFrame:
+    """One table of weight arrays ``(output_idx, weights)`` per layer, JSON text or arrays, to weight rows."""
+
+    def one(layer: int, path: str) -> DataFrame:
+        reader = spark.read.format(fmt)
+        if fmt == "csv":
+            # A quote inside a quoted field is doubled.
+            reader = reader.schema("output_idx int, weights string").option("header", True)
+            reader = reader.option("escape", '"').option("mode", "FAILFAST")
+        rows = reader.load(path).select(F.lit(layer).alias("layer"), "output_idx", "weights")
+        return conform(explode_weights(rows), PARAMS)
+
+    return reduce(DataFrame.unionByName, (one(k, p) for k, p in enumerate(paths, start=1)))
+
+
 def features_from_vectors(
     df: DataFrame, key: str, vector: Column, each: Callable[[Column], Column] | None = None
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +24,17 @@ def workspace(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tabgrad-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_workspace(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_workspace(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tabgrad-{application_id}-")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new, unused path in the workspace."""
+    return f"{workspace(spark)}/tabgrad/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(
@@ -36,7 +45,7 @@ def materialize(
     Cuts lineage, survives lost executors and gives Catalyst the true size of the result.
     """
     spark = df.sparkSession
-    target = path or f"{workspace(spark)}/tabgrad/{name}-{uuid.uuid4().hex}"
+    target = path or scratch_path(spark, name)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -44,6 +53,20 @@ def materialize(
     return spark.read.schema(df.schema).parquet(target)
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``scratch_path`` named and that nothing reads any more."""
+    if not path.startswith(f"{workspace(spark)}/tabgrad/"):
+        raise ValueError(f"{path} is not a scratch table")
+    _, root, fs = _file_system(spark, path)
+    fs.delete(root, True)
+
+
 class ModelStore:
     """Numbered, immutable model versions below one folder; the highest committed one is current."""
 
@@ -51,14 +74,8 @@ class ModelStore:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _hadoop(self):
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        return jvm, root, root.getFileSystem(conf)
-
     def versions(self) -> list[int]:
-        jvm, root, fs = self._hadoop()
+        jvm, root, fs = _file_system(self.spark, self.path)
         if not fs.exists(root):
             return []
         found = []

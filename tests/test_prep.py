@@ -120,15 +120,27 @@ def test_batch_selection(labels, rows):
     assert [r["batch_num"] for r in order] != list(range(16))
 
 
-def test_batch_table_reads_only_the_batch(labels, monkeypatch):
-    monkeypatch.setattr(batching, "MAX_BATCH_FOLDERS", 5)
-    table = batching.BatchTable(labels, batching.assign_batches(labels, 64), 16)
-    assert table.per_folder == 4
-    assert [table.read(k).count() for k in (0, 15)] == [64, 40]
-    plan = table.read(9)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(folder" in plan and "PushedFilters: [IsNotNull(batch_num)" in plan
-    folders = table.read(9).select(F.input_file_name().alias("f")).distinct().collect()
-    assert all("folder=2/" in r["f"] for r in folders)
+@pytest.mark.parametrize("size", [7, 64, 900, 5000])
+def test_batch_table(labels, size):
+    table = batching.BatchTable(labels, size)
+    assert table.n_batches == -(-1000 // size)
+    batches = batching.assign_batches(labels, size)
+    for k in {0, 1, table.n_batches // 2, table.n_batches - 1}:
+        want = batching.select_batch(batches, k).orderBy("sample_id").collect()
+        assert table.read(k).select("sample_id").orderBy("sample_id").collect() == want
+    assert table.read(table.n_batches).count() == 0
+    shuffled = batching.BatchTable(labels, size, seed=9, epoch=2)
+    want = batching.select_batch(batching.shuffle_samples(labels, size, 9, 2), 0)
+    assert sorted(shuffled.read(0).select("sample_id").collect()) == sorted(want.collect())
+
+
+def test_batch_table_reads_only_the_batch(labels):
+    table = batching.BatchTable(labels, 64)
+    plan = table.read(0)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(slice" in plan and "LessThan(place,64)" in plan
+    table.discard()
+    with pytest.raises(Exception):
+        table.read(0).collect()
 
 
 def test_join_spread_splits_hot_keys(spark):

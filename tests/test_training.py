@@ -7,10 +7,13 @@ from tabgrad.plans.fit import score_labelled
 from tabgrad.sources import (
     ModelStore,
     append_history,
+    discard,
     export_params,
     inline_values,
     materialize,
     read_history,
+    read_weight_rows,
+    scratch_path,
     workspace,
 )
 
@@ -150,12 +153,24 @@ def test_export_and_history(spark, frame, tmp_path, rows):
     export_params(params, biases, path, as_json=True, fmt="csv")
     exported = spark.read.option("header", True).option("escape", '"').csv(f"{path}/weights")
     assert rows(exported) == [("0", "[1.0,2.0]", "1")] or rows(exported) == [("0", "[1.0,2.0]", 1)]
+    again = read_weight_rows(spark, [f"{path}/weights/layer=1"], "csv")
+    assert rows(again) == rows(params)
     log = str(tmp_path / "log")
     for epoch in (1, 2):
         append_history(frame([(epoch, 0.5)], "epoch int, loss double"), log)
     assert rows(read_history(spark, log, schema="epoch int, loss double")) == [(1, 0.5), (2, 0.5)]
 
 
+def test_discard_refuses_other_folders(spark, tmp_path):
+    with pytest.raises(ValueError):
+        discard(spark, str(tmp_path))
+    path = scratch_path(spark, "t")
+    materialize(spark.range(1), path=path)
+    discard(spark, path)
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
+
+
 def test_materialize_and_workspace(spark, rows):
     assert workspace(spark) == spark.conf.get("spark.checkpoint.dir")
     df = materialize(spark.range(5).selectExpr("id", "id % 2 as k"), "t", ["k"])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +28,7 @@ from tabgrad.sources import (
     inline_values,
     materialize,
     read_history,
-    workspace,
+    scratch_path,
 )
 from workloads import tables as t
 
@@ -53,10 +52,6 @@ def r6(column: str) -> Column:
     return F.round(column, 6).alias(column)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"{workspace(spark)}/tabgrad/{name}-{uuid.uuid4().hex}"
-
-
 def whole_numbers(vector: str, scale: int = 1024) -> Column:
     """A dyadic vector as text of integers, which every engine prints alike."""
     numbers = F.transform(vector, lambda v: (v * scale).cast("bigint").cast("string"))
@@ -197,7 +192,7 @@ def query_model_summary(spark, sf):
 def query_export_params(spark, sf):
     params = t.prototype_params(spark, sf).filter("layer = 1")
     biases = t.prototype_biases(spark, sf).filter("layer = 1")
-    path = scratch(spark, "export")
+    path = scratch_path(spark, "export")
     export_params(params, biases, path)
     weights = spark.read.parquet(f"{path}/weights")
     return weights.join(spark.read.parquet(f"{path}/biases"), ["layer", "output_idx"]).select(
@@ -215,7 +210,7 @@ def query_materialize(spark, sf):
 @query("replace_params")
 def query_replace_params(spark, sf):
     """Store the prototypes, then replace them twice by themselves moved along a stored gradient."""
-    store = ModelStore(spark, scratch(spark, "model"))
+    store = ModelStore(spark, scratch_path(spark, "model"))
     store.save(t.prototype_params(spark, sf), t.prototype_biases(spark, sf))
 
     def shrink(params: DataFrame, biases: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -261,7 +256,7 @@ def _parity(spark, sf):
 @query("history_sink")
 def query_history_sink(spark, sf):
     """Parity rows appended to a CSV history, run by run, and read back with their types."""
-    path = scratch(spark, "history")
+    path = scratch_path(spark, "history")
     parity = _parity(spark, sf)
     for run in (1, 2):
         append_history(parity.withColumn("run", F.lit(run)), path)
