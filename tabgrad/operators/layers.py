@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabgrad.functions.arrays import densify, relu_column
 from tabgrad.plans.joins import BROADCAST_BYTES, broadcast_within, join_spread
 
-PACK_WIDTH = 256  # widest layer computed as one aggregate column per output
+PACK_WIDTH = 128  # widest layer computed as one aggregate column per output
 
 
 def pack_by_input(params: DataFrame, width: int) -> DataFrame:
@@ -61,7 +61,11 @@ def linear_packed(
     ``n_inputs`` bounds the weight table; without it the join never broadcasts.
     """
     rows = x.select("sample_id", F.col("idx").alias("input_idx"), "value")
-    sums = weighted_sums(rows, units, "input_idx", "sample_id", width, n_inputs)
+    return add_bias(weighted_sums(rows, units, "input_idx", "sample_id", width, n_inputs), bias, width)
+
+
+def add_bias(sums: DataFrame, bias: DataFrame, width: int) -> DataFrame:
+    """``(sample_id, sums)`` to ``(sample_id, z)``; the bias vector is one scalar subquery."""
     offsets = bias.agg(
         densify(
             F.collect_list(F.struct(F.col("output_idx").alias("idx"), F.col("b").alias("value"))),
@@ -181,5 +185,5 @@ def predictions(logits: DataFrame) -> DataFrame:
 
 
 def lookup_sample(scores: DataFrame, sample_id: int) -> DataFrame:
-    """Rows of one sample by class. The filter moves below the scoring plan to the scan."""
+    """Rows of one sample by class. On a stored table the filter reaches the scan."""
     return scores.filter(F.col("sample_id") == sample_id).orderBy("class_idx")

@@ -9,10 +9,9 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabgrad.functions.arrays import argmax_array, softmax_array
 from tabgrad.operators.batching import BatchTable
-from tabgrad.operators.metrics import clamped_loss, flag, loss_and_accuracy
-from tabgrad.plans.forward import score
+from tabgrad.operators.metrics import flag, loss_and_accuracy
+from tabgrad.plans.forward import score_labelled
 from tabgrad.plans.kernels import Matrices
 from tabgrad.plans.model import Model
 from tabgrad.plans.step import apply_step, gradient_blocks, train_step, unflatten
@@ -210,21 +209,6 @@ class _TableTrainer:
         return self.current
 
 
-def score_labelled(rows: DataFrame, model: Model, strategy: str = "auto") -> DataFrame:
-    """Prediction, loss and correctness of ``(x, true_label)`` rows, without a shuffle."""
-    scored = score(rows, model, "x", "_logits", strategy)
-    probabilities = scored.withColumn("_p", softmax_array(F.col("_logits")))
-    p_true = F.get(F.col("_p"), F.col("true_label"))
-    prediction = argmax_array(F.col("_logits"))
-    return (
-        probabilities.withColumn("prediction", prediction)
-        .withColumn("p_true", p_true)
-        .withColumn("loss", F.when(F.col("p_true").isNotNull(), clamped_loss(F.col("p_true"))))
-        .withColumn("correct", flag(F.col("prediction") == F.col("true_label")))
-        .drop("_logits", "_p")
-    )
-
-
 def validate(rows: DataFrame, model: Model, strategy: str = "auto") -> DataFrame:
     """One row ``(loss, accuracy)`` over ``(x, true_label)`` rows: a scan and one small aggregate."""
     return loss_and_accuracy(score_labelled(rows, model, strategy))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -9,8 +11,25 @@ from pyspark.sql import functions as F
 
 from tabgrad.functions.arrays import argmax_array, dense_forward, softmax_array
 from tabgrad.operators.codec import pixels_to_array, sum_repeats
-from tabgrad.operators.layers import PACK_WIDTH, linear, linear_packed, pack_by_input, relu
-from tabgrad.plans.kernels import place_entries, run_layers, to_lists, to_matrix
+from tabgrad.operators.layers import (
+    PACK_WIDTH,
+    add_bias,
+    linear,
+    linear_packed,
+    lookup_sample,
+    pack_by_input,
+    relu,
+)
+from tabgrad.operators.metrics import clamped_loss, flag
+from tabgrad.plans.kernels import (
+    grade_rows,
+    partial_products,
+    place_entries,
+    predict_rows,
+    run_layers,
+    to_lists,
+    to_matrix,
+)
 from tabgrad.plans.model import DENSE_BYTES, Model
 
 def choose_row_strategy(model: Model) -> str:
@@ -21,11 +40,12 @@ def choose_row_strategy(model: Model) -> str:
 
 
 def choose_strategy(model: Model) -> str:
-    """Plan for feature rows: one joined layer and kernels for the rest, where that is possible."""
+    """Plan for feature rows: matrix kernels where every task can hold the model."""
+    if model.fits_in_task():
+        return "arrow"
     tail_bytes = 8 * sum(i * o + o for i, o in zip(model.layers[1:], model.layers[2:]))
-    if model.layers[1] <= PACK_WIDTH and tail_bytes <= DENSE_BYTES:
-        return "hybrid"
-    return "arrow" if model.fits_in_task() else "relational"
+    hybrid = model.layers[1] <= PACK_WIDTH and tail_bytes <= DENSE_BYTES
+    return "hybrid" if hybrid else "relational"
 
 
 def score(
@@ -86,34 +106,87 @@ def gather_entries(features: DataFrame, unique: bool = False) -> DataFrame:
     return rows.groupBy("sample_id").agg(entries)
 
 
+def gather_vectors(features: DataFrame, width: int, unique: bool = False) -> DataFrame:
+    """``(sample_id, x)`` with gaps filled, placed by a kernel instead of sorted."""
+
+    @F.arrow_udf("array<double>")
+    def place(idx: pa.Array, value: pa.Array) -> pa.Array:
+        return to_lists(place_entries(idx, value, width))
+
+    inside = features.filter(F.col("idx").between(0, width - 1))
+    entries = gather_entries(inside, unique)
+    return entries.select("sample_id", place("entries.idx", "entries.value").alias("x"))
+
+
 def score_predictions(
     df: DataFrame, model: Model, features: str = "x", strategy: str = "auto"
 ) -> DataFrame:
     """Add prediction, its logit and its probability to each row, without a shuffle."""
+    strategy = choose_row_strategy(model) if strategy == "auto" else strategy
+    if strategy == "arrow":
+        width, matrices = model.layers[0], broadcast_matrices(model)
+
+        @F.arrow_udf("prediction int, logit double, probability double")
+        def predict(x: pa.Array, length: pa.Array) -> pa.Array:
+            return predict_rows(run_layers(to_matrix(x, width), matrices.value)[1][-1])
+
+        scored = df.withColumn("_scored", predict(F.col(features), F.size(features)))
+        return scored.select(*df.columns, "_scored.prediction", "_scored.logit", "_scored.probability")
     scored = score(df, model, features, "_logits", strategy)
-    prediction = argmax_array(F.col("_logits"))
-    return (
-        scored.withColumn("prediction", prediction)
-        .withColumn("logit", F.array_max("_logits"))
-        .withColumn("probability", F.array_max(softmax_array(F.col("_logits"))))
-        .drop("_logits")
+    logits = F.col("_logits")
+    return scored.select(
+        *df.columns,
+        argmax_array(logits).alias("prediction"),
+        F.array_max(logits).alias("logit"),
+        F.array_max(softmax_array(logits)).alias("probability"),
     )
 
 
+def score_labelled(rows: DataFrame, model: Model, strategy: str = "auto") -> DataFrame:
+    """Add prediction, loss and correctness to ``(x, true_label)`` rows, without a shuffle."""
+    strategy = choose_row_strategy(model) if strategy == "auto" else strategy
+    if strategy == "arrow":
+        width, matrices = model.layers[0], broadcast_matrices(model)
+
+        @F.arrow_udf("prediction int, p_true double")
+        def grade(x: pa.Array, length: pa.Array, label: pa.Array) -> pa.Array:
+            return grade_rows(run_layers(to_matrix(x, width), matrices.value)[1][-1], label)
+
+        graded = rows.withColumn("_graded", grade("x", F.size("x"), F.col("true_label").cast("int")))
+        scored = graded.select(*rows.columns, "_graded.prediction", "_graded.p_true")
+    else:
+        with_logits = score(rows, model, "x", "_logits", strategy)
+        scored = with_logits.select(
+            *rows.columns,
+            argmax_array(F.col("_logits")).alias("prediction"),
+            F.get(softmax_array(F.col("_logits")), F.col("true_label")).alias("p_true"),
+        )
+    p_true = F.col("p_true")
+    return scored.withColumn(
+        "loss", F.when(p_true.isNotNull(), clamped_loss(p_true))
+    ).withColumn("correct", flag(F.col("prediction") == F.col("true_label")))
+
+
 def explode_logits(df: DataFrame, logits: str = "logits") -> DataFrame:
     # The outer form keeps the optimizer from adding a size filter that would score rows twice.
     return df.select("sample_id", F.posexplode_outer(logits).alias("class_idx", "logit"))
 
 
+def forward_rows(df: DataFrame, model: Model, features: str = "x", strategy: str = "auto") -> DataFrame:
+    """``(sample_id, class_idx, logit)`` from rows that carry a feature array, without a shuffle."""
+    return explode_logits(score(df.select("sample_id", features), model, features, strategy=strategy))
+
+
 def forward(
     features: DataFrame, model: Model, strategy: str = "auto", unique: bool = False
 ) -> DataFrame:
     """``(sample_id, class_idx, logit)`` from feature rows, for any number of layers.
 
-    ``hybrid`` joins and aggregates the first layer and runs the rest on one short array per sample:
-    one shuffle that carries sums combined map-side instead of elements. ``relational`` joins and
-    aggregates every layer. ``arrow`` and ``dense`` gather each sample's vector first; ``unique``
-    says that no (sample_id, idx) occurs twice, which saves them a shuffle.
+    ``arrow`` multiplies elements by the first layer where they are read and shuffles the sums of
+    each sample, then runs the other layers on one short array per sample. ``hybrid`` is the same
+    with a join for a first layer that no task should hold. ``relational`` joins and aggregates
+    every layer. ``dense`` gathers vectors and needs no Python workers; ``unique`` says that no
+    (sample_id, idx) occurs twice, which saves it a shuffle.
     """
     strategy = choose_strategy(model) if strategy == "auto" else strategy
     if strategy == "relational":
@@ -123,23 +196,26 @@ def forward(
         first = model.layers[1]
         units = pack_by_input(model.layer_params(1), first)
         return forward_from_units(features, units, model.layer_biases(1), tail_of(model), model.layers[0])
-    inside = features.filter(F.col("idx").between(0, model.layers[0] - 1))
     if strategy == "arrow":
-        logits = _entries_udf(model, lambda inputs, pre: to_lists(pre[-1]), "array<double>")
-        scored = gather_entries(inside, unique).withColumn("logits", logits("entries.idx", "entries.value"))
-        return explode_logits(scored)
+        return forward_after(first_products(features, model), tail_of(model))
     if strategy == "dense":
-        vectors = pixels_to_array(inside, model.layers[0], unique=unique)
+        vectors = pixels_to_array(features, model.layers[0], unique=unique)
         return explode_logits(score(vectors, model, strategy="dense"))
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
+def score_sample(features: DataFrame, model: Model, sample_id: int) -> DataFrame:
+    """Logits of one sample by class, reading and scoring no other: a kernel hides later filters."""
+    return lookup_sample(forward(features.filter(F.col("sample_id") == sample_id), model), sample_id)
+
+
 def tail_of(model: Model) -> Model:
     """The network after its first layer."""
     return Model(
         model.layers[1:],
         model.params.filter("layer > 1").withColumn("layer", F.col("layer") - 1),
         model.biases.filter("layer > 1").withColumn("layer", F.col("layer") - 1),
+        None if model.dense is None else model.dense[1:],
     )
 
 
@@ -150,7 +226,28 @@ def forward_from_units(
 
     Work is proportional to the elements that exist, and the wide layer is never held in one place.
     """
-    hidden = linear_packed(features, units, bias, tail.layers[0], n_inputs)
+    return forward_after(linear_packed(features, units, bias, tail.layers[0], n_inputs), tail)
+
+
+def first_products(features: DataFrame, model: Model) -> DataFrame:
+    """``(sample_id, z)`` of the first layer: products in the scan's tasks, sums after one shuffle."""
+    width = model.layers[1]
+    weights = model.params.sparkSession.sparkContext.broadcast(
+        np.ascontiguousarray(model.matrices()[0][0].T)
+    )
+
+    def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return partial_products(batches, weights.value)
+
+    rows = features.select(F.col("sample_id").cast("bigint").alias("sample_id"), "idx", "value")
+    parts = rows.mapInArrow(partials, "sample_id bigint, ws array<double>")
+    sums = ", ".join(f"sum(ws[{k}])" for k in range(width))
+    summed = parts.groupBy("sample_id").agg(F.expr(f"array({sums})").alias("sums"))
+    return add_bias(summed, model.layer_biases(1), width)
+
+
+def forward_after(hidden: DataFrame, tail: Model) -> DataFrame:
+    """Logits from first-layer pre-activations ``(sample_id, z)`` and the layers after it."""
     if tail.n_layers == 0:
         return explode_logits(hidden, "z")
     active = F.transform("z", lambda z: F.greatest(F.lit(0.0), z))

@@ -62,11 +62,66 @@ def run_layers(x: np.ndarray, matrices: Matrices) -> tuple[list[np.ndarray], lis
     return inputs, pre
 
 
+def partial_products(
+    batches: Iterator[pa.RecordBatch], weights_by_input: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Per Arrow batch and sample, ``SUM(value * weights_by_input[idx])`` over the batch's elements.
+
+    Elements outside the layer and NULL values add nothing. A sample that spans batches gives
+    several rows, to be summed after the shuffle.
+    """
+    width = weights_by_input.shape[1]
+    for batch in batches:
+        samples = np.asarray(batch.column("sample_id"))
+        idx = np.asarray(batch.column("idx")).astype(np.int64)
+        value = batch.column("value")
+        value = np.asarray(value.fill_null(0.0) if value.null_count else value)
+        inside = (idx >= 0) & (idx < len(weights_by_input))
+        if not inside.all():
+            samples, idx, value = samples[inside], idx[inside], value[inside]
+        if not len(samples):
+            continue
+        if (np.diff(samples) < 0).any():
+            order = np.argsort(samples, kind="stable")
+            samples, idx, value = samples[order], idx[order], value[order]
+        starts = np.append(0, np.flatnonzero(np.diff(samples)) + 1)
+        sums = np.add.reduceat(value[:, None] * weights_by_input[idx], starts, axis=0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(samples[starts]), to_lists(sums.reshape(len(starts), width))],
+            names=["sample_id", "ws"],
+        )
+
+
 def softmax_rows(logits: np.ndarray) -> np.ndarray:
     shifted = np.exp(logits - logits.max(axis=1, keepdims=True))
     return shifted / shifted.sum(axis=1, keepdims=True)
 
 
+def predict_rows(logits: np.ndarray) -> pa.StructArray:
+    """Prediction, its logit and its probability per row; ties go to the lowest class."""
+    prediction = logits.argmax(axis=1)
+    rows = np.arange(len(logits))
+    return pa.StructArray.from_arrays(
+        [
+            pa.array(prediction.astype(np.int32)),
+            pa.array(logits[rows, prediction]),
+            pa.array(softmax_rows(logits)[rows, prediction]),
+        ],
+        names=["prediction", "logit", "probability"],
+    )
+
+
+def grade_rows(logits: np.ndarray, label: pa.Array) -> pa.StructArray:
+    """Prediction and probability of the true class per row, NULL where the label is no class."""
+    labels = np.asarray(label.fill_null(-1))
+    known = (labels >= 0) & (labels < logits.shape[1])
+    p_true = softmax_rows(logits)[np.arange(len(logits)), np.where(known, labels, 0)]
+    return pa.StructArray.from_arrays(
+        [pa.array(logits.argmax(axis=1).astype(np.int32)), pa.array(p_true, mask=~known)],
+        names=["prediction", "p_true"],
+    )
+
+
 def batch_statistics(probabilities: np.ndarray, labels: np.ndarray) -> tuple[float, int]:
     """Sum of clamped cross-entropy losses and number of top-1 hits."""
     p_true = probabilities[np.arange(len(labels)), labels]

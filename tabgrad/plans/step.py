@@ -31,7 +31,13 @@ from tabgrad.operators.layers import (
 from tabgrad.operators.metrics import loss_and_accuracy, score_samples
 from tabgrad.operators.optim import update_biases, update_weights
 from tabgrad.operators.tagged import tagged_union
-from tabgrad.plans.forward import broadcast_matrices, choose_strategy, layer_pre, tail_of
+from tabgrad.plans.forward import (
+    broadcast_matrices,
+    choose_strategy,
+    gather_vectors,
+    layer_pre,
+    tail_of,
+)
 from tabgrad.plans.kernels import (
     GRADIENT_SCHEMA,
     Matrices,
@@ -147,9 +153,14 @@ def hybrid_step(
 
 
 def train_step(features: DataFrame, labels: DataFrame, model: Model, strategy: str = "auto") -> Step:
-    """One step from feature rows: ``hybrid`` where the model allows it, else ``relational``."""
-    if strategy == "auto":
-        strategy = "hybrid" if choose_strategy(model) == "hybrid" else "relational"
+    """One step from feature rows, with the plan that ``choose_strategy`` gives for scoring them.
+
+    ``arrow`` gathers each sample's vector, once, for the matrix kernels.
+    """
+    strategy = choose_strategy(model) if strategy == "auto" else strategy
+    if strategy == "arrow":
+        vectors = gather_vectors(features, model.layers[0]).join(labels, "sample_id")
+        return arrow_step(vectors, model)
     if strategy == "relational":
         return relational_step(features, labels, model)
     if strategy != "hybrid":
@@ -166,16 +177,13 @@ def gradient_blocks(rows: DataFrame, model_matrices, block_size: int = BLOCK_SIZ
     separate tasks in slice order, so a partitioning always gives the same sum. ``model_matrices``
     is a broadcast of ``Model.matrices()``.
     """
-    n_params = sum(w.size + b.size for w, b in model_matrices.value)
-    n_blocks = -(-n_params // block_size)
-
     def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return partial_gradients(batches, model_matrices.value, block_size)
 
     parts = rows.select("x", F.col("true_label").cast("int").alias("true_label")).mapInArrow(
         partials, GRADIENT_SCHEMA
     )
-    spread = parts.repartition(n_blocks, "block").sortWithinPartitions("block", "slice")
+    spread = parts.repartition("block").sortWithinPartitions("block", "slice")
     return spread.mapInArrow(sum_blocks, GRADIENT_SCHEMA)
 
 

@@ -11,7 +11,7 @@ from tabgrad.operators.tagged import demux_tagged
 from tabgrad.sources import features_from_vectors
 
 GRAD_DDL = "sample_id bigint, idx int, g double"
-STEPS = ["hybrid", "relational", "arrow"]
+STEPS = ["hybrid", "relational", "gathered", "arrow"]
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +32,8 @@ def take_step(data, model, plan):
     if plan == "arrow":
         return arrow_step(data, model, block_size=7)
     features = features_from_vectors(data, "sample_id", F.col("x"))
-    return train_step(features, data.select("sample_id", "true_label"), model, plan)
+    labels = data.select("sample_id", "true_label")
+    return train_step(features, labels, model, "arrow" if plan == "gathered" else plan)
 
 
 def mean_loss(matrices, x, labels):

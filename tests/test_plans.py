@@ -37,11 +37,18 @@ def test_dense_plan_is_one_fold(spark, model):
 
 
 def test_hybrid_forward_shuffles_samples_once(spark, model):
-    text = planned(forward(t.vector_features(spark, SF), model))
+    text = planned(forward(t.vector_features(spark, SF), model, "hybrid"))
     assert text.count("Exchange hashpartitioning(sample_id") == 1
     assert "partial_sum" in text and "BroadcastHashJoin" in text
 
 
+def test_arrow_forward_sums_before_its_only_shuffle(spark, model):
+    text = planned(forward(t.vector_features(spark, SF), model))
+    assert text.count("Exchange hashpartitioning(sample_id") == 1
+    after = text.split("Exchange hashpartitioning(sample_id")[1]
+    assert "partial_sum" in after and "MapInArrow" in after
+
+
 def test_line_scoring_reads_needed_columns_only(spark):
     scored = score_predictions(t.line_rows(spark, SF), t.dyadic_model(spark, t.ORDER_LAYERS))
     text = planned(scored.groupBy("true_label", "prediction").count())
@@ -54,9 +61,13 @@ def test_line_scoring_reads_needed_columns_only(spark):
 
 def test_lookup_filters_the_scan(spark, model):
     features = t.vector_features(spark, SF)
-    for plan in ("hybrid", "arrow"):
-        found = layers.lookup_sample(forward(features, model, plan), 7)
-        assert "PushedFilters: [IsNotNull(vec_id), EqualTo(vec_id,7)" in planned(found)
+    found = [
+        layers.lookup_sample(forward(features, model, "hybrid"), 7),
+        QUERIES["lookup_sample"](spark, SF),
+        QUERIES["sample_logits"](spark, SF),
+    ]
+    for df in found:
+        assert "PushedFilters: [IsNotNull(vec_id), EqualTo(vec_id,7)" in planned(df)
 
 
 def test_top_reports_do_not_sort_everything(spark):

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabgrad import Model, TrainConfig, fit, validate
-from tabgrad.plans.fit import score_labelled
+from tabgrad.plans.forward import score_labelled
 from tabgrad.sources import (
     ModelStore,
     append_history,

@@ -301,7 +301,7 @@ ORACLE["argmax_prob"] = with_(
     select="""select b.sample_id, b.prediction, round(p.probability, 6) as confidence
 from best b join probs p on b.sample_id = p.sample_id and b.prediction = p.class_idx""",
 )
-for _name in ("forward_pass", "forward_pass_relational", "forward_pass_arrow", "forward_pass_dense"):
+for _name in ("forward_pass", "forward_pass_relational", "forward_pass_hybrid", "forward_pass_dense"):
     ORACLE[_name] = with_(VECTOR_FORWARD, select="select * from logits")
 ORACLE["forward_pass_small"] = with_(SMALL_FORWARD, select="select * from logits")
 ORACLE["forward_pass_sparse"] = with_(

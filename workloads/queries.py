@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 from tabgrad import Model, TrainConfig, fit, forward, score_predictions
 from tabgrad.functions import dot_product
 from tabgrad.operators import batching, codec, gradients, layers, metrics, optim, prep, reports, tagged
-from tabgrad.plans.fit import best_epoch, epoch_metrics, history_summary, score_labelled, validate
-from tabgrad.plans.forward import forward_from_units, layer_outputs, layer_states
+from tabgrad.plans.fit import best_epoch, epoch_metrics, history_summary, validate
+from tabgrad.plans.forward import (
+    forward_from_units,
+    forward_rows,
+    layer_outputs,
+    layer_states,
+    score_labelled,
+    score_sample,
+)
 from tabgrad.plans.step import (
     arrow_step,
     gradient_rows,
@@ -81,7 +88,7 @@ def order_truth(spark: SparkSession, sf: str, scale: int = 128) -> DataFrame:
 
 
 def order_logits(spark: SparkSession, sf: str, scale: int = 128) -> DataFrame:
-    return forward(t.order_features(spark, sf), order_model(spark, scale))
+    return forward_rows(t.order_rows(spark, sf), order_model(spark, scale))
 
 
 # Scans, encodings, preparation, sinks
@@ -266,7 +273,7 @@ def query_history_sink(spark, sf):
 
 @query("lookup_sample")
 def query_lookup_sample(spark, sf):
-    return layers.lookup_sample(vector_logits(spark, sf), LOOKUP_ID)
+    return score_sample(t.vector_features(spark, sf), vector_model(spark), LOOKUP_ID)
 
 
 # Forward
@@ -339,9 +346,9 @@ def query_forward_pass_relational(spark, sf):
     return forward(t.vector_features(spark, sf), vector_model(spark), "relational")
 
 
-@query("forward_pass_arrow")
-def query_forward_pass_arrow(spark, sf):
-    return forward(t.vector_features(spark, sf), vector_model(spark), "arrow", unique=True)
+@query("forward_pass_hybrid")
+def query_forward_pass_hybrid(spark, sf):
+    return forward(t.vector_features(spark, sf), vector_model(spark), "hybrid")
 
 
 @query("forward_pass_dense")
@@ -740,7 +747,8 @@ def query_logit_stats(spark, sf):
 
 @query("sample_logits")
 def query_sample_logits(spark, sf):
-    return reports.sample_logits(vector_logits(spark, sf), LOOKUP_ID)
+    logits = score_sample(t.vector_features(spark, sf), vector_model(spark), LOOKUP_ID)
+    return reports.sample_logits(logits, LOOKUP_ID)
 
 
 @query("prediction_report")
