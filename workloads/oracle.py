@@ -488,12 +488,12 @@ ORACLE["train_step_sparse"] = with_(
     ORDER_TRUTH.replace("from orders", "from orders where o_orderkey in (select l_orderkey from lineitem)"),
     f"tail_{params(t.BASKET_TAIL).replace(chr(10) + 'biases as', chr(10) + 'tail_biases as')}",
     """params as (
-  select 1 as layer, o.range as output_idx, p_partkey as input_idx,
+  select 1 as layer, cast(o.range as int) as output_idx, p_partkey as input_idx,
          cast((o.range * 7919 + p_partkey * 104729 + 1000003) % 257 - 128 as double) / 128 as w
   from part, range(16) o
   union all select layer + 1, output_idx, input_idx, w from tail_params),
 biases as (
-  select 1 as layer, range as output_idx, cast((31 + range * 17) % 33 - 16 as double) / 64 as b from range(16)
+  select 1 as layer, cast(range as int) as output_idx, cast((31 + range * 17) % 33 - 16 as double) / 64 as b from range(16)
   union all select layer + 1, output_idx, b from tail_biases)""",
     step(3, "x", "truth"),
     select=gradient_select(3),
@@ -708,7 +708,7 @@ ORACLE["weight_preview"] = """with weights as (
   select vec_id as output_idx,
          '[' || array_to_string(list_transform(embedding, lambda v: cast(floor(cast(v as double) * 128 + 0.5) / 128 as varchar)), ',') || ']' as weights
   from embeddings)
-select output_idx, length(weights) as weight_string_length, substring(weights, 1, 50) as weight_preview
+select output_idx, cast(length(weights) as int) as weight_string_length, substring(weights, 1, 50) as weight_preview
 from weights order by output_idx limit 5"""
 ORACLE["bias_report"] = with_(
     PROTOTYPES,
