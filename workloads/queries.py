@@ -528,9 +528,12 @@ def query_train_step_relational(spark, sf):
 
 @query("train_step_sparse")
 def query_train_step_sparse(spark, sf):
-    """One step of the network with one input unit per part, over all baskets."""
+    """One step of the network with one input unit per part, over all baskets.
+
+    The baskets are aggregated once and written, as the step reads them four times.
+    """
     step = hybrid_step(
-        t.basket_features(spark, sf),
+        materialize(t.basket_features(spark, sf), "baskets"),
         t.order_labels(spark, sf),
         t.basket_units(spark, sf),
         t.dyadic_model(spark, (1, t.BASKET_HIDDEN)).layer_biases(1),
