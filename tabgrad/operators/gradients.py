@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabgrad.functions.arrays import densify
-from tabgrad.operators.layers import PACK_WIDTH, weighted_sums
+from tabgrad.operators.layers import PACK_WIDTH, pack, pack_params, weighted_sums
 from tabgrad.plans.joins import broadcast_within
 
 
@@ -32,16 +31,6 @@ def batch_count(labels: DataFrame) -> DataFrame:
     return labels.agg(F.count(F.lit(1)).alias("n"))
 
 
-def pack_by_sample(grad: DataFrame, width: int) -> DataFrame:
-    """``(sample_id, idx, g)`` to ``(sample_id, ws)``; one short array per sample."""
-    entries = F.collect_list(F.struct("idx", F.col("g").alias("value")))
-    return (
-        grad.groupBy("sample_id")
-        .agg(entries.alias("_entries"))
-        .select("sample_id", densify(F.col("_entries"), width, fill=None).alias("ws"))
-    )
-
-
 def weight_gradient(
     grad: DataFrame,
     activations: DataFrame,
@@ -57,9 +46,8 @@ def weight_gradient(
     """
     rows = activations.select("sample_id", F.col("idx").alias("input_idx"), "value")
     if width is not None and width <= PACK_WIDTH:
-        sums = weighted_sums(
-            rows, pack_by_sample(grad, width), "sample_id", "input_idx", width, bounded=bounded
-        )
+        units = pack(grad, "sample_id", "idx", "g", width)
+        sums = weighted_sums(rows, units, "sample_id", "input_idx", width, bounded=bounded)
         long = sums.select("input_idx", F.posexplode("sums").alias("output_idx", "_sum"))
     else:
         long = (
@@ -86,12 +74,7 @@ def backprop_linear(
     """Gradient with respect to a layer's inputs: ``SUM_o g[s, o] * w[o, i]`` as ``(sample_id, idx, g)``."""
     rows = grad.select("sample_id", F.col("idx").alias("output_idx"), F.col("g").alias("value"))
     if n_inputs is not None and n_inputs <= PACK_WIDTH:
-        entries = F.collect_list(F.struct(F.col("input_idx").alias("idx"), F.col("w").alias("value")))
-        units = (
-            params.groupBy("output_idx")
-            .agg(entries.alias("_entries"))
-            .select("output_idx", densify(F.col("_entries"), n_inputs, fill=None).alias("ws"))
-        )
+        units = pack_params(params, "output_idx", "input_idx", n_inputs)
         sums = weighted_sums(rows, units, "output_idx", "sample_id", n_inputs, n_outputs)
         return sums.select("sample_id", F.posexplode("sums").alias("idx", "g"))
     n_bytes = None if n_inputs is None or n_outputs is None else 24 * n_inputs * n_outputs

@@ -11,17 +11,28 @@ from tabgrad.plans.joins import BROADCAST_BYTES, broadcast_within, join_spread
 PACK_WIDTH = 128  # widest layer computed as one aggregate column per output
 
 
+def pack(df: DataFrame, by: str, idx: str, value: str, width: int) -> DataFrame:
+    """``(by, ws)`` with ``ws[k]`` the sum of ``value`` where ``idx = k``, NULL where there is none.
+
+    Conditional sums combine map-side, so no group of rows is gathered, however often a key repeats.
+    """
+    slots = ", ".join(f"sum(if({idx} = {k}, {value}, null))" for k in range(width))
+    return df.groupBy(by).agg(F.expr(f"array({slots})").alias("ws"))
+
+
+def pack_params(params: DataFrame, by: str, idx: str, width: int) -> DataFrame:
+    """Weight rows to ``(by, ws)``; a unit has at most ``width`` weights, so they can be gathered."""
+    entries = F.collect_list(F.struct(F.col(idx).alias("idx"), F.col("w").alias("value")))
+    gathered = params.groupBy(by).agg(entries.alias("_entries"))
+    return gathered.select(by, densify(F.col("_entries"), width, fill=None).alias("ws"))
+
+
 def pack_by_input(params: DataFrame, width: int) -> DataFrame:
-    """``(output_idx, input_idx, w)`` to ``(input_idx, ws)`` with ``ws[o]`` NULL where no weight exists.
+    """``(output_idx, input_idx, w)`` to ``(input_idx, ws)``.
 
     The layout for wide input layers: a row holds ``width`` outputs however many inputs there are.
     """
-    entries = F.collect_list(F.struct(F.col("output_idx").alias("idx"), F.col("w").alias("value")))
-    return (
-        params.groupBy("input_idx")
-        .agg(entries.alias("_entries"))
-        .select("input_idx", densify(F.col("_entries"), width, fill=None).alias("ws"))
-    )
+    return pack_params(params, "input_idx", "output_idx", width)
 
 
 def weighted_sums(
