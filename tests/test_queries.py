@@ -6,7 +6,7 @@ from oracle_check import differences, duck
 import __spark_entry__ as contract
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = contract.QUERIES, contract.ORACLE
 
 
 @pytest.fixture(scope="module")
