@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabgrad.llm import chat, sharding
+from tabgrad.llm import chat, decontaminate, sharding, simhash
 from tabgrad.llm.common import read_table, text_of
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
@@ -53,7 +53,29 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint every document and name its component of fingerprints within 3 bits."""
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mark the words of every document that lie in a window of the benchmark."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark_contamination(documents, read_table(spark, sf_dir, "benchmark"), keep_text=False)
+    named = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return marked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(named, ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_sharding": op3_sharding,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
