@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabgrad.llm import chat, decontaminate, sharding, simhash
+from tabgrad.llm import chat, decontaminate, quality, sharding, simhash, tokens
 from tabgrad.llm.common import read_table, text_of
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
@@ -58,6 +58,27 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_token_id_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the token ids of every document as framed records and digest what is read back."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.read_tokens(spark, tokens.write_tokens(documents))
+
+
+QUALITY_THRESHOLD = 0.7
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document with a model of ``labels.quality``."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = quality.fit(documents, read_table(spark, sf_dir, "labels"), "quality")
+    return quality.score(documents, weights, keep_text=False).select(
+        "doc_id",
+        (~quality.in_training(F.col("doc_id"))).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mark the words of every document that lie in a window of the benchmark."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -77,5 +98,7 @@ QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_sharding": op3_sharding,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_token_id_binary_output": op6_token_id_binary_output,
+    "op7_quality_classifier": op7_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
