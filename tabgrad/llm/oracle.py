@@ -22,5 +22,21 @@ select conv_id, count(*) as n_turns,
     sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (trained), '')) as loss_sha256,
     cast(sum(chars) as bigint) as formatted_chars
 from said group by conv_id
+""",
+    "op5_exact_top_k": """
+with vectors as (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+    from vectors q join vectors c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id
+), ranked as (
+    select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank,
+        vec_id, score
+    from scored
+)
+select * from ranked where rank <= 10
 """,
 }

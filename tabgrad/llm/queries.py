@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabgrad.llm import chat, decontaminate, quality, sharding, simhash, tokens
+from tabgrad.llm import chat, decontaminate, quality, secrets, sharding, simhash, tokens, topk
 from tabgrad.llm.common import read_table, text_of
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
@@ -34,6 +34,30 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scan every document with a new ledger and digest its findings."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.BlobLedger(spark).scan(documents, ["doc_id"])
+    base = [r.kind for r in secrets.BASE]
+    kinds = F.array(*[F.lit(r.kind) for r in secrets.RULES])
+
+    def spans(findings):
+        ordered = F.array_sort(
+            F.transform(findings, lambda f: F.struct(f.start.alias("start"), F.array_position(kinds, f.kind).alias("place"), f.kind.alias("kind"), f.end.alias("end")))
+        )
+        return F.array_join(F.transform(ordered, lambda f: F.concat_ws(":", f.kind, f.start, f.end)), ",")
+
+    def count(kind):
+        return F.size(F.filter("findings", lambda f: f.kind == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in base],
+        F.sha2(spans(F.filter("findings", lambda f: f.kind.isin(*base))), 256).alias("base_sha256"),
+        spans(F.col("findings")).alias("spans"),
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deal every document to a shard, mixture by source, counts at most one apart."""
     documents = read_table(spark, sf_dir, "documents").select(
@@ -58,6 +82,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of every hundredth embedding, by integer inner product."""
+    vectors = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", topk.whole_numbers(F.col("embedding"), 1024).alias("vector")
+    )
+    return topk.top_k(vectors.filter("vec_id % 100 = 0"), vectors, k=10)
+
+
 def op6_token_id_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the token ids of every document as framed records and digest what is read back."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,8 +128,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_secret_scans": op2_secret_scans,
     "op3_sharding": op3_sharding,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_token_id_binary_output": op6_token_id_binary_output,
     "op7_quality_classifier": op7_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
