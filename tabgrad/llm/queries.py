@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabgrad.llm import chat, decontaminate, quality, secrets, sharding, simhash, tokens, topk
+from tabgrad.llm import chat, decontaminate, quality, secrets, sharding, simhash, suffixes, tokens, topk
 from tabgrad.llm.common import read_table, text_of
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
@@ -111,6 +111,13 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove every byte that a string of 400 bytes covers which also starts elsewhere."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = suffixes.remove_repeats(documents, least=400, keep="none")
+    return removed.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mark the words of every document that lie in a window of the benchmark."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -134,5 +141,6 @@ QUERIES = {
     "op5_exact_top_k": op5_exact_top_k,
     "op6_token_id_binary_output": op6_token_id_binary_output,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
