@@ -2,7 +2,70 @@
 
 from __future__ import annotations
 
-from tabgrad.llm.queries import PROBE
+from tabgrad.llm.queries import MIXTURE, PROBE
+
+
+def _case(column: str, values: dict, otherwise: str) -> str:
+    """A CASE over names; text results come quoted."""
+    arms = "".join(f" when '{k}' then {repr(v)}" for k, v in values.items())
+    return f"case {column}{arms} else {otherwise} end" if values else otherwise
+
+
+def _share(n: int, parents: list[str], level: str, weight: str) -> str:
+    """Common table expressions that bring the budget of level ``n`` down to the next."""
+    node = "partition by " + (", ".join(parents) or "1")
+    order = f"{node} order by case when w = 0 then null else cast(own as double) / cast(w as double) end nulls first, {level}"
+    keys = ", ".join([*parents, level])
+    return f"""
+children{n} as (
+    select {keys}, sum(supply) as own, max(budget) as given, cast({weight} as hugeint) as w
+    from rows{n} group by {keys}
+), placed{n} as (
+    select *, given - coalesce(sum(own) over ({order} rows between unbounded preceding and 1 preceding), 0) as rest,
+        sum(w) over ({order} rows between current row and unbounded following) as ws,
+        row_number() over ({order}) as place
+    from children{n}
+), first{n} as (
+    select *, min(case when own * ws > w * rest then place end) over ({node}) as cut from placed{n}
+), shares{n} as (
+    select {keys}, case when cut is null or place < cut then own else w * max(case when place = cut then rest end) over ({node})
+        // max(case when place = cut then ws end) over ({node}) end as got
+    from first{n}
+), rows{n + 1} as (
+    select r.* replace (s.got as budget) from rows{n} r join shares{n} s using ({keys})
+)"""
+
+
+_WEIGHTS = {
+    "domain": _case("domain", MIXTURE.domain_weights, "1"),
+    "lang": _case("lang", MIXTURE.lang_weights, "1"),
+    "source": _case("source", MIXTURE.source_weights, "1"),
+}
+
+_MIXING = rf"""
+with docs as (
+    select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        {_case("source", MIXTURE.domains, "'other'")} as domain,
+        cast(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) as bigint) as tokens
+    from documents
+), leaves as (
+    select domain, lang, source, cast(sum(tokens) as hugeint) as of_, {" * ".join(f"({w})" for w in _WEIGHTS.values())} <> 0 as open
+    from docs group by all
+), rows0 as (
+    select *, case when open then of_ * {MIXTURE.max_epochs} else 0 end as supply,
+        (sum(of_) over () * {MIXTURE.budget_percent}) // 100 as budget
+    from leaves
+), {", ".join(_share(n, ["domain", "lang"][:n], level, weight).strip() for n, (level, weight) in enumerate(_WEIGHTS.items()))},
+ordered as (
+    select d.*, e.epoch, r.budget - e.epoch * r.of_ as rest, r.of_, r.open,
+        sum(d.tokens) over (partition by d.domain, d.lang, d.source, e.epoch
+            order by md5('{MIXTURE.seed}:' || e.epoch || ':' || d.doc_id) rows unbounded preceding) as so_far
+    from docs d join rows3 r using (domain, lang, source)
+        cross join (select cast(range as int) as epoch from range({MIXTURE.max_epochs})) e
+)
+select doc_id, domain, lang, source, tokens, epoch from ordered
+where open and (of_ > 0 and rest >= of_ or of_ > 0 and rest > 0 and so_far <= rest or of_ = 0 and epoch = 0)
+"""
 
 ORACLE = {
     "op1_chat_formatting": rf"""
@@ -39,4 +102,5 @@ with vectors as (
 )
 select * from ranked where rank <= 10
 """,
+    "op9_source_mixing": _MIXING,
 }

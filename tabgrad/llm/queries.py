@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabgrad.llm import chat, decontaminate, quality, secrets, sharding, simhash, suffixes, tokens, topk
+from tabgrad.llm import chat, decontaminate, mixing, quality, secrets, sharding, simhash, suffixes, tokens, topk
 from tabgrad.llm.common import read_table, text_of
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
@@ -118,6 +118,21 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
 
 
+MIXTURE = mixing.Mixture(
+    domains={f"src{n}": ("web", "books", "code", "forum")[n % 4] for n in range(20)},
+    domain_weights={"web": 4, "books": 3, "code": 2, "forum": 1},
+    lang_weights={"en": 5, "de": 2, "fr": 2, "es": 1},
+    budget_percent=60,
+    max_epochs=2,
+)
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Choose documents to target weights of domains, languages and sources, up to two epochs."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix(documents, MIXTURE, keep_text=False)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mark the words of every document that lie in a window of the benchmark."""
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -142,5 +157,6 @@ QUERIES = {
     "op6_token_id_binary_output": op6_token_id_binary_output,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_source_mixing": op9_source_mixing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }

@@ -70,10 +70,10 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(prints)], names=[*batch.schema.names[:-1], "fp"])
 
 
-def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, fp)`` of every document; ``fp`` is the fingerprint as a signed long."""
-    rows = documents.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("binary").alias("_text"))
-    return rows.mapInArrow(_fingerprints, f"{key} bigint, fp bigint")
+def fingerprints(documents: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """``keys`` (as bigint) and ``fp``, the fingerprint as a signed long, of every document."""
+    rows = documents.select(*[F.col(k).cast("bigint").alias(k) for k in keys], F.col(text).cast("binary").alias("_text"))
+    return rows.mapInArrow(_fingerprints, ", ".join([*[f"{k} bigint" for k in keys], "fp bigint"]))
 
 
 def _with_possible_partner(distinct: DataFrame) -> DataFrame:
@@ -113,15 +113,45 @@ def links(distinct: DataFrame) -> DataFrame:
     )
 
 
+def _components(prints: DataFrame) -> DataFrame:
+    """``(fp, component)`` of every distinct fingerprint of a written table."""
+    distinct = prints.select("fp").distinct()
+    emitting = materialize(_with_possible_partner(distinct), "emitting")
+    grouped = components(links(emitting)).withColumnRenamed("node", "fp")
+    return distinct.join(grouped, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``key, fingerprint`` (16 hexadecimal digits), ``component_id``."""
-    prints = materialize(fingerprints(documents, key, text), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min(key).alias("first_id"))
-    emitting = materialize(_with_possible_partner(distinct.select("fp")), "emitting")
-    grouped = components(links(emitting)).withColumnRenamed("node", "fp")
-    named = distinct.join(grouped, "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
-    least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_print = named.join(least, "component").select("fp", "component_id")
-    return prints.join(by_print, "fp").select(
-        key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    prints = materialize(fingerprints(documents, [key], text), "fingerprints")
+    named = _components(prints)
+    firsts = prints.groupBy("fp").agg(F.min(key).alias("first"))
+    least = firsts.join(named, "fp").groupBy("component").agg(F.min("first").alias("component_id"))
+    by_print = materialize(named.join(least, "component").select("fp", "component_id"), "groups")
+    shown = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return prints.join(by_print, "fp").select(key, shown, "component_id")
+
+
+def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, all columns, without all but one of each component.
+
+    The least ``key`` stays (one without a key only if none has one), ties by a hash of the row.
+    """
+    columns = documents.columns
+    row = F.struct(*[F.col(c) for c in columns])
+    rows = documents.select(
+        row.alias("_row"),
+        F.col(key).cast("bigint").alias("_key"),
+        F.xxhash64(*columns).alias("_tie"),
+        F.col(text).alias("_words"),
+    )
+    prints = materialize(fingerprints(rows, ["_key", "_tie"], "_words"), "fingerprints")
+    order = F.struct(F.col("_key").isNull().alias("missing"), F.col("_key").alias("key"), F.col("_tie").alias("tie"))
+    first = prints.groupBy("fp").agg(F.min(order).alias("first")).join(_components(prints), "fp")
+    stays = first.groupBy("component").agg(F.min("first").alias("first")).select(
+        F.col("first.tie").alias("_tie"), F.coalesce("first.key", F.lit(0)).alias("_id")
     )
+    placed = rows.select("_row", "_tie", F.coalesce("_key", F.lit(0)).alias("_id"))
+    # Of rows that are equal throughout one stays.
+    nth = F.row_number().over(Window.partitionBy("_tie", "_id").orderBy(F.lit(0)))
+    return placed.join(stays, ["_tie", "_id"]).withColumn("_nth", nth).filter("_nth = 1").select("_row.*")
