@@ -25,6 +25,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache, partial
 
@@ -39,7 +40,7 @@ from tabgrad.sources.store import scratch_path
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 _LENGTH, _CHECK, _HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<?q")
-_CACHED, _RUN = 500_000, 100_000  # entries remembered; pieces looked up at once
+_CACHED, _RUN = 600_000, 100_000  # entries remembered twice over; pieces looked up at once
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -60,16 +61,45 @@ def frame(payload: bytes) -> bytes:
     )
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that byte-level vocabularies show for a byte: itself if it prints, else from 256 on."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in prints]
+    return {b: b for b in prints} | {b: 256 + n for n, b in enumerate(hidden)}
+
+
+_BYTES = _byte_letters()
+
+
+class _Recent(dict):
+    """What was used of late: at most twice ``_CACHED`` entries, the older half forgotten at a time."""
+
+    old: dict = {}
+
+    def __missing__(self, key: str) -> bytes | None:
+        found = self.old.get(key)
+        if found is not None:
+            self[key] = found
+        return found
+
+    def make_room(self, n: int) -> None:
+        if len(self) + n > _CACHED:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Encodes whole texts with the tokenizers library, remembering the ids of what recurs.
 
     The byte-level pre-tokenizer always breaks between a character that is no white space and a
     space after it, and looks at nothing further back. So a text may be cut there, and equal pieces
-    have equal ids wherever they stand. A piece that is new is cut once more, between a letter and
-    an ASCII mark or line end, and around a single line end, unless it holds an added token.
+    have equal ids wherever they stand. A new piece is cut once more, between a letter and an ASCII
+    mark or line end, and around a single line end, unless it holds an added token. What is letters
+    only is one pre-token and goes to the library's model as such.
     """
 
-    _ODD = re.compile(r"\s ")
+    _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    _ODD = re.compile(r" (?<=\s )")
     _INNER = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[!-@\[-`{-~\n])|(?<=[!-~])(?=\n)|(?<=[!-~]\n)(?=[A-Za-zÀ-ÖØ-öø-ÿ])")
 
     def __init__(self, path: str):
@@ -77,11 +107,13 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u4" if self.tokenizer.get_vocab_size() > 1 << 16 else "<u2")
+        self.code = self.dtype.char  # ids are packed in the machine's order, which is little-endian
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         if any(" " in token for token in self.added):
             raise ValueError("an added token with a space in it could be cut")
-        self.pieces: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.spaced = _Recent()  # ids of a space and the key
+        self.plain = _Recent()  # ids of the key
 
     def _cut(self, text: str) -> list[str]:
         """The pieces of a text, without the space that begins all but the first."""
@@ -96,35 +128,50 @@ class Encoder:
                 joined.append(piece)
         return joined
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
-
-    def _learn(self, run: list[str]) -> None:
-        """Make every piece of ``run`` known; what was known before may be forgotten."""
-        new = {p for p in run if p not in self.pieces}
-        if len(self.pieces) + len(new) > _CACHED:
-            self.pieces, new = {}, {*run}
-        cut = {p: [" " + p] if any(a in p for a in self.added) else self._INNER.split(" " + p) for p in new}
-        missing = {x for parts in cut.values() for x in parts if x not in self.parts}
-        if len(self.parts) + len(missing) > _CACHED:
-            self.parts, missing = {}, {x for parts in cut.values() for x in parts}
-        listed = list(missing)
-        for at in range(0, len(listed), 4096):
-            some = listed[at : at + 4096]
-            self.parts.update(zip(some, self._library(some)))
-        self.pieces.update((p, b"".join([self.parts[x] for x in parts])) for p, parts in cut.items())
+    def _inner(self, piece: str) -> list[str]:
+        if piece.isalpha() or any(a in piece for a in self.added):
+            return [piece]
+        return self._INNER.split(piece)
+
+    def _add(self, known: _Recent, texts: set[str], space: str) -> None:
+        other = []
+        for text in texts:
+            if self._LETTERS.fullmatch(text):
+                shown = (space + text).encode().decode("latin-1").translate(_BYTES)
+                known[text] = array(self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+            else:
+                other.append(text)
+        for at in range(0, len(other), 4096):
+            some = other[at : at + 4096]
+            encoded = self.tokenizer.encode_batch_fast([space + t for t in some], add_special_tokens=False)
+            known.update((t, array(self.code, e.ids).tobytes()) for t, e in zip(some, encoded))
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Make ``pieces`` known."""
+        new = {p for p in pieces if self.spaced[p] is None}
+        cut = {p: parts for p in new if len(parts := self._inner(p)) > 1}
+        heads = {parts[0] for parts in cut.values()}
+        rests = {x for parts in cut.values() for x in parts[1:]}
+        self._add(self.spaced, (new - cut.keys()) | {h for h in heads if self.spaced[h] is None}, " ")
+        self._add(self.plain, {r for r in rests if self.plain[r] is None}, "")
+        for piece, (head, *rest) in cut.items():
+            self.spaced[piece] = b"".join([self.spaced[head], *[self.plain[r] for r in rest]])
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text``, packed."""
         first, *cut = self._cut(text)
-        out = self._library([first])
+        self.plain.make_room(2 * min(len(cut), _RUN) + 1)
+        if self.plain[first] is None:
+            self._add(self.plain, {first}, "")
+        out = [self.plain[first]]
         for at in range(0, len(cut), _RUN):
             run = cut[at : at + _RUN]
-            ids = list(map(self.pieces.get, run))
+            ids = list(map(self.spaced.get, run))
             if None in ids:
-                self._learn(run)
-                ids = [self.pieces[p] for p in run]
+                self.spaced.make_room(2 * len(run))
+                self.plain.make_room(2 * len(run))
+                self._learn({p for p, i in zip(run, ids) if i is None})
+                ids = [self.spaced[p] if i is None else i for p, i in zip(run, ids)]
             out.extend(ids)
         return b"".join(out)
 
