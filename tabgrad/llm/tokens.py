@@ -281,31 +281,25 @@ def unpack(payload: bytes, width: int) -> tuple[int | None, np.ndarray]:
 
 def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     store, root = pafs.FileSystem.from_uri(folder)
-    names = ["part", "doc_id", "start", "n_tokens", "ids_crc32"]
+    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
     for batch in batches:
         for row in batch.to_pylist():
             start, out = 0, []
             for payload in read_records(store, f"{root}/{row['file']}.rec"):
                 doc_id, ids = unpack(payload, row["width"])
-                out.append((row["part"], doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+                out.append((doc_id, row["before"] + start, len(ids), zlib.crc32(ids.tobytes())))
                 start += len(ids)
             if len(out) != row["n_records"] or start != row["n_tokens"]:
                 raise ValueError(f"{row['file']}: records are missing")
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Read every file back: ``doc_id, start, n_tokens, ids_crc32`` per document."""
     manifest = spark.read.parquet(f"{folder}/manifest")
-    # One row per file.
+    # One row per file, which takes along how many ids stand before it.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = manifest.select("part", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)).alias("_before"))
-    files = manifest.repartition(max(1, manifest.count()))
-    records = files.mapInArrow(
-        partial(_read, folder=f"{_uri(folder)}/data"),
-        "part int, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
-    )
-    return records.join(starts, "part").select(
-        "doc_id", (F.col("_before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32"
+    files = manifest.withColumn("before", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)))
+    return files.repartition(max(1, manifest.count())).mapInArrow(
+        partial(_read, folder=f"{_uri(folder)}/data"), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
