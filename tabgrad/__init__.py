@@ -1,6 +1,6 @@
 """Fully-connected neural networks over tables, as Spark jobs."""
 
-from tabgrad.plans.fit import FitResult, TrainConfig, fit, validate
+from tabgrad.plans.fit import FitResult, TrainConfig, fit, fit_features, validate
 from tabgrad.plans.forward import forward, score, score_predictions
 from tabgrad.plans.model import Model
 
@@ -9,6 +9,7 @@ __all__ = [
     "Model",
     "TrainConfig",
     "fit",
+    "fit_features",
     "forward",
     "score",
     "score_predictions",

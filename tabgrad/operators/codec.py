@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabgrad.functions.arrays import densify
+from tabgrad.schema import known_elements
 
 
 def _as_array(df: DataFrame, vector: str) -> Column:
@@ -60,10 +61,10 @@ def pixels_to_array(
     """Feature rows to one vector per sample, gaps filled by index.
 
     Repeated elements are summed before a vector is gathered, so that no group outgrows ``size``;
-    ``unique`` says that there are none and saves the shuffle.
+    ``unique`` says that there are none and saves the shuffle. Elements outside add nothing.
     """
-    inside = features.filter(F.col("idx").between(0, size - 1))
-    rows = inside if unique else sum_repeats(inside)
+    known = known_elements(features, size)
+    rows = known if unique else sum_repeats(known)
     return encode_vector(rows, ["sample_id"], size, as_json, out="x")
 
 
@@ -75,8 +76,19 @@ def explode_weights(weights: DataFrame, vector: str = "weights") -> DataFrame:
     )
 
 
-def collect_weights(params: DataFrame, size: int | None = None) -> DataFrame:
-    """One row per weight to one weight array per neuron, ordered by input index."""
+def collect_weights(params: DataFrame, size: int | None = None, chunk: int | None = None) -> DataFrame:
+    """One row per weight to one weight array per neuron, ordered by input index.
+
+    For neurons whose number of inputs has no bound give ``chunk``: a row then holds the inputs of
+    one run of that many positions, as ``(keys, chunk, inputs, weights)``, and no array outgrows it.
+    """
     keys = [c for c in params.columns if c not in ("input_idx", "w")]
+    if chunk is not None:
+        position = F.expr(f"input_idx div {chunk}").cast("bigint").alias("chunk")
+        entries = F.sort_array(F.collect_list(F.struct("input_idx", "w")))
+        grouped = params.groupBy(*keys, position).agg(entries.alias("_entries"))
+        return grouped.select(
+            *keys, "chunk", F.col("_entries.input_idx").alias("inputs"), F.col("_entries.w").alias("weights")
+        )
     elements = params.withColumnsRenamed({"input_idx": "idx", "w": "value"})
     return encode_vector(elements, keys, size, out="weights")

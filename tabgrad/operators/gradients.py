@@ -41,14 +41,17 @@ def weight_gradient(
     """``(output_idx, input_idx, grad)`` with ``grad = SUM_s g[s, o] * a[s, i] / n``.
 
     With ``width`` outputs known each activation row updates that many running sums per input, and
-    the pairs of a sample's outer product are never written out. Set ``bounded=False`` when a sample
+    the pairs of a sample's outer product are never written out. There is a row for each pair that
+    some sample has, whatever the width. Set ``bounded=False`` when a sample
     may have very many elements, so that such samples are spread over tasks.
     """
-    rows = activations.select("sample_id", F.col("idx").alias("input_idx"), "value")
+    value = F.coalesce("value", F.lit(0.0)).alias("value")
+    rows = activations.select("sample_id", F.col("idx").alias("input_idx"), value)
     if width is not None and width <= PACK_WIDTH:
         units = pack(grad, "sample_id", "idx", "g", width)
         sums = weighted_sums(rows, units, "sample_id", "input_idx", width, bounded=bounded)
         long = sums.select("input_idx", F.posexplode("sums").alias("output_idx", "_sum"))
+        long = long.filter("_sum is not null")
     else:
         long = (
             grad.select("sample_id", F.col("idx").alias("output_idx"), "g")
@@ -76,7 +79,7 @@ def backprop_linear(
     if n_inputs is not None and n_inputs <= PACK_WIDTH:
         units = pack_params(params, "output_idx", "input_idx", n_inputs)
         sums = weighted_sums(rows, units, "output_idx", "sample_id", n_inputs, n_outputs)
-        return sums.select("sample_id", F.posexplode("sums").alias("idx", "g"))
+        return sums.select("sample_id", F.posexplode("sums").alias("idx", "g")).filter("g is not null")
     n_bytes = None if n_inputs is None or n_outputs is None else 24 * n_inputs * n_outputs
     return (
         rows.join(broadcast_within(params, n_bytes), "output_idx")

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabgrad.functions.arrays import densify, relu_column
-from tabgrad.plans.joins import BROADCAST_BYTES, broadcast_within, join_spread
+from tabgrad.plans.joins import BROADCAST_BYTES, join_spread
 
 PACK_WIDTH = 128  # widest layer computed as one aggregate column per output
+_CONSTANT = -2  # position of the input whose weight is the bias
 
 
 def pack(df: DataFrame, by: str, idx: str, value: str, width: int) -> DataFrame:
@@ -43,19 +44,22 @@ def weighted_sums(
     width: int,
     unit_rows: int | None = None,
     bounded: bool = False,
+    how: str = "inner",
 ) -> DataFrame:
     """``(by, sums)`` with ``sums[k] = SUM(value * ws[k])`` over ``rows`` joined to ``units`` on ``key``.
 
+    A sum without a product is NULL. With ``how="left"`` rows that meet no unit keep their ``by``.
+
     Each joined row feeds ``width`` running sums that are combined map-side, instead of ``width``
     rows that are hashed one by one. One shuffle, on ``by``. ``unit_rows`` is the known size of
     ``units``, broadcast when small enough; ``bounded`` says that no key has very many rows.
     """
     if unit_rows is not None and unit_rows * (8 * width + 16) <= BROADCAST_BYTES:
-        joined = rows.join(F.broadcast(units), key)
+        joined = rows.join(F.broadcast(units), key, how)
     elif bounded:
-        joined = rows.join(units, key)
+        joined = rows.join(units, key, how)
     else:
-        joined = join_spread(rows, units, key)
+        joined = join_spread(rows, units, key, how, 8 * width + 16)
     sums = ", ".join(f"sum(value * ws[{k}])" for k in range(width))
     return joined.groupBy(by).agg(F.expr(f"array({sums})").alias("sums"))
 
@@ -69,10 +73,17 @@ def linear_packed(
 ) -> DataFrame:
     """``(sample_id, z array)`` from feature rows and weights packed by input.
 
-    ``n_inputs`` bounds the weight table; without it the join never broadcasts.
+    Absent weights and biases and NULL values count as 0.0, and every sample has all ``width``
+    neurons. ``n_inputs`` bounds the weight table; without it the join never broadcasts.
     """
-    rows = x.select("sample_id", F.col("idx").alias("input_idx"), "value")
-    return add_bias(weighted_sums(rows, units, "input_idx", "sample_id", width, n_inputs), bias, width)
+    rows = _input_rows(x)
+    sums = weighted_sums(rows, units, "input_idx", "sample_id", width, n_inputs, how="left")
+    return add_bias(sums, bias, width)
+
+
+def _input_rows(x: DataFrame) -> DataFrame:
+    value = F.coalesce("value", F.lit(0.0)).alias("value")
+    return x.select("sample_id", F.col("idx").alias("input_idx"), value)
 
 
 def add_bias(sums: DataFrame, bias: DataFrame, width: int) -> DataFrame:
@@ -81,10 +92,9 @@ def add_bias(sums: DataFrame, bias: DataFrame, width: int) -> DataFrame:
         densify(
             F.collect_list(F.struct(F.col("output_idx").alias("idx"), F.col("b").alias("value"))),
             width,
-            fill=None,
         ).alias("bs")
     )
-    shifted = F.zip_with("sums", "bs", lambda s, b: s + b)
+    shifted = F.zip_with("sums", "bs", lambda s, b: F.coalesce(s, F.lit(0.0)) + b)
     return sums.withColumn("bs", offsets.scalar()).select("sample_id", shifted.alias("z"))
 
 
@@ -97,24 +107,34 @@ def linear(
 ) -> DataFrame:
     """``z[s, o] = SUM_i x[s, i] * w[o, i] + b[o]`` as ``(sample_id, idx, z)``.
 
+    Absent weights and biases and NULL values count as 0.0. Every sample has a row for every neuron:
+    all of ``width``, or those that have a weight or a bias.
+
     Up to PACK_WIDTH outputs use packed weights. Wider layers, or unknown widths, join one row per
-    weight; the product rows are summed map-side before the shuffle.
+    weight, the bias being the weight of an input that is 1.0 in every sample; the product rows are
+    summed map-side before the shuffle.
     """
     if width is not None and width <= PACK_WIDTH:
         packed = linear_packed(x, pack_by_input(params, width), bias, width, n_inputs)
         return packed.select("sample_id", F.posexplode("z").alias("idx", "z"))
-    rows = x.select("sample_id", F.col("idx").alias("input_idx"), "value")
-    if width is not None and n_inputs is not None and 24 * width * n_inputs <= BROADCAST_BYTES:
-        joined = rows.join(F.broadcast(params), "input_idx")
+    offsets = bias.groupBy("output_idx").agg(F.sum("b").alias("b"))
+    if width is None:
+        neurons = params.select("output_idx").union(bias.select("output_idx")).distinct()
     else:
-        joined = join_spread(rows, params, "input_idx")
-    sums = joined.groupBy("sample_id", "output_idx").agg(
-        F.sum(F.col("value") * F.col("w")).alias("_sum")
-    )
-    offsets = broadcast_within(bias, None if width is None else 16 * width)
-    return sums.join(offsets, "output_idx").select(
-        "sample_id", F.col("output_idx").alias("idx"), (F.col("_sum") + F.col("b")).alias("z")
+        neurons = params.sparkSession.range(width).select(F.col("id").alias("output_idx"))
+    constant = F.lit(_CONSTANT).cast("bigint").alias("input_idx")
+    biased = neurons.join(offsets, "output_idx", "left").select(
+        F.col("output_idx").cast("int").alias("output_idx"), constant, F.coalesce("b", F.lit(0.0)).alias("w")
     )
+    weights = params.select("output_idx", "input_idx", "w").unionByName(biased)
+    ones = x.select("sample_id").distinct().select("sample_id", constant, F.lit(1.0).alias("value"))
+    rows = _input_rows(x).unionByName(ones)
+    if width is not None and n_inputs is not None and 24 * width * (n_inputs + 1) <= BROADCAST_BYTES:
+        joined = rows.join(F.broadcast(weights), "input_idx")
+    else:
+        joined = join_spread(rows, weights, "input_idx", "inner", None if width is None else 24 * width)
+    sums = joined.groupBy("sample_id", F.col("output_idx").alias("idx"))
+    return sums.agg(F.sum(F.col("value") * F.col("w")).alias("z"))
 
 
 def relu(pre: DataFrame, keep_z: bool = True) -> DataFrame:

@@ -97,6 +97,24 @@ def score_against_truth(labels: DataFrame, predictions: DataFrame, ordered: bool
     return scored.orderBy("sample_id") if ordered else scored
 
 
+def paired_parity(labels: DataFrame, scored: DataFrame) -> DataFrame:
+    """Two models over the same rows, scored side by side, for every labelled sample.
+
+    ``scored`` has the prediction and logit of both, as ``ours_`` and ``theirs_`` columns of one row,
+    so neither is joined to the other.
+    """
+    sides = [f"{tag}_{what}" for tag in ("ours", "theirs") for what in ("prediction", "logit")]
+    joined = labels.select("sample_id", "true_label").join(scored.select("sample_id", *sides), "sample_id", "left")
+    return _compared(joined, F.col("true_label"))
+
+
+def parity_mismatches(parity: DataFrame) -> DataFrame:
+    """The samples on which the two predictions differ, or one is missing."""
+    return parity.filter("predictions_match = 0").select(
+        "sample_id", "true_label", "ours_prediction", "theirs_prediction", "logit_diff"
+    )
+
+
 def prediction_parity(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """Two scored sets side by side, for samples that both hold with the same label.
 
@@ -114,7 +132,11 @@ def prediction_parity(ours: DataFrame, theirs: DataFrame) -> DataFrame:
 
     joined = side(ours, "ours").join(side(theirs, "theirs"), "sample_id")
     label = F.col("ours_label")
-    return joined.filter(label - F.col("theirs_label") == 0).select(
+    return _compared(joined.filter(label - F.col("theirs_label") == 0), label)
+
+
+def _compared(joined: DataFrame, label: Column) -> DataFrame:
+    return joined.select(
         "sample_id",
         label.alias("true_label"),
         "ours_prediction",
@@ -160,17 +182,25 @@ def parity_tier(diff: Column) -> Column:
     return chain.otherwise("DIFFERENT")
 
 
+def paired_logit_parity(scored: DataFrame, ours: str = "ours", theirs: str = "theirs") -> DataFrame:
+    """``logit_parity`` of rows that carry both models' logits as arrays; no join."""
+    largest = F.array_max(F.zip_with(ours, theirs, lambda a, b: F.abs(a - b)))
+    return _parity_tiers(scored.groupBy("sample_id").agg(F.max(largest).alias("max_diff")))
+
+
 def logit_parity(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """Largest logit difference with its tier, per sample and, with sample_id NULL, overall."""
     paired = ours.select("sample_id", "class_idx", F.col("logit").alias("_a")).join(
         theirs.select("sample_id", "class_idx", F.col("logit").alias("_b")), ["sample_id", "class_idx"]
     )
     largest = F.max(F.abs(F.col("_a") - F.col("_b"))).alias("max_diff")
+    return _parity_tiers(paired.groupBy("sample_id").agg(largest))
+
+
+def _parity_tiers(per_sample: DataFrame) -> DataFrame:
     diff = F.col("max_diff")
     return (
-        paired.groupBy("sample_id")
-        .agg(largest)
-        .rollup("sample_id")
+        per_sample.rollup("sample_id")
         .agg(F.max(diff).alias("max_diff"))
         .select("sample_id", "max_diff", parity_tier(diff).alias("tier"), flag(diff < LOGIT_TOLERANCE).alias("passed"))
     )

@@ -1,4 +1,7 @@
-"""Parameter updates. A parameter without a gradient keeps its value."""
+"""Parameter updates.
+
+A parameter without a gradient keeps its value. An absent one is 0.0, and a gradient brings it in.
+"""
 
 from __future__ import annotations
 
@@ -15,8 +18,9 @@ def _positions(params: DataFrame, grads: DataFrame) -> list[str]:
 def _sgd(params: DataFrame, grads: DataFrame, value: str, lr: float) -> DataFrame:
     keys = _positions(params, grads)
     step = F.coalesce(F.col("grad"), F.lit(0.0)) * lr
-    return params.join(grads.select(*keys, "grad"), keys, "left").select(
-        *(c for c in params.columns if c != value), (F.col(value) - step).alias(value)
+    return params.join(grads.select(*keys, "grad"), keys, "full_outer").select(
+        *(c for c in params.columns if c != value),
+        (F.coalesce(F.col(value), F.lit(0.0)) - step).alias(value),
     )
 
 
@@ -41,16 +45,16 @@ def momentum_update(
     Pass the result's key columns and ``velocity`` to the next call.
     """
     keys = _positions(params, grads)
-    joined = params.join(grads.select(*keys, "grad"), keys, "left")
+    joined = params.join(grads.select(*keys, "grad"), keys, "full_outer")
     if velocity is None:
         old = F.lit(0.0)
     else:
-        joined = joined.join(velocity.select(*keys, "velocity"), keys, "left")
+        joined = joined.join(velocity.select(*keys, "velocity"), keys, "full_outer")
         old = F.coalesce(F.col("velocity"), F.lit(0.0))
     new = old * momentum + F.coalesce(F.col("grad"), F.lit(0.0))
     moved = joined.withColumn("_new", new)
     return moved.select(
         *(c for c in params.columns if c != value),
-        (F.col(value) - F.col("_new") * lr).alias(value),
+        (F.coalesce(F.col(value), F.lit(0.0)) - F.col("_new") * lr).alias(value),
         F.col("_new").alias("velocity"),
     )

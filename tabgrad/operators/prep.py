@@ -97,12 +97,10 @@ def sample_stratified(
 
 
 def label_distribution(labels: DataFrame, n_classes: int = 10) -> DataFrame:
-    """Count per class, classes without samples included."""
-    counts = labels.groupBy("true_label").agg(F.count(F.lit(1)).alias("n"))
-    classes = labels.sparkSession.range(n_classes).select(F.col("id").cast("int").alias("true_label"))
-    return classes.join(counts, "true_label", "left").select(
-        "true_label", F.coalesce("n", F.lit(0)).alias("n")
-    )
+    """Count per label: the classes without samples, labels beyond them and NULL included."""
+    classes = labels.sparkSession.range(n_classes).select(F.col("id").cast("int").alias("true_label"), F.lit(0).alias("n"))
+    ones = labels.select(F.col("true_label").cast("int").alias("true_label"), F.lit(1).alias("n"))
+    return classes.unionByName(ones).groupBy("true_label").agg(F.sum("n").alias("n"))
 
 
 def _pairs(layers: Sequence[int]) -> list[tuple[int, int, int]]:

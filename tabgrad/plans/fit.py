@@ -6,18 +6,28 @@ import time
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tabgrad.functions.seeded import order_key
 from tabgrad.operators.batching import BatchTable
-from tabgrad.operators.metrics import flag, loss_and_accuracy
-from tabgrad.plans.forward import score_labelled
+from tabgrad.operators.layers import softmax
+from tabgrad.operators.metrics import flag, loss_and_accuracy, score_samples
+from tabgrad.operators.optim import momentum_update, update_biases, update_weights
+from tabgrad.plans.forward import (
+    checked_vector,
+    choose_strategy,
+    forward,
+    gather_entries,
+    gather_vectors,
+    score_labelled,
+)
 from tabgrad.plans.kernels import Matrices
 from tabgrad.plans.model import Model
-from tabgrad.plans.step import apply_step, gradient_blocks, train_step, unflatten
-from tabgrad.schema import BATCH_METRICS, HISTORY
+from tabgrad.plans.step import gradient_blocks, labelled_samples, train_step, unflatten
+from tabgrad.schema import BATCH_METRICS, HISTORY, known_elements
 from tabgrad.sources.readers import features_from_vectors
-from tabgrad.sources.store import ModelStore, materialize
+from tabgrad.sources.store import ModelStore, discard, materialize, scratch_path, scratch_scope
 
 
 @dataclass(frozen=True)
@@ -72,51 +82,54 @@ def fit(
 ) -> FitResult:
     """Train on ``(sample_id, x, true_label)`` rows and return the model with its history.
 
+    Rows may carry ``entries``, an array of ``(idx, value)``, in place of ``x``; see ``fit_features``.
     ``arrow`` broadcasts the model each step and brings back one summed gradient, the size of the
-    model. ``relational`` keeps parameters in tables, one written version per step. A failing step
-    fails the run. With ``store_path`` each epoch's model is committed as a version.
+    model. ``hybrid`` and ``relational`` keep parameters in tables, one written version per step, and
+    free what a step has written. A failing step fails the run. With ``store_path`` each epoch's
+    model is committed as a version.
     """
     spark = train.sparkSession
-    strategy = config.strategy
-    if strategy == "auto":
-        strategy = "arrow" if model.fits_in_task() else "relational"
-    if strategy not in ("arrow", "relational"):
+    strategy = choose_strategy(model) if config.strategy == "auto" else config.strategy
+    if strategy not in ("arrow", "hybrid", "relational"):
         raise ValueError(f"unknown training strategy {strategy!r}")
     if config.shuffle not in (None, "batches", "samples"):
         raise ValueError(f"unknown shuffle {config.shuffle!r}")
-    trainer = _ArrowTrainer(model, config) if strategy == "arrow" else _TableTrainer(model, config)
+    trainer = _ArrowTrainer(model, config) if strategy == "arrow" else _TableTrainer(model, config, strategy)
     store = ModelStore(spark, config.store_path) if config.store_path else None
     progress = _Progress()
     stopped = False
     table = None
-    for epoch in range(1, config.epochs + 1):
-        started = time.monotonic()
-        if table is None or config.shuffle == "samples":
-            _release(table, config)
-            seed = config.seed if config.shuffle == "samples" else None
-            table = BatchTable(train, config.batch_size, seed, epoch)
-            if config.cache:
-                table.table.persist()
-        order = np.arange(table.n_batches)
-        if config.shuffle == "batches":
-            order = np.random.default_rng([config.seed, epoch]).permutation(table.n_batches)
-        for step, batch_num in enumerate(order.tolist()):
-            n, loss, accuracy = trainer.step(table.read(batch_num))
-            progress.steps.append((epoch, step, batch_num, n, loss, accuracy))
-        elapsed = time.monotonic() - started
-        val_loss = val_accuracy = None
-        if validation is not None and config.validate_every and epoch % config.validate_every == 0:
-            val_loss, val_accuracy = validate(validation, trainer.model()).first()
-            progress.note_validation(epoch, val_loss)
-        progress.epochs.append(
-            _epoch_row(epoch, progress.steps, table.n_batches, val_loss, val_accuracy, elapsed)
-        )
-        if store is not None:
-            store.save(trainer.model().params, trainer.model().biases)
-        if config.early_stopping and progress.waited >= config.early_stopping:
-            stopped = True
-            break
-    _release(table, config)
+    try:
+        for epoch in range(1, config.epochs + 1):
+            started = time.monotonic()
+            if table is None or config.shuffle == "samples":
+                _release(table, config)
+                seed = config.seed if config.shuffle == "samples" else None
+                table = BatchTable(train, config.batch_size, seed, epoch)
+                if config.cache:
+                    table.table.persist()
+            order = range(table.n_batches)
+            if config.shuffle == "batches":
+                order = batch_order(spark, table.n_batches, config.seed, epoch)
+            for step, batch_num in enumerate(order):
+                n, loss, accuracy = trainer.step(table.read(batch_num))
+                progress.steps.append((epoch, step, batch_num, n, loss, accuracy))
+            elapsed = time.monotonic() - started
+            val_loss = val_accuracy = None
+            if validation is not None and config.validate_every and epoch % config.validate_every == 0:
+                val_loss, val_accuracy = validate(validation, trainer.model()).first()
+                progress.note_validation(epoch, val_loss)
+            progress.epochs.append(
+                _epoch_row(epoch, progress.steps, table.n_batches, val_loss, val_accuracy, elapsed)
+            )
+            if store is not None:
+                store.save(trainer.model().params, trainer.model().biases)
+            if config.early_stopping and progress.waited >= config.early_stopping:
+                stopped = True
+                break
+    finally:
+        _release(table, config)
+        trainer.close()
     return FitResult(
         trainer.model(),
         spark.createDataFrame(progress.epochs, HISTORY),
@@ -126,6 +139,44 @@ def fit(
     )
 
 
+def fit_features(
+    features: DataFrame,
+    labels: DataFrame,
+    model: Model,
+    config: TrainConfig,
+    validation: tuple[DataFrame, DataFrame] | None = None,
+) -> FitResult:
+    """Train from long tables: ``(sample_id, idx, value)`` and ``(sample_id, true_label)``.
+
+    The elements of a sample are gathered once, so that a batch is a range of samples; ``validation``
+    is such a pair of tables.
+    """
+    strategy = choose_strategy(model) if config.strategy == "auto" else config.strategy
+
+    def rows(pair: tuple[DataFrame, DataFrame]) -> DataFrame:
+        if strategy == "arrow":
+            samples = gather_vectors(pair[0], model.layers[0])
+        else:
+            samples = gather_entries(known_elements(pair[0], model.layers[0]))
+        return labelled_samples(samples, pair[1], model.n_classes)
+
+    return fit(rows((features, labels)), model, config, validation and rows(validation))
+
+
+def _elements(rows: DataFrame, model: Model) -> DataFrame:
+    """Feature rows of samples that carry ``x`` or ``entries``."""
+    if "entries" in rows.columns:
+        return rows.select("sample_id", F.explode("entries").alias("_e")).select("sample_id", "_e.idx", "_e.value")
+    return features_from_vectors(rows, "sample_id", checked_vector("x", model.layers[0]))
+
+
+def batch_order(spark: SparkSession, n_batches: int, seed: int, epoch: int) -> list[int]:
+    """The order that ``shuffle_batches`` gives the batches of an epoch."""
+    batches = spark.range(n_batches).select(F.col("id").cast("int").alias("batch_num"))
+    keyed = batches.withColumn("_key", order_key(F.col("batch_num"), seed, epoch))
+    return [r["batch_num"] for r in keyed.orderBy("_key", "batch_num").collect()]
+
+
 def _release(table: BatchTable | None, config: TrainConfig) -> None:
     """Free a batch table that no later step reads."""
     if table is not None:
@@ -162,16 +213,15 @@ class _ArrowTrainer:
 
     def step(self, batch: DataFrame) -> tuple[int, float, float]:
         shared = self.spark.sparkContext.broadcast(self.matrices)
-        blocks = sorted(gradient_blocks(batch, shared).collect(), key=lambda r: r["block"])
+        blocks = gradient_blocks(batch, shared).toArrow().sort_by("block")
         shared.destroy()
-        n = sum(r["n"] for r in blocks)
-        flat = np.concatenate([r["grad"] for r in blocks]) / n
+        n, loss, correct = (sum(blocks[c].to_pylist()) for c in ("n", "loss_sum", "correct"))
+        flat = np.concatenate([chunk.flatten().to_numpy() for chunk in blocks["grad"].chunks]) / n
         self.matrices = [
             self._move(k, current, grads)
             for k, (current, grads) in enumerate(zip(self.matrices, unflatten(flat, self.matrices)))
         ]
-        loss = sum(r["loss_sum"] for r in blocks) / n
-        return n, loss, sum(r["correct"] for r in blocks) / n
+        return n, loss / n, correct / n
 
     def _move(self, k: int, current, grads):
         if self.config.momentum:
@@ -182,35 +232,71 @@ class _ArrowTrainer:
     def model(self) -> Model:
         return Model.from_matrices(self.spark, self.matrices)
 
+    def close(self) -> None:
+        pass
+
 
 class _TableTrainer:
     """Holds the model in versioned tables, for models that no single task should hold."""
 
-    def __init__(self, model: Model, config: TrainConfig):
-        if config.momentum:
-            raise ValueError("momentum needs the arrow strategy in fit(); see momentum_update")
+    def __init__(self, model: Model, config: TrainConfig, strategy: str):
+        self.spark = model.params.sparkSession
         self.current = model
         self.config = config
+        self.strategy = strategy
+        self.velocity: list[DataFrame | None] = [None, None]
+        self.written: list[str] = []
 
     def step(self, batch: DataFrame) -> tuple[int, float, float]:
-        features = features_from_vectors(batch, "sample_id", F.col("x"))
-        labels = batch.select("sample_id", "true_label")
-        step = train_step(features, labels, self.current, "relational")
-        metrics = step.metrics.first()
-        updated = apply_step(self.current, step, self.config.lr)
-        self.current = Model(
-            updated.layers,
-            materialize(updated.params, "params"),
-            materialize(updated.biases, "biases"),
-        )
-        return labels.count(), metrics["loss"], metrics["accuracy"]
+        paths = [scratch_path(self.spark, name) for name in ("params", "biases", "velocity", "velocity")]
+        with scratch_scope(self.spark):
+            labels = batch.select("sample_id", "true_label")
+            step = train_step(_elements(batch, self.current), labels, self.current, self.strategy)
+            metrics = step.metrics.first()
+            n = batch.count()
+            tables = (self.current.params, self.current.biases)
+            grads = (step.weight_grads, step.bias_grads)
+            moved = [self._move(k, *pair, value) for k, (*pair, value) in enumerate(zip(tables, grads, "wb"))]
+            params, biases = (materialize(df.drop("velocity"), path=path) for df, path in zip(moved, paths))
+            if self.config.momentum:
+                self.velocity = [
+                    materialize(df.drop("w", "b"), path=path) for df, path in zip(moved, paths[2:])
+                ]
+        self._free()
+        self.written = paths if self.config.momentum else paths[:2]
+        self.current = Model(self.current.layers, params, biases)
+        return n, metrics["loss"], metrics["accuracy"]
+
+    def _move(self, k: int, table: DataFrame, grads: DataFrame, value: str) -> DataFrame:
+        lr, momentum = self.config.lr, self.config.momentum
+        if momentum:
+            moved = momentum_update(table, self.velocity[k], grads, lr, momentum, value)
+            return materialize(moved, "moved")
+        return (update_weights if value == "w" else update_biases)(table, grads, lr)
+
+    def _free(self) -> None:
+        """Delete the tables of the step before."""
+        for path in self.written:
+            discard(self.spark, path)
+        self.written = []
 
     def model(self) -> Model:
         return self.current
 
+    def close(self) -> None:
+        """Delete what is not the model."""
+        for path in self.written[2:]:
+            discard(self.spark, path)
+
 
 def validate(rows: DataFrame, model: Model, strategy: str = "auto") -> DataFrame:
-    """One row ``(loss, accuracy)`` over ``(x, true_label)`` rows: a scan and one small aggregate."""
+    """One row ``(loss, accuracy)`` over ``(x, true_label)`` rows: a scan and one small aggregate.
+
+    Rows with ``entries`` in place of ``x`` are scored by the joins of ``forward``.
+    """
+    if "entries" in rows.columns:
+        logits = forward(_elements(rows, model), model)
+        return loss_and_accuracy(score_samples(softmax(logits), rows.select("sample_id", "true_label")))
     return loss_and_accuracy(score_labelled(rows, model, strategy))
 
 

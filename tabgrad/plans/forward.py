@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +19,11 @@ from tabgrad.operators.layers import (
     linear_packed,
     lookup_sample,
     pack_by_input,
+    predictions,
     relu,
+    softmax,
 )
-from tabgrad.operators.metrics import clamped_loss, flag
+from tabgrad.operators.metrics import clamped_loss, flag, score_samples
 from tabgrad.plans.kernels import (
     grade_rows,
     partial_products,
@@ -30,13 +33,15 @@ from tabgrad.plans.kernels import (
     to_lists,
     to_matrix,
 )
-from tabgrad.plans.model import DENSE_BYTES, Model
+from tabgrad.plans import model as model_limits
+from tabgrad.plans.model import Model
+from tabgrad.schema import known_elements
+from tabgrad.sources.readers import features_from_vectors
+
 
 def choose_row_strategy(model: Model) -> str:
-    """Matrix kernels for rows that carry a feature array, if every task can hold the model."""
-    if not model.fits_in_task():
-        raise ValueError("the model exceeds the limit of row scoring; use forward() on feature rows")
-    return "arrow"
+    """Plan for rows that carry a feature array: matrix kernels, or tables for a larger model."""
+    return "arrow" if model.fits_in_task() else "tables"
 
 
 def choose_strategy(model: Model) -> str:
@@ -44,7 +49,7 @@ def choose_strategy(model: Model) -> str:
     if model.fits_in_task():
         return "arrow"
     tail_bytes = 8 * sum(i * o + o for i, o in zip(model.layers[1:], model.layers[2:]))
-    hybrid = model.layers[1] <= PACK_WIDTH and tail_bytes <= DENSE_BYTES
+    hybrid = model.layers[1] <= PACK_WIDTH and tail_bytes <= model_limits.DENSE_BYTES
     return "hybrid" if hybrid else "relational"
 
 
@@ -54,9 +59,16 @@ def score(
     """Add an array of logits to rows that carry a feature array. No shuffle; works on streams.
 
     ``arrow`` multiplies Arrow batches with numpy; ``dense`` is one JVM expression without Python
-    workers.
+    workers. ``tables`` is for models that no task should hold: it takes the rows apart and joins
+    their logits to them by ``sample_id``, which must be unique.
     """
     strategy = choose_row_strategy(model) if strategy == "auto" else strategy
+    if strategy == "tables":
+        gathered = _table_logits(df, model, features).groupBy("sample_id").agg(
+            F.sort_array(F.collect_list(F.struct("class_idx", "logit"))).alias("_entries")
+        )
+        logits = gathered.select("sample_id", F.col("_entries.logit").alias(out))
+        return df.join(logits, "sample_id", "left").select(*df.columns, out)
     if strategy == "arrow":
         # The second argument keeps the optimizer from inlining a lambda expression that produces
         # the features into the UDF call, which Spark then fails to evaluate.
@@ -68,6 +80,23 @@ def score(
     raise ValueError(f"row scoring has no strategy {strategy!r}; use forward() on feature rows")
 
 
+def _table_logits(df: DataFrame, model: Model, features: str) -> DataFrame:
+    """Logits of rows that carry a feature array, from the joins of ``forward``."""
+    if "sample_id" not in df.columns:
+        raise ValueError("scoring with a model of this size needs the rows' sample_id")
+    strategy = choose_strategy(model)
+    rows = features_from_vectors(df, "sample_id", checked_vector(features, model.layers[0]))
+    return forward(rows, model, "relational" if strategy == "arrow" else strategy)
+
+
+def checked_vector(features: str, width: int):
+    """The vector; a row with one of another width fails the job that reads it."""
+    message = F.lit(f"every sample needs a vector of {width} elements")
+    return F.when(F.size(features) == width, F.col(features)).otherwise(
+        F.raise_error(message).cast("array<double>")
+    )
+
+
 def broadcast_matrices(model: Model):
     return model.params.sparkSession.sparkContext.broadcast(model.matrices())
 
@@ -113,8 +142,7 @@ def gather_vectors(features: DataFrame, width: int, unique: bool = False) -> Dat
     def place(idx: pa.Array, value: pa.Array) -> pa.Array:
         return to_lists(place_entries(idx, value, width))
 
-    inside = features.filter(F.col("idx").between(0, width - 1))
-    entries = gather_entries(inside, unique)
+    entries = gather_entries(known_elements(features, width), unique)
     return entries.select("sample_id", place("entries.idx", "entries.value").alias("x"))
 
 
@@ -132,6 +160,9 @@ def score_predictions(
 
         scored = df.withColumn("_scored", predict(F.col(features), F.size(features)))
         return scored.select(*df.columns, "_scored.prediction", "_scored.logit", "_scored.probability")
+    if strategy == "tables":
+        best = predictions(_table_logits(df, model, features))
+        return df.join(best, "sample_id", "left").select(*df.columns, "prediction", "logit", "probability")
     scored = score(df, model, features, "_logits", strategy)
     logits = F.col("_logits")
     return scored.select(
@@ -154,6 +185,11 @@ def score_labelled(rows: DataFrame, model: Model, strategy: str = "auto") -> Dat
 
         graded = rows.withColumn("_graded", grade("x", F.size("x"), F.col("true_label").cast("int")))
         scored = graded.select(*rows.columns, "_graded.prediction", "_graded.p_true")
+    elif strategy == "tables":
+        probabilities = softmax(_table_logits(rows, model, "x"))
+        graded = score_samples(probabilities, rows.select("sample_id", "true_label"))
+        scored = rows.join(graded.select("sample_id", "prediction", "p_true"), "sample_id", "left")
+        scored = scored.select(*rows.columns, "prediction", "p_true")
     else:
         with_logits = score(rows, model, "x", "_logits", strategy)
         scored = with_logits.select(
@@ -189,6 +225,7 @@ def forward(
     (sample_id, idx) occurs twice, which saves it a shuffle.
     """
     strategy = choose_strategy(model) if strategy == "auto" else strategy
+    features = known_elements(features, model.layers[0])
     if strategy == "relational":
         last = layer_states(features, model)[-1]
         return last.select("sample_id", F.col("idx").alias("class_idx"), F.col("z").alias("logit"))
@@ -269,7 +306,7 @@ def layer_pre(x: DataFrame, model: Model, layer: int) -> DataFrame:
 def layer_states(features: DataFrame, model: Model) -> list[DataFrame]:
     """Per layer ``(sample_id, idx, value, z)``; the last layer's value is its raw logit."""
     states = []
-    x = features
+    x = known_elements(features, model.layers[0])
     for layer in range(1, model.n_layers + 1):
         pre = layer_pre(x, model, layer)
         if layer < model.n_layers:
@@ -290,6 +327,11 @@ def layer_outputs(
 ) -> DataFrame:
     """Hidden activations ``(sample_id, layer, idx, value)``, of one layer or all, optionally idx < first."""
     hidden = range(1, model.n_layers) if layer is None else [layer]
+    if not model.fits_in_task():
+        states = layer_states(features, model)
+        parts = [states[k - 1].select("sample_id", F.lit(k).alias("layer"), "idx", "value") for k in hidden]
+        rows = reduce(DataFrame.unionByName, parts)
+        return rows if first is None else rows.filter(F.col("idx") < first)
 
     def activations(inputs: list[np.ndarray], pre: list[np.ndarray]) -> pa.Array:
         wanted = [inputs[k] for k in hidden]
@@ -300,9 +342,9 @@ def layer_outputs(
         lists = pa.ListArray.from_arrays(pa.array(inner), pa.array(flat))
         return pa.ListArray.from_arrays(pa.array(outer), lists)
 
-    inside = features.filter(F.col("idx").between(0, model.layers[0] - 1))
+    known = known_elements(features, model.layers[0])
     values = _entries_udf(model, activations, "array<array<double>>")
-    vectors = gather_entries(inside, unique).withColumn("_layers", values("entries.idx", "entries.value"))
+    vectors = gather_entries(known, unique).withColumn("_layers", values("entries.idx", "entries.value"))
     rows = (
         vectors.select("sample_id", F.posexplode_outer("_layers").alias("_k", "_values"))
         .select("sample_id", "_k", F.posexplode("_values").alias("idx", "value"))

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabgrad.plans.numbering import shuffle_partitions
-
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 128
 
@@ -18,31 +16,20 @@ def broadcast_within(df: DataFrame, n_bytes: int | None, limit: int = BROADCAST_
     return df
 
 
-def join_spread(rows: DataFrame, units: DataFrame, key: str) -> DataFrame:
-    """Inner join of ``rows`` with ``units`` (few rows per key), both too large to broadcast.
+def join_spread(
+    rows: DataFrame, units: DataFrame, key: str, how: str = "inner", bytes_per_key: int | None = None
+) -> DataFrame:
+    """Join of ``rows`` with ``units``, both too large to broadcast.
 
-    A key that holds more than 1/HOT_SHARE of the rows is spread over all shuffle partitions, and
-    only its unit rows are repeated. At most HOT_SHARE keys can qualify, so the list is bounded.
+    Keys with more than 1/HOT_SHARE of the rows, at most HOT_SHARE of them, meet their units by a
+    broadcast of those units alone, where ``bytes_per_key`` bounds its size (else adaptive execution
+    chooses how to join them); all other rows are shuffled. Nothing runs before the result is
+    read: the keys are a part of the plan, which reads ``rows`` once more for their counts.
     """
-    spread = shuffle_partitions(rows)
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    hot = [
-        r[0]
-        for r in counts.filter(F.col("_rows") * HOT_SHARE > total).select(key).collect()
-        if r[0] is not None
-    ]
-    if not hot:
-        return rows.join(units, key)
-    is_hot = F.col(key).isin(hot)
-    salted_rows = rows.withColumn(
-        "_salt",
-        F.when(is_hot, F.pmod(F.xxhash64(*rows.columns), F.lit(spread)).cast("int")).otherwise(0),
-    )
-    salted_units = units.withColumn(
-        "_salt",
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
-    return salted_rows.join(salted_units, [key, "_salt"]).drop("_salt")
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    total = rows.agg(F.count(F.lit(1)).alias("_all")).scalar()
+    hot = F.broadcast(counts.filter(F.col("_rows") * HOT_SHARE > total).select(key))
+    hot_bytes = None if bytes_per_key is None else HOT_SHARE * bytes_per_key
+    hot_units = broadcast_within(units.join(hot, key, "left_semi"), hot_bytes)
+    spread = rows.join(hot, key, "left_semi").join(hot_units, key, how)
+    return spread.unionByName(rows.join(hot, key, "left_anti").join(units, key, how))

@@ -67,7 +67,7 @@ def partial_products(
 ) -> Iterator[pa.RecordBatch]:
     """Per Arrow batch and sample, ``SUM(value * weights_by_input[idx])`` over the batch's elements.
 
-    Elements outside the layer and NULL values add nothing. A sample that spans batches gives
+    Elements outside the layer and NULL values add nothing, but their sample has a row. A sample that spans batches gives
     several rows, to be summed after the shuffle.
     """
     width = weights_by_input.shape[1]
@@ -78,7 +78,7 @@ def partial_products(
         value = np.asarray(value.fill_null(0.0) if value.null_count else value)
         inside = (idx >= 0) & (idx < len(weights_by_input))
         if not inside.all():
-            samples, idx, value = samples[inside], idx[inside], value[inside]
+            idx, value = np.where(inside, idx, 0), np.where(inside, value, 0.0)
         if not len(samples):
             continue
         if (np.diff(samples) < 0).any():
@@ -200,13 +200,22 @@ def gradient_rows(
 
 def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add up rows that arrive sorted by block, holding one block's sum at a time."""
+    return _sum_runs(batches, None)
+
+
+def sum_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add up rows that arrive sorted by block and group; a sum's slice is its group."""
+    return _sum_runs(batches, "group")
+
+
+def _sum_runs(batches: Iterator[pa.RecordBatch], group: str | None) -> Iterator[pa.RecordBatch]:
     current, counters, total = None, None, None
 
     def flush() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([current], pa.int32()),
-                pa.array([0], pa.int32()),
+                pa.array([current[0]], pa.int32()),
+                pa.array([current[1]], pa.int32()),
                 pa.array([int(counters[0])], pa.int64()),
                 pa.array([counters[1]], pa.float64()),
                 pa.array([int(counters[2])], pa.int64()),
@@ -216,20 +225,22 @@ def sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
+        if not batch.num_rows:
+            continue
         blocks = np.asarray(batch.column("block"))
-        edges = np.flatnonzero(np.diff(blocks)) + 1
+        groups = np.asarray(batch.column(group)) if group else np.zeros_like(blocks)
+        edges = np.flatnonzero(np.diff(blocks) | np.diff(groups)) + 1
         for start, end in zip([0, *edges], [*edges, len(blocks)]):
-            if start == end:
-                continue
             run = batch.slice(start, end - start)
             grad = np.asarray(run.column("grad").flatten()).reshape(end - start, -1).sum(axis=0)
             added = [np.asarray(run.column(c)).sum() for c in ("n", "loss_sum", "correct")]
-            if blocks[start] == current:
+            key = int(blocks[start]), int(groups[start])
+            if key == current:
                 counters = [a + b for a, b in zip(counters, added)]
                 total = total + grad
             else:
                 if current is not None:
                     yield flush()
-                current, counters, total = int(blocks[start]), added, grad
+                current, counters, total = key, added, grad
     if current is not None:
         yield flush()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ DENSE_BYTES = 256 << 20
 class Model:
     """``layers`` are the widths from input to output; hidden layers use ReLU, the last is raw.
 
+    In every plan an absent weight or bias is 0.0, and repeated rows of a position add up.
+
     ``dense`` is the same model in memory, when it was built from there.
     """
 
@@ -76,9 +79,9 @@ class Model:
     def n_bytes(self) -> int:
         return 8 * self.n_params
 
-    def fits_in_task(self, limit: int = DENSE_BYTES) -> bool:
-        """Whether every task may hold the whole model."""
-        return self.n_bytes <= limit
+    def fits_in_task(self, limit: int | None = None) -> bool:
+        """Whether every task may hold the whole model: at most DENSE_BYTES, if no limit is given."""
+        return self.n_bytes <= (DENSE_BYTES if limit is None else limit)
 
     def layer_params(self, layer: int) -> DataFrame:
         return self.params.filter(F.col("layer") == layer).drop("layer")
@@ -99,7 +102,7 @@ class Model:
     def dense_layers(self) -> DataFrame:
         """One row, one column: ``array<struct<layer, units array<struct<o, w, b>>, relu>>``."""
         self._require_dense()
-        units = collect_weights(self.params).join(self.biases, ["layer", "output_idx"])
+        units = reduce(DataFrame.unionByName, (self._units(k) for k in range(1, self.n_layers + 1)))
         by_layer = units.groupBy("layer").agg(
             F.sort_array(
                 F.collect_list(F.struct("output_idx", F.col("weights").alias("w"), "b"))
@@ -110,6 +113,20 @@ class Model:
             F.sort_array(F.collect_list(F.struct("layer", "units", relu.alias("relu")))).alias("layers")
         )
 
+    def _units(self, layer: int) -> DataFrame:
+        """``(layer, output_idx, weights, b)`` of every neuron; what is absent is 0.0 at its own place."""
+        fan_in, fan_out = self.layers[layer - 1], self.layers[layer]
+        neurons = self.params.sparkSession.range(fan_out).select(F.col("id").cast("int").alias("output_idx"))
+        weights = collect_weights(self.layer_params(layer), fan_in)
+        offsets = self.layer_biases(layer).groupBy("output_idx").agg(F.sum("b").alias("b"))
+        joined = neurons.join(weights, "output_idx", "left").join(offsets, "output_idx", "left")
+        return joined.select(
+            F.lit(layer).alias("layer"),
+            "output_idx",
+            F.coalesce("weights", F.array_repeat(F.lit(0.0), fan_in)).alias("weights"),
+            F.coalesce("b", F.lit(0.0)).alias("b"),
+        )
+
     def matrices(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """The model as numpy pairs on the driver; only for models within DENSE_BYTES."""
         self._require_dense()
@@ -118,8 +135,16 @@ class Model:
         result = [
             (np.zeros((o, i)), np.zeros(o)) for i, o in zip(self.layers, self.layers[1:])
         ]
-        w = conform(self.params, PARAMS).toArrow()
-        b = conform(self.biases, BIASES).toArrow()
+        # Summed before they are fetched, so that no more rows come than there are positions.
+        w = conform(self.params, PARAMS).groupBy("layer", "output_idx", "input_idx").agg(F.sum("w").alias("w"))
+        b = conform(self.biases, BIASES).groupBy("layer", "output_idx").agg(F.sum("b").alias("b"))
+        place = [(k, i, o) for k, (i, o) in enumerate(zip(self.layers, self.layers[1:]), start=1)]
+        outside = F.lit(True)
+        for layer, fan_in, fan_out in place:
+            here = (F.col("layer") == layer) & F.col("output_idx").between(0, fan_out - 1)
+            outside = outside & ~F.coalesce(here & F.col("input_idx").between(0, fan_in - 1), F.lit(False))
+        require_valid(w.filter(outside).select("layer", "output_idx", "input_idx"), "positions of weights")
+        w, b = w.toArrow(), b.toArrow()
         w_layer, w_out, w_in, w_value = (c.to_numpy() for c in w.columns)
         b_layer, b_out, b_value = (c.to_numpy() for c in b.columns)
         for layer, (weights, bias) in enumerate(result, start=1):

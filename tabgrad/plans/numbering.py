@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tabgrad.sources.store import materialize
 
+SLICE_BYTES = 256 << 20
+MOST_SLICES = 1 << 17
 _SLICE_ROW_BITS = 33  # low bits of monotonically_increasing_id hold the row's place in its partition
 
 
@@ -14,6 +16,16 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slice_count(df: DataFrame, target_bytes: int | None = None) -> int:
+    """Slices of about ``target_bytes`` by the optimizer's estimate, one per shuffle partition at least.
+
+    The estimate of a plan with joins can be far too high, so the count ends at MOST_SLICES.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = -(-size // (SLICE_BYTES if target_bytes is None else target_bytes))
+    return max(shuffle_partitions(df), min(wanted, MOST_SLICES))
+
+
 def write_slices(
     df: DataFrame, keys: list[str | Column], path: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -26,7 +38,7 @@ def write_slices(
     """
     order = [F.col(k) if isinstance(k, str) else k for k in keys]
     placed = (
-        df.repartitionByRange(shuffle_partitions(df), *order)
+        df.repartitionByRange(slice_count(df), *order)
         .withColumn("slice", F.spark_partition_id())
         .sortWithinPartitions("slice", *order)
         .withColumn(

@@ -44,12 +44,15 @@ from tabgrad.plans.kernels import (
     hidden_deltas,
     partial_gradients,
     sum_blocks,
+    sum_groups,
     to_lists,
     to_matrix,
 )
 from tabgrad.plans.model import Model
+from tabgrad.schema import OUTSIDE, checked_label, known_elements
 from tabgrad.sources.store import materialize
 
+FAN_IN = 64  # tasks whose gradients are added up before their sum moves on
 BLOCK_SIZE = 1 << 13  # parameters per block: 64 KiB from each task to the block's sum
 
 
@@ -66,9 +69,12 @@ def _packed(width: int) -> int | None:
     return width if width <= PACK_WIDTH else None
 
 
-def with_features(labels: DataFrame, features: DataFrame) -> DataFrame:
-    """Labels of samples that have features, which are the samples of the batch."""
-    return labels.join(features.select("sample_id").distinct(), "sample_id", "left_semi")
+def labelled_samples(samples: DataFrame, labels: DataFrame, n_classes: int) -> DataFrame:
+    """``samples`` with ``true_label``; one that has no label, or no class, fails the step."""
+    kept = [c for c in samples.columns if c != "true_label"]
+    return samples.join(labels.select("sample_id", "true_label"), "sample_id", "left").select(
+        *kept, checked_label(n_classes).alias("true_label")
+    )
 
 
 def relational_step(features: DataFrame, labels: DataFrame, model: Model) -> Step:
@@ -76,8 +82,9 @@ def relational_step(features: DataFrame, labels: DataFrame, model: Model) -> Ste
 
     States and gradients of a layer are read more than once, so each is written once.
     """
-    labels = with_features(labels, features)
-    inputs, x = [features], features
+    features = known_elements(features, model.layers[0])
+    labels = labelled_samples(features.select("sample_id").distinct(), labels, model.n_classes)
+    inputs, x = [features.filter(F.col("idx") != OUTSIDE)], features
     for layer in range(1, model.n_layers + 1):
         pre = layer_pre(x, model, layer)
         x = materialize(relu(pre) if layer < model.n_layers else pre, f"state{layer}")
@@ -120,7 +127,10 @@ def hybrid_step(
     task. Work follows the elements that exist. First-layer gradients come only for inputs seen.
     """
     width = tail.layers[0]
-    hidden = linear_packed(features, units, bias, width, n_inputs).join(labels, "sample_id")
+    if n_inputs is not None:
+        features = known_elements(features, n_inputs)
+    hidden = linear_packed(features, units, bias, width, n_inputs)
+    hidden = labelled_samples(hidden, labels, tail.n_classes)
     hidden = materialize(hidden.select("sample_id", "z", "true_label"), "hidden")
     active = F.transform("z", lambda z: F.greatest(F.lit(0.0), z))
     rest = arrow_step(hidden.select(active.alias("x"), "true_label"), tail)
@@ -132,7 +142,8 @@ def hybrid_step(
 
     per_sample = hidden.select("sample_id", deltas("z", "true_label").alias("ws"))
     n = batch_count(hidden).scalar()
-    rows = features.select("sample_id", F.col("idx").alias("input_idx"), "value")
+    value = F.coalesce("value", F.lit(0.0)).alias("value")
+    rows = features.filter("idx >= 0").select("sample_id", F.col("idx").alias("input_idx"), value)
     sums = weighted_sums(rows, per_sample, "sample_id", "input_idx", width)
     first = F.lit(1).alias("layer")
     weight_grads = sums.select(
@@ -159,7 +170,7 @@ def train_step(features: DataFrame, labels: DataFrame, model: Model, strategy: s
     """
     strategy = choose_strategy(model) if strategy == "auto" else strategy
     if strategy == "arrow":
-        vectors = gather_vectors(features, model.layers[0]).join(labels, "sample_id")
+        vectors = labelled_samples(gather_vectors(features, model.layers[0]), labels, model.n_classes)
         return arrow_step(vectors, model)
     if strategy == "relational":
         return relational_step(features, labels, model)
@@ -173,9 +184,10 @@ def train_step(features: DataFrame, labels: DataFrame, model: Model, strategy: s
 def gradient_blocks(rows: DataFrame, model_matrices, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Summed gradient of ``(x, true_label)`` rows, as one row per block of parameters.
 
-    Each task adds up its own rows and emits one vector, cut into blocks; the blocks are summed by
-    separate tasks in slice order, so a partitioning always gives the same sum. ``model_matrices``
-    is a broadcast of ``Model.matrices()``.
+    Each task adds up its own rows and emits one vector, cut into blocks. The blocks are summed in
+    two levels, FAN_IN tasks at a time and then their sums, in slice order: a task reads FAN_IN rows
+    of a block or one for each group, and a partitioning always gives the same sum.
+    ``model_matrices`` is a broadcast of ``Model.matrices()``.
     """
     def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return partial_gradients(batches, model_matrices.value, block_size)
@@ -183,7 +195,10 @@ def gradient_blocks(rows: DataFrame, model_matrices, block_size: int = BLOCK_SIZ
     parts = rows.select("x", F.col("true_label").cast("int").alias("true_label")).mapInArrow(
         partials, GRADIENT_SCHEMA
     )
-    spread = parts.repartition("block").sortWithinPartitions("block", "slice")
+    group = F.expr(f"slice div {FAN_IN}").cast("int")
+    grouped = parts.withColumn("group", group).repartition("block", "group")
+    sums = grouped.sortWithinPartitions("block", "group", "slice").mapInArrow(sum_groups, GRADIENT_SCHEMA)
+    spread = sums.repartition("block").sortWithinPartitions("block", "slice")
     return spread.mapInArrow(sum_blocks, GRADIENT_SCHEMA)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +66,36 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
 
 
+OUTSIDE = -1  # position of elements that lie outside the input layer
+
+
+def known_elements(features: DataFrame, width: int) -> DataFrame:
+    """Feature rows by the rules that every plan follows.
+
+    NULL counts as 0.0. An element outside ``0..width - 1`` adds nothing, but its sample is one of
+    the samples: it gets position OUTSIDE and value 0.0.
+    """
+    inside = F.coalesce(F.col("idx").between(0, width - 1), F.lit(False))
+    value = F.when(inside, F.coalesce("value", F.lit(0.0))).otherwise(0.0)
+    idx = F.when(inside, F.col("idx")).otherwise(F.lit(OUTSIDE))
+    return features.select("sample_id", idx.alias("idx"), value.alias("value"))
+
+
+def outside_elements(features: DataFrame, width: int) -> DataFrame:
+    """One row ``(elements, samples)``: what ``known_elements`` counts as nothing."""
+    inside = F.coalesce(F.col("idx").between(0, width - 1), F.lit(False))
+    return features.filter(~inside).agg(
+        F.count(F.lit(1)).alias("elements"), F.countDistinct("sample_id").alias("samples")
+    )
+
+
+def checked_label(n_classes: int) -> Column:
+    """``true_label``; a sample without a label in ``0..n_classes - 1`` fails the job that reads it."""
+    label = F.col("true_label")
+    message = F.format_string(f"labels must be in 0..{n_classes - 1}, found %s", label.cast("string"))
+    return F.when(label.between(0, n_classes - 1), label).otherwise(F.raise_error(message).cast("int"))
+
+
 def key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that are NULL or occur more than once; duplicates would multiply joined rows."""
     null_key = F.lit(False)

@@ -14,30 +14,43 @@ from tabgrad.schema import BIASES, FEATURES, LABELS, PARAMS, conform
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    rename: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Read csv / json / parquet / orc with a declared schema and no inference pass."""
+    """Read csv / json / parquet / orc into ``schema``, by column name and with no inference pass.
+
+    ``rename`` gives the canonical names of columns that the files call differently. CSV columns may
+    stand in any order; a missing one, and text that is no value of its type, is an error.
+    """
+    rename = rename or {}
     if fmt == "csv":
-        return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
-    if fmt == "json":
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    return conform(spark.read.format(fmt).load(path), schema)
+        rows = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    elif fmt == "json":
+        given = {new: old for old, new in rename.items()}
+        named = T.StructType([T.StructField(given.get(f.name, f.name), f.dataType) for f in schema])
+        rows = spark.read.schema(named).option("mode", "FAILFAST").json(path)
+    else:
+        rows = spark.read.format(fmt).load(path)
+    return conform(rows.toDF(*[rename.get(c, c) for c in rows.columns]), schema)
 
 
-def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return read_table(spark, path, FEATURES, fmt)
+def read_features(spark: SparkSession, path: str, fmt: str = "parquet", rename: dict | None = None) -> DataFrame:
+    return read_table(spark, path, FEATURES, fmt, rename)
 
 
-def read_labels(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return read_table(spark, path, LABELS, fmt)
+def read_labels(spark: SparkSession, path: str, fmt: str = "parquet", rename: dict | None = None) -> DataFrame:
+    return read_table(spark, path, LABELS, fmt, rename)
 
 
-def read_params(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return read_table(spark, path, PARAMS, fmt)
+def read_params(spark: SparkSession, path: str, fmt: str = "parquet", rename: dict | None = None) -> DataFrame:
+    return read_table(spark, path, PARAMS, fmt, rename)
 
 
-def read_biases(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return read_table(spark, path, BIASES, fmt)
+def read_biases(spark: SparkSession, path: str, fmt: str = "parquet", rename: dict | None = None) -> DataFrame:
+    return read_table(spark, path, BIASES, fmt, rename)
 
 
 def read_weight_rows(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> DataFrame:
@@ -47,8 +60,7 @@ def read_weight_rows(spark: SparkSession, paths: Sequence[str], fmt: str = "parq
         reader = spark.read.format(fmt)
         if fmt == "csv":
             # A quote inside a quoted field is doubled.
-            reader = reader.schema("output_idx int, weights string").option("header", True)
-            reader = reader.option("escape", '"').option("mode", "FAILFAST")
+            reader = reader.option("header", True).option("escape", '"').option("mode", "FAILFAST")
         rows = reader.load(path).select(F.lit(layer).alias("layer"), "output_idx", "weights")
         return conform(explode_weights(rows), PARAMS)
 

@@ -8,13 +8,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tabgrad.operators.codec import collect_weights, encode_vector
-from tabgrad.schema import HISTORY
+from tabgrad.schema import HISTORY, conform
 
 
 def workspace(spark: SparkSession) -> str:
@@ -32,9 +35,29 @@ def _local_workspace(application_id: str) -> str:
     return tempfile.mkdtemp(prefix=f"tabgrad-{application_id}-")
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the workspace."""
-    return f"{workspace(spark)}/tabgrad/{name}-{uuid.uuid4().hex}"
+    path = f"{workspace(spark)}/tabgrad/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end every scratch table that was named inside; results must be written outside.
+
+    For code on the driver that is one thread, such as the training loop.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            discard(spark, path)
 
 
 def materialize(
@@ -86,23 +109,39 @@ class ModelStore:
                 found.append(int(name.split("=")[1]))
         return sorted(found)
 
-    def save(self, params: DataFrame, biases: DataFrame) -> int:
-        """Commit weights and biases together, in one write, as the next version."""
+    def save(
+        self, params: DataFrame, biases: DataFrame, normalizer: tuple[float, float] | None = None
+    ) -> int:
+        """Commit weights, biases and the inputs' ``(mean, std)`` in one write, as the next version."""
         version = (self.versions() or [-1])[-1] + 1
         rows = params.select("layer", "output_idx", "input_idx", F.col("w").alias("value")).unionByName(
             biases.select("layer", "output_idx", F.col("b").alias("value")), allowMissingColumns=True
         )
+        if normalizer is not None:
+            # Layer 0 is the scaling of the inputs.
+            pair = self.spark.createDataFrame(
+                [(0, k, float(v)) for k, v in enumerate(normalizer)], "layer int, output_idx bigint, value double"
+            )
+            rows = rows.unionByName(pair, allowMissingColumns=True)
         rows.write.mode("errorifexists").parquet(f"{self.path}/version={version}")
         return version
 
-    def load(self, version: int | None = None) -> tuple[DataFrame, DataFrame]:
-        """Weights and biases of ``version``, by default the newest committed one."""
+    def _rows(self, version: int | None) -> DataFrame:
         if version is None:
             known = self.versions()
             if not known:
                 raise FileNotFoundError(f"no committed model version in {self.path}")
             version = known[-1]
-        rows = self.spark.read.parquet(f"{self.path}/version={version}")
+        return self.spark.read.parquet(f"{self.path}/version={version}")
+
+    def normalizer(self, version: int | None = None) -> tuple[float, float] | None:
+        """``(mean, std)`` that the version's inputs were scaled with, if it was saved with them."""
+        found = self._rows(version).filter("layer = 0").orderBy("output_idx").select("value").collect()
+        return tuple(r["value"] for r in found) if found else None
+
+    def load(self, version: int | None = None) -> tuple[DataFrame, DataFrame]:
+        """Weights and biases of ``version``, by default the newest committed one."""
+        rows = self._rows(version).filter("layer > 0")
         params = rows.filter("input_idx is not null").select(
             "layer", "output_idx", "input_idx", F.col("value").alias("w")
         )
@@ -117,10 +156,18 @@ class ModelStore:
 
 
 def export_params(
-    params: DataFrame, biases: DataFrame, path: str, as_json: bool = False, fmt: str = "parquet"
+    params: DataFrame,
+    biases: DataFrame,
+    path: str,
+    as_json: bool = False,
+    fmt: str = "parquet",
+    chunk: int | None = None,
 ) -> None:
-    """Write one weight row per neuron and a bias table, both partitioned by layer."""
-    weights = collect_weights(params)
+    """Write one weight row per neuron and a bias table, both partitioned by layer.
+
+    With ``chunk`` a neuron has a row per run of that many inputs, so that any number of them fits.
+    """
+    weights = collect_weights(params, chunk=chunk)
     if as_json:
         weights = encode_vector(
             params.select("layer", "output_idx", F.col("input_idx").alias("idx"), F.col("w").alias("value")),
@@ -145,7 +192,9 @@ def append_history(rows: DataFrame, path: str, fmt: str = "csv") -> None:
 
 
 def read_history(spark: SparkSession, path: str, fmt: str = "csv", schema=HISTORY) -> DataFrame:
-    reader = spark.read.schema(schema).format(fmt)
+    """A history folder with its types, by column name."""
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.load(path)
+        reader = reader.option("header", True).option("mode", "FAILFAST")
+    return conform(reader.load(path), schema)

@@ -119,6 +119,38 @@ def best(tag: str = "") -> str:
   where place = 1)"""
 
 
+def forward_gaps(layers) -> str:
+    """``forward`` where what is absent counts as 0.0 and every sample has every neuron."""
+    ctes, source = [], "x"
+    for k, width in enumerate(layers[1:], start=1):
+        ctes.append(
+            f"s{k} as (select s.sample_id, w.output_idx, sum(s.value * w.w) as total from {source} s "
+            f"join params w on w.layer = {k} and w.input_idx = s.idx group by s.sample_id, w.output_idx)"
+        )
+        ctes.append(
+            f"z{k} as (select i.sample_id, cast(n.range as int) as idx, coalesce(total, 0) + coalesce(b, 0) as z "
+            f"from ids i cross join range({width}) n "
+            f"left join s{k} s on s.sample_id = i.sample_id and s.output_idx = n.range "
+            f"left join biases b on b.layer = {k} and b.output_idx = n.range)"
+        )
+        ctes.append(f"a{k} as (select sample_id, idx, greatest(z, 0.0) as value, z from z{k})")
+        source = f"a{k}"
+    ctes.append(f"logits as (select sample_id, idx as class_idx, z as logit from z{len(layers) - 1})")
+    return ",\n".join(ctes)
+
+
+GAPS = f"""{VECTORS},
+given as (
+  select sample_id, case when (sample_id + idx) % 11 = 0 or sample_id % 50 = 3 then idx + 64 else idx end as idx,
+         case when (sample_id + idx) % 13 <> 0 then floor(raw * 1024 + 0.5) / 1024 else 0 end as value
+  from vectors where (sample_id * 7 + idx) % 5 <> 0),
+ids as (select distinct sample_id from given),
+x as (select * from given where idx < 64),
+{params(t.VECTOR_LAYERS, tag="_whole")},
+params as (select * from params_whole where (output_idx * 3 + input_idx) % 4 <> 0),
+biases as (select * from biases_whole where output_idx % 5 <> 1)"""
+ORACLE["forward_pass_gaps"] = with_(GAPS, forward_gaps(t.VECTOR_LAYERS), select="select * from logits")
+
 VECTOR_FORWARD = X + ",\n" + params(t.VECTOR_LAYERS) + ",\n" + forward(3)
 SMALL_FORWARD = X + ",\n" + params(t.SMALL_LAYERS) + ",\n" + forward(2)
 ORDER_FORWARD = ORDER_X + ",\n" + params(t.ORDER_LAYERS) + ",\n" + forward(3)
@@ -184,10 +216,11 @@ ORACLE["pixels_to_array"] = with_(
 ORACLE["explode_weights"] = with_(
     X, select="select 1 as layer, sample_id as output_idx, idx as input_idx, value as w from x"
 )
-ORACLE["collect_weights"] = with_(
-    X,
-    select=f"select 1 as layer, sample_id as output_idx, {WHOLE.format('value', 'idx')} as weights from x group by sample_id",
-)
+_RUNS = f"""runs as (
+  select layer, output_idx, input_idx // 256 as chunk, string_agg(cast(input_idx as varchar), ',' order by input_idx) as inputs,
+         {WHOLE.format('w', 'input_idx')} as weights
+  from proto_params group by layer, output_idx, input_idx // 256)"""
+ORACLE["collect_weights"] = with_(PROTOTYPES, _RUNS, select="select * from runs")
 ORACLE["normalize_flatten"] = with_(
     VECTORS,
     select="select sample_id, idx, (raw - cast(0.1307 as double)) / cast(0.3081 as double) as value from vectors",
@@ -246,13 +279,13 @@ ORACLE["model_summary"] = with_(
 )
 ORACLE["export_params"] = with_(
     PROTOTYPES,
-    select=f"""select p.layer, p.output_idx, {WHOLE.format('w', 'input_idx')} as weights, any_value(b) as b
-from proto_params p join proto_biases q on p.layer = q.layer and p.output_idx = q.output_idx
-where p.layer = 1 group by p.layer, p.output_idx""",
+    _RUNS,
+    select="select r.*, b from runs r join proto_biases q on r.layer = q.layer and r.output_idx = q.output_idx",
 )
 ORACLE["materialize"] = with_(ORDER_FORWARD, select="select * from logits")
 ORACLE["replace_params"] = with_(
-    PROTOTYPES, select="select layer, output_idx, input_idx, w * 0.75::double * 0.75::double as w from proto_params"
+    PROTOTYPES, select="select layer, output_idx, input_idx, w * 0.75::double * 0.75::double as w, cast(null as double) as b from proto_params "
+    "union all select layer, output_idx, null, null, b from proto_biases"
 )
 _OVERALL = """select count(*) as total_samples, cast(sum(correct) as bigint) as correct_predictions,
   round(avg(correct) * 100, 2) as accuracy_percentage from scored"""
@@ -407,12 +440,17 @@ ORACLE["update_momentum"] = with_(
 )
 
 
-def step(n_layers: int, x: str, truth: str, tag: str = "", model: str | None = None) -> str:
-    """CTEs of one training step over ``x`` and ``truth``: gradients dwK, dbK and one metrics row."""
+def step(
+    n_layers: int, x: str, truth: str, tag: str = "", model: str | None = None, scored: str | None = None
+) -> str:
+    """CTEs of one training step over ``x`` and ``truth``: gradients dwK, dbK and one metrics row.
+
+    ``scored`` replaces the CTEs of the forward pass.
+    """
     model = tag if model is None else model
     n = n_layers
     ctes = [
-        forward(n, x, tag, model),
+        scored or forward(n, x, tag, model),
         softmax(tag),
         f"size{tag} as (select count(*) as n from {truth})",
         f"g{n}{tag} as (select p.sample_id, p.class_idx as idx, probability - case when class_idx = true_label then 1 else 0 end as g "
@@ -476,6 +514,9 @@ def updated_select(n_layers: int, lr: float) -> str:
     return "\nunion all ".join(parts)
 
 
+ORACLE["train_step_gaps"] = with_(
+    GAPS, TRUTH, step(3, "x", "truth", scored=forward_gaps(t.VECTOR_LAYERS)), select=gradient_select(3)
+)
 ORACLE["train_step_array"] = with_(
     X, params(t.VECTOR_LAYERS), TRUTH, step(3, "x", "truth"), select=updated_select(3, 0.01)
 )
@@ -587,7 +628,7 @@ history as (select e.*, val_loss, val_accuracy from epochs e left join checks c
 
 _TRAINING = _training(0.125, 0.5, epochs=2, n_batches=2)
 _MEASURES = ("train_loss", "train_accuracy", "weighted_loss", "weighted_accuracy")
-ORACLE["fit"] = with_(_TRAINING, select=f"select epoch, {r6(*_MEASURES, 'val_loss', 'val_accuracy')} from history")
+ORACLE["fit_relational"] = ORACLE["fit_sparse"] = ORACLE["fit_long"] = ORACLE["fit"] = with_(_TRAINING, select=f"select epoch, {r6(*_MEASURES, 'val_loss', 'val_accuracy')} from history")
 ORACLE["epoch_metrics"] = with_(_TRAINING, select=f"select epoch, {r6(*_MEASURES)} from epochs")
 ORACLE["validate_every"] = with_(
     _TRAINING,
@@ -603,7 +644,8 @@ ORACLE["best_epoch"] = with_(
 ORACLE["history_summary"] = with_(
     _TRAINING,
     select="""select count(*) as epochs, round(min(val_loss), 6) as best_val_loss,
-  round(arg_max(train_loss, epoch), 6) as final_train_loss, round(arg_max(train_accuracy, epoch), 6) as final_train_accuracy
+  round(arg_max(train_loss, epoch), 6) as final_train_loss, round(arg_max(train_accuracy, epoch), 6) as final_train_accuracy,
+  round(sum(epoch * 0.25::double), 6) as total_time, round(avg(epoch * 0.25::double), 6) as mean_time
 from history""",
 )
 
@@ -662,6 +704,10 @@ ORACLE["validate"] = with_(
 )
 ORACLE["score_against_truth"] = with_(ORDER_SCORED, select="select * from scored order by sample_id")
 ORACLE["prediction_parity"] = with_(ORDER_PARITY, select="select * from parity")
+ORACLE["parity_mismatches"] = with_(
+    ORDER_PARITY,
+    select="select sample_id, true_label, ours_prediction, theirs_prediction, logit_diff from parity where predictions_match = 0",
+)
 ORACLE["parity_summary"] = with_(
     ORDER_PARITY,
     select="""select *, total_samples - matches as mismatches,

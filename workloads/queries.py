@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabgrad import Model, TrainConfig, fit, forward, score_predictions
+from tabgrad import Model, TrainConfig, fit, fit_features, forward, score, score_predictions
 from tabgrad.functions import dot_product
 from tabgrad.operators import batching, codec, gradients, layers, metrics, optim, prep, reports, tagged
 from tabgrad.plans.fit import best_epoch, epoch_metrics, history_summary, validate
@@ -27,14 +27,17 @@ from tabgrad.plans.step import (
     relational_step,
     train_step,
 )
-from tabgrad.schema import FEATURES, LABELS, conform
 from tabgrad.sources import (
     ModelStore,
     append_history,
     export_params,
     inline_values,
     materialize,
+    read_biases,
+    read_features,
     read_history,
+    read_labels,
+    read_params,
     scratch_path,
 )
 from workloads import tables as t
@@ -94,22 +97,39 @@ def order_logits(spark: SparkSession, sf: str, scale: int = 128) -> DataFrame:
 # Scans, encodings, preparation, sinks
 
 
+def _stored(df: DataFrame, fmt: str) -> str:
+    """Write a table as CSV with a header or as JSON; returns the folder."""
+    path = scratch_path(df.sparkSession, "input")
+    writer = df.write.format(fmt)
+    (writer.option("header", True) if fmt == "csv" else writer).save(path)
+    return path
+
+
 @query("scan_features")
 def query_scan_features(spark, sf):
-    return conform(t.vector_features(spark, sf), FEATURES)
+    """Features from CSV files with other names and another order of columns."""
+    names = {"idx": "pixel_idx", "value": "pixel_value"}
+    stored = t.vector_features(spark, sf).select("value", "idx", "sample_id").withColumnsRenamed(names)
+    return read_features(spark, _stored(stored, "csv"), "csv", {v: k for k, v in names.items()})
 
 
 @query("scan_labels")
 def query_scan_labels(spark, sf):
-    marks = t.table(spark, sf, "labels").withColumnsRenamed({"doc_id": "sample_id", "quality": "true_label"})
-    return conform(marks, LABELS)
+    """Labels from JSON files under the names of the table."""
+    marks = t.table(spark, sf, "labels").select("quality", "toxic", "doc_id")
+    return read_labels(spark, _stored(marks, "json"), "json", {"doc_id": "sample_id", "quality": "true_label"})
 
 
 @query("scan_params")
 def query_scan_params(spark, sf):
-    params = t.prototype_params(spark, sf).withColumnRenamed("w", "value")
-    biases = t.prototype_biases(spark, sf).withColumnRenamed("b", "value")
-    return params.unionByName(biases, allowMissingColumns=True)
+    """Weights from CSV files and biases from JSON files."""
+    stored = t.prototype_params(spark, sf).select("w", "input_idx", "layer", "output_idx")
+    weights = read_params(spark, _stored(stored.withColumnRenamed("w", "weight_value"), "csv"), "csv", {"weight_value": "w"})
+    biases = read_biases(spark, _stored(t.prototype_biases(spark, sf), "json"), "json")
+    rows = weights.withColumnRenamed("w", "value").unionByName(
+        biases.withColumnRenamed("b", "value"), allowMissingColumns=True
+    )
+    return rows.withColumns({c: F.col(c).cast("bigint") for c in ("output_idx", "input_idx")})
 
 
 @query("decode_vector")
@@ -136,10 +156,18 @@ def query_explode_weights(spark, sf):
     return codec.explode_weights(t.prototype_weights(spark, sf))
 
 
+WEIGHT_RUN = 256
+
+
+def _as_text(weights: DataFrame) -> DataFrame:
+    inputs = F.array_join(F.transform("inputs", lambda i: i.cast("string")), ",")
+    return weights.withColumns({"inputs": inputs, "weights": whole_numbers("weights")})
+
+
 @query("collect_weights")
 def query_collect_weights(spark, sf):
-    params = t.prototype_params(spark, sf).filter("layer = 1")
-    return codec.collect_weights(params).withColumn("weights", whole_numbers("weights"))
+    """Both layers; a neuron of the second has one input per stored vector, so arrays come in runs."""
+    return _as_text(codec.collect_weights(t.prototype_params(spark, sf), chunk=WEIGHT_RUN))
 
 
 @query("normalize_flatten")
@@ -197,13 +225,11 @@ def query_model_summary(spark, sf):
 
 @query("export_params")
 def query_export_params(spark, sf):
-    params = t.prototype_params(spark, sf).filter("layer = 1")
-    biases = t.prototype_biases(spark, sf).filter("layer = 1")
     path = scratch_path(spark, "export")
-    export_params(params, biases, path)
-    weights = spark.read.parquet(f"{path}/weights")
+    export_params(t.prototype_params(spark, sf), t.prototype_biases(spark, sf), path, chunk=WEIGHT_RUN)
+    weights = _as_text(spark.read.parquet(f"{path}/weights"))
     return weights.join(spark.read.parquet(f"{path}/biases"), ["layer", "output_idx"]).select(
-        "layer", "output_idx", whole_numbers("weights").alias("weights"), "b"
+        "layer", "output_idx", "chunk", "inputs", "weights", "b"
     )
 
 
@@ -226,7 +252,8 @@ def query_replace_params(spark, sf):
 
     store.replace(shrink)
     store.replace(shrink)
-    return store.load()[0]
+    params, biases = store.load()
+    return params.unionByName(biases, allowMissingColumns=True)
 
 
 def _tagged_parts(spark, sf):
@@ -257,7 +284,13 @@ def query_inline_values(spark, sf):
 
 
 def _parity(spark, sf):
-    return metrics.prediction_parity(order_truth(spark, sf), order_truth(spark, sf, 16))
+    """Both models score the same row; only the labels are joined to it."""
+    scored = t.order_rows(spark, sf)
+    for tag, scale in (("ours", 128), ("theirs", 16)):
+        scored = score_predictions(scored, order_model(spark, scale)).withColumnsRenamed(
+            {"prediction": f"{tag}_prediction", "logit": f"{tag}_logit", "probability": f"{tag}_probability"}
+        )
+    return metrics.paired_parity(t.order_labels(spark, sf), scored)
 
 
 @query("history_sink")
@@ -356,6 +389,12 @@ def query_forward_pass_dense(spark, sf):
     return forward(t.vector_features(spark, sf), vector_model(spark), "dense", unique=True)
 
 
+@query("forward_pass_gaps")
+def query_forward_pass_gaps(spark, sf):
+    """Absent, NULL and misplaced elements, absent weights and biases."""
+    return forward(t.gap_features(spark, sf), t.gap_model(spark))
+
+
 @query("forward_pass_sparse")
 def query_forward_pass_sparse(spark, sf):
     """One input unit per part: the first layer is a join and never held in one place."""
@@ -526,6 +565,13 @@ def query_train_step_relational(spark, sf):
     return _round_gradients(gradient_rows(step, model.n_layers))
 
 
+@query("train_step_gaps")
+def query_train_step_gaps(spark, sf):
+    model = t.gap_model(spark)
+    step = train_step(t.gap_features(spark, sf), t.vector_labels(spark, sf), model, "relational")
+    return _round_gradients(gradient_rows(step, model.n_layers))
+
+
 @query("train_step_sparse")
 def query_train_step_sparse(spark, sf):
     """One step of the network with one input unit per part, over all baskets.
@@ -611,6 +657,28 @@ def query_fit(spark, sf):
 
 
 
+@query("fit_relational")
+def query_fit_relational(spark, sf):
+    """The same training with parameters in tables and a join for every layer."""
+    return _round_history(_fit(spark, sf, strategy="relational").history)
+
+
+@query("fit_sparse")
+def query_fit_sparse(spark, sf):
+    """The same training with a join for the first layer."""
+    return _round_history(_fit(spark, sf, strategy="hybrid").history)
+
+
+@query("fit_long")
+def query_fit_long(spark, sf):
+    """The same training from one row per element."""
+    features, labels = t.vector_features(spark, sf), t.vector_labels(spark, sf)
+    half = -(-labels.count() // 2)
+    settings = TrainConfig(epochs=2, batch_size=half, lr=0.125, momentum=0.5)
+    result = fit_features(features, labels, t.dyadic_model(spark, t.SMALL_LAYERS), settings, (features, labels))
+    return _round_history(result.history)
+
+
 @query("epoch_metrics")
 def query_epoch_metrics(spark, sf):
     rows = epoch_metrics(_fit(spark, sf, validate_every=0).batch_metrics)
@@ -640,7 +708,10 @@ def query_early_stopping(spark, sf):
 
 @query("history_summary")
 def query_history_summary(spark, sf):
-    summary = history_summary(_fit(spark, sf).history).drop("total_time", "mean_time")
+    """Of a history that was stored and read back, with a fixed time per epoch."""
+    path = scratch_path(spark, "history")
+    append_history(_fit(spark, sf).history.withColumn("time", F.col("epoch") * 0.25), path)
+    summary = history_summary(read_history(spark, path))
     return summary.select("epochs", *(r6(c) for c in summary.columns if c != "epochs"))
 
 
@@ -694,7 +765,13 @@ def query_score_against_truth(spark, sf):
 
 @query("prediction_parity")
 def query_prediction_parity(spark, sf):
-    return _parity(spark, sf)
+    """Two scored sets from different sources, joined."""
+    return metrics.prediction_parity(order_truth(spark, sf), order_truth(spark, sf, 16))
+
+
+@query("parity_mismatches")
+def query_parity_mismatches(spark, sf):
+    return metrics.parity_mismatches(_parity(spark, sf))
 
 
 @query("parity_summary")
@@ -706,7 +783,8 @@ def query_parity_summary(spark, sf):
 
 @query("logit_parity")
 def query_logit_parity(spark, sf):
-    return metrics.logit_parity(order_logits(spark, sf), order_logits(spark, sf, 16))
+    scored = score(t.order_rows(spark, sf), order_model(spark), out="ours")
+    return metrics.paired_logit_parity(score(scored, order_model(spark, 16), out="theirs"))
 
 
 @query("agreement_counts")

@@ -62,6 +62,30 @@ def vector_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_labels(table(spark, sf_dir, "embeddings"), "vec_id", F.col("label"))
 
 
+# The same vectors and network with holes: absent, NULL and misplaced elements, samples of nothing
+# but misplaced elements, absent weights and biases.
+
+
+def gap_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = F.col("sample_id") + F.col("idx")
+    misplaced = (place % 11 == 0) | (F.col("sample_id") % 50 == 3)
+    return (
+        vector_features(spark, sf_dir)
+        .filter((F.col("sample_id") * 7 + F.col("idx")) % 5 != 0)
+        .select(
+            "sample_id",
+            F.when(misplaced, F.col("idx") + VECTOR_LAYERS[0]).otherwise(F.col("idx")).alias("idx"),
+            F.when(place % 13 != 0, F.col("value")).alias("value"),
+        )
+    )
+
+
+def gap_model(spark: SparkSession) -> Model:
+    whole = dyadic_model(spark, VECTOR_LAYERS)
+    params = whole.params.filter("(output_idx * 3 + input_idx) % 4 <> 0")
+    return Model(VECTOR_LAYERS, params, whole.biases.filter("output_idx % 5 <> 1"))
+
+
 # Orders: one sample per order, its lines summed up, the order status as class.
 
 
