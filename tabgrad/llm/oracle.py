@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabgrad.llm.queries import MIXTURE, PROBE
+from tabgrad.llm.queries import MIXTURE, N_SHARDS, PROBE
 
 
 def _case(column: str, values: dict, otherwise: str) -> str:
@@ -46,7 +46,8 @@ _MIXING = rf"""
 with docs as (
     select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source,
         {_case("source", MIXTURE.domains, "'other'")} as domain,
-        cast(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) as bigint) as tokens
+        cast(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) as bigint) as tokens
     from documents
 ), leaves as (
     select domain, lang, source, cast(sum(tokens) as hugeint) as of_, {" * ".join(f"({w})" for w in _WEIGHTS.values())} <> 0 as open
@@ -67,6 +68,121 @@ select doc_id, domain, lang, source, tokens, epoch from ordered
 where open and (of_ > 0 and rest >= of_ or of_ > 0 and rest > 0 and so_far <= rest or of_ = 0 and epoch = 0)
 """
 
+# Case-insensitive for ASCII letters only; the pieces between matches give the places of the matches.
+_ASSIGN = (
+    r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|"""
+    r"""[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+_RULES = (
+    ("assign", _ASSIGN, 2, 12),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]{16,}", 0, 16),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
+)
+
+
+def _spans(place: int, kind: str, pattern: str, group: int, least: int) -> str:
+    total = "coalesce(list_sum(list_transform({0}, lambda x: length(x))), 0)"
+    return f"""
+select doc_id, '{kind}' as kind, {place} as place, s, s + length(m[i]) as e
+from (select *, {total.format("pieces[1:i]")} + {total.format("m[1:i - 1]")} as s
+      from (select *, unnest(range(1, len(m) + 1)) as i
+            from (select doc_id, regexp_extract_all(text, '{pattern}') as m, regexp_extract_all(text, '{pattern}', {group}) as g,
+                      string_split_regex(text, '{pattern}') as pieces from docs)))
+where length(g[i]) >= {least}"""
+
+
+_SECRETS = f"""
+with docs as (select doc_id, coalesce(text, '') as text from documents),
+found as materialized ({" union all ".join(_spans(n, *rule) for n, rule in enumerate(_RULES))}),
+named as (select *, kind || ':' || cast(s as bigint) || ':' || cast(e as bigint) as span from found)
+select d.doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+    count(*) filter (kind = 'hex') as n_hex,
+    sha256(coalesce(string_agg(span, ',' order by s, place) filter (place < 3), '')) as base_sha256,
+    coalesce(string_agg(span, ',' order by s, place), '') as spans
+from docs d left join named n on n.doc_id = d.doc_id group by d.doc_id
+"""
+
+_SHARDING = f"""
+with crc as (
+    select list(c order by i) as t from (
+        select i, list_reduce(list_prepend(i, range(8)),
+            lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c
+        from range(256) r(i))
+), drawn as (
+    select doc_id, coalesce(source, '') as source, octet_length(encode(coalesce(text, ''))) + 8 as size,
+        md5('42:' || coalesce(cast(doc_id as varchar), 'null')) as d,
+        xor(list_reduce(list_prepend(cast(4294967295 as bigint),
+                list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: cast('0x' || h as bigint))),
+            lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) as text_crc32
+    from documents, crc
+), ranked as (
+    select *, (row_number() over (partition by source order by d, doc_id) - 0.5::double) / count(*) over (partition by source) as share
+    from drawn
+), placed as (
+    select *, row_number() over (order by share, source, d, doc_id) - 1 as p, count(*) over () as n from ranked
+)
+select doc_id, cast(size as bigint) as size, cast(text_crc32 as bigint) as text_crc32, 'rows' as law,
+    cast(p * {N_SHARDS} // n as int) as shard,
+    cast(p - ((p * {N_SHARDS} // n) * n + {N_SHARDS - 1}) // {N_SHARDS} as bigint) as slot, cast(null as int) as grown_shard
+from placed
+"""
+
+_REPEATS = """
+with docs as materialized (
+    select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents
+), starts as materialized (
+    select doc_id, s, md5_number(substr(h, 2 * s + 1, 800)) as g
+    from (select doc_id, h, unnest(range(0, n - 399)) as s from docs where n >= 400)
+), repeated as (
+    select g from starts group by g having count(*) > 1
+), marked as (
+    select doc_id, s, lag(s) over (partition by doc_id order by s) as p from starts semi join repeated using (g)
+), runs as (
+    select doc_id, s, sum(case when p is null or s > p + 400 then 1 else 0 end) over (partition by doc_id order by s) as run from marked
+), spans as (
+    select doc_id, run, min(s) as b, max(s) + 400 as e from runs group by doc_id, run
+), gaps as (
+    select doc_id, b, e, coalesce(lag(e) over (partition by doc_id order by b), 0) as k from spans
+), kept as (
+    select g.doc_id, count(*) as n_spans, sum(e - b) as n_removed, max(e) as last,
+        string_agg(substr(h, 2 * k + 1, 2 * (b - k)), '' order by b) as head
+    from gaps g join docs d on d.doc_id = g.doc_id group by g.doc_id
+)
+select d.doc_id, cast(n as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+    sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from docs d left join kept k on k.doc_id = d.doc_id
+"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_CONTAMINATION = f"""
+with words as materialized (
+    select 'd' as side, doc_id as id, {_WORDS} as w from documents union all select 'b', item_id, {_WORDS} from benchmark
+), item_windows as materialized (
+    select distinct id as item_id, n, array_to_string(w[i:i + n - 1], ' ') as window_text
+    from (select id, w, least(10, len(w)) as n, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i
+          from words where side = 'b' and len(w) > 0)
+), lengths as (
+    select distinct n from item_windows
+), doc_windows as (
+    select id as doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as window_text
+    from (select id, w, n, unnest(range(1, len(w) - n + 2)) as i from words join lengths on side = 'd' and len(w) >= n)
+), found as materialized (
+    select d.doc_id, d.n, d.i, b.item_id from doc_windows d join item_windows b on d.n = b.n and d.window_text = b.window_text
+), hit as (
+    select doc_id, count(distinct place) as n_hit
+    from (select doc_id, unnest(range(i, i + n)) as place from found) group by doc_id
+), items as (
+    select doc_id, count(*) as n_items, string_agg(name, ',' order by name) as listed
+    from (select distinct doc_id, cast(item_id as varchar) as name from found where item_id is not null) group by doc_id
+)
+select w.id as doc_id, cast(len(w.w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words w left join hit on hit.doc_id = w.id left join items on items.doc_id = w.id where side = 'd'
+"""
+
 ORACLE = {
     "op1_chat_formatting": rf"""
 with turns as (
@@ -103,4 +219,8 @@ with vectors as (
 select * from ranked where rank <= 10
 """,
     "op9_source_mixing": _MIXING,
+    "op2_secret_scans": _SECRETS,
+    "op3_sharding": _SHARDING,
+    "op10_benchmark_decontamination": _CONTAMINATION,
+    "op8_suffix_array_dedup": _REPEATS,
 }
