@@ -49,7 +49,7 @@ from tabgrad.plans.kernels import (
     to_matrix,
 )
 from tabgrad.plans.model import Model
-from tabgrad.schema import OUTSIDE, checked_label, known_elements
+from tabgrad.schema import checked_label, known_elements
 from tabgrad.sources.store import materialize
 
 FAN_IN = 64  # tasks whose gradients are added up before their sum moves on
@@ -84,7 +84,7 @@ def relational_step(features: DataFrame, labels: DataFrame, model: Model) -> Ste
     """
     features = known_elements(features, model.layers[0])
     labels = labelled_samples(features.select("sample_id").distinct(), labels, model.n_classes)
-    inputs, x = [features.filter(F.col("idx") != OUTSIDE)], features
+    inputs, x = [features], features
     for layer in range(1, model.n_layers + 1):
         pre = layer_pre(x, model, layer)
         x = materialize(relu(pre) if layer < model.n_layers else pre, f"state{layer}")
@@ -143,7 +143,7 @@ def hybrid_step(
     per_sample = hidden.select("sample_id", deltas("z", "true_label").alias("ws"))
     n = batch_count(hidden).scalar()
     value = F.coalesce("value", F.lit(0.0)).alias("value")
-    rows = features.filter("idx >= 0").select("sample_id", F.col("idx").alias("input_idx"), value)
+    rows = features.select("sample_id", F.col("idx").alias("input_idx"), value)
     sums = weighted_sums(rows, per_sample, "sample_id", "input_idx", width)
     first = F.lit(1).alias("layer")
     weight_grads = sums.select(

@@ -66,23 +66,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
 
 
-OUTSIDE = -1  # position of elements that lie outside the input layer
-
-
 def known_elements(features: DataFrame, width: int) -> DataFrame:
     """Feature rows by the rules that every plan follows.
 
-    NULL counts as 0.0. An element outside ``0..width - 1`` adds nothing, but its sample is one of
-    the samples: it gets position OUTSIDE and value 0.0.
+    NULL counts as 0.0. An element outside ``0..width - 1`` is none, so a sample without another one
+    is no sample; ``outside_elements`` reports them.
     """
-    inside = F.coalesce(F.col("idx").between(0, width - 1), F.lit(False))
-    value = F.when(inside, F.coalesce("value", F.lit(0.0))).otherwise(0.0)
-    idx = F.when(inside, F.col("idx")).otherwise(F.lit(OUTSIDE))
-    return features.select("sample_id", idx.alias("idx"), value.alias("value"))
+    value = F.coalesce("value", F.lit(0.0)).alias("value")
+    return features.filter(F.col("idx").between(0, width - 1)).select("sample_id", "idx", value)
 
 
 def outside_elements(features: DataFrame, width: int) -> DataFrame:
-    """One row ``(elements, samples)``: what ``known_elements`` counts as nothing."""
+    """One row ``(elements, samples)``: what ``known_elements`` leaves out, and in how many samples."""
     inside = F.coalesce(F.col("idx").between(0, width - 1), F.lit(False))
     return features.filter(~inside).agg(
         F.count(F.lit(1)).alias("elements"), F.countDistinct("sample_id").alias("samples")

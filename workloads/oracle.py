@@ -144,8 +144,8 @@ given as (
   select sample_id, case when (sample_id + idx) % 11 = 0 or sample_id % 50 = 3 then idx + 64 else idx end as idx,
          case when (sample_id + idx) % 13 <> 0 then floor(raw * 1024 + 0.5) / 1024 else 0 end as value
   from vectors where (sample_id * 7 + idx) % 5 <> 0),
-ids as (select distinct sample_id from given),
 x as (select * from given where idx < 64),
+ids as (select distinct sample_id from x),
 {params(t.VECTOR_LAYERS, tag="_whole")},
 params as (select * from params_whole where (output_idx * 3 + input_idx) % 4 <> 0),
 biases as (select * from biases_whole where output_idx % 5 <> 1)"""
@@ -515,7 +515,10 @@ def updated_select(n_layers: int, lr: float) -> str:
 
 
 ORACLE["train_step_gaps"] = with_(
-    GAPS, TRUTH, step(3, "x", "truth", scored=forward_gaps(t.VECTOR_LAYERS)), select=gradient_select(3)
+    GAPS,
+    "truth as (select vec_id as sample_id, label as true_label from embeddings semi join ids on vec_id = sample_id)",
+    step(3, "x", "truth", scored=forward_gaps(t.VECTOR_LAYERS)),
+    select=gradient_select(3),
 )
 ORACLE["train_step_array"] = with_(
     X, params(t.VECTOR_LAYERS), TRUTH, step(3, "x", "truth"), select=updated_select(3, 0.01)
