@@ -151,7 +151,11 @@ def test_join_spread_splits_hot_keys(spark):
     joined = join_spread(data, units, "k")
     assert joined.columns == ["k", "id", "v"]
     assert joined.count() == 8000 and joined.filter("v <> 2 * k").count() == 0
-    assert "_salt" in joined._jdf.queryExecution().analyzed().toString()
+    # Hot keys leave the shuffled part by an anti join and meet their units by a semi join.
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
     even = data.filter("k <> 0")
     assert 977 > HOT_SHARE
-    assert "_salt" not in join_spread(even, units, "k")._jdf.queryExecution().analyzed().toString()
+    assert sorted(join_spread(even, units, "k").collect()) == sorted(even.join(units, "k").collect())
+    outer = join_spread(data.withColumn("k", F.col("k") * 2), units, "k", "left")
+    assert outer.count() == 8000 and outer.filter("v is null").count() == data.filter("k >= 600").count()
