@@ -140,8 +140,8 @@ def _flips(fp: Column, masks: list[int]) -> Column:
     return F.transform(F.array(*[F.lit(m) for m in masks]), lambda m: fp.bitwiseXOR(m))
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """``(a, b)``: links between distinct fingerprints (``fp``) that connect all pairs within 3 bits."""
+def _stars(distinct: DataFrame) -> DataFrame:
+    """``(fp, centre)``: every fingerprint with the centres of the variants where it meets others."""
     ones = [(1 << i) - (1 << 64 if i == 63 else 0) for i in range(64)]
     twos = [x ^ y for x, y in combinations(ones, 2)]
     odd = F.bit_count("fp") % 2 == 1
@@ -154,11 +154,28 @@ def links(distinct: DataFrame) -> DataFrame:
         near.union(far)
         .withColumn("centre", centre)
         .filter("centre <> fp")
-        .select(F.least("fp", "centre").alias("a"), F.greatest("fp", "centre").alias("b"))
+        .select("fp", "centre")
         .distinct()
     )
 
 
+def links(distinct: DataFrame) -> DataFrame:
+    """``(a, b)``: links between distinct fingerprints (``fp``) that connect all pairs within 3 bits."""
+    return _stars(distinct).select(F.least("fp", "centre").alias("a"), F.greatest("fp", "centre").alias("b")).distinct()
+
+
+def _few_links(distinct: DataFrame) -> DataFrame:
+    """Links that connect the same fingerprints, far fewer where many lie close together.
+
+    A fingerprint is linked to the least of its centres, and that one to the others in its place.
+    """
+    # A fingerprint has at most 2,080 variants, and a centre for each.
+    least = F.min("centre").over(Window.partitionBy("fp"))
+    end = F.when(F.col("centre") == F.col("least"), F.col("fp")).otherwise(F.col("least"))
+    named = _stars(distinct).withColumn("least", least).withColumn("end", end)
+    return named.select(F.least("end", "centre").alias("a"), F.greatest("end", "centre").alias("b")).distinct()
+
+
 def _components(prints: DataFrame) -> DataFrame:
     """``(fp, component)`` of every distinct fingerprint of a written table."""
     distinct = prints.select("fp").distinct()
@@ -192,7 +209,7 @@ def _components_of_families(prints: DataFrame, n_mixed: int) -> DataFrame:
         pairs = prints.select(base, F.get("fps", F.lit(n)).alias("fp")).distinct()
         standing = materialize(pairs.groupBy("fp").agg(F.min("base").alias("rep")), "standing")
         shared = pairs.join(standing, "fp").select(F.col("base").alias("a"), F.col("rep").alias("b"))
-        near = links(materialize(_with_possible_partner(standing.select("fp")), "emitting"))
+        near = _few_links(materialize(_with_possible_partner(standing.select("fp")), "emitting"))
         ends = [standing.select(F.col("fp").alias(end), F.col("rep").alias(f"_{end}")) for end in "ab"]
         near = near.join(ends[0], "a").join(ends[1], "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
         found = materialize(shared.filter("a <> b").union(near), "mixed")
