@@ -122,14 +122,18 @@ def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _with_possible_partner(distinct: DataFrame) -> DataFrame:
-    """The fingerprints that agree with another one in three of six pieces."""
+def _choices() -> list[int]:
+    """Masks of every choice of three pieces, as signed longs."""
     cuts = [round(64 * i / _PIECES) for i in range(_PIECES + 1)]
     masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:])]
     picked = [sum(masks[i] for i in c) for c in combinations(range(_PIECES), _PIECES - RADIUS)]
-    signed = [m - (1 << 64) if m >= 1 << 63 else m for m in picked]
+    return [m - (1 << 64) if m >= 1 << 63 else m for m in picked]
+
+
+def _with_possible_partner(distinct: DataFrame) -> DataFrame:
+    """The fingerprints that agree with another one in three of six pieces."""
     shared = F.array(
-        *[F.struct(F.lit(n).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for n, m in enumerate(signed)]
+        *[F.struct(F.lit(n).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for n, m in enumerate(_choices())]
     )
     keys = distinct.select("fp", F.explode(shared).alias("k")).select("fp", "k.choice", "k.bits")
     ends = keys.groupBy("choice", "bits").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
@@ -140,8 +144,8 @@ def _flips(fp: Column, masks: list[int]) -> Column:
     return F.transform(F.array(*[F.lit(m) for m in masks]), lambda m: fp.bitwiseXOR(m))
 
 
-def _stars(distinct: DataFrame) -> DataFrame:
-    """``(fp, centre)``: every fingerprint with the centres of the variants where it meets others."""
+def links(distinct: DataFrame) -> DataFrame:
+    """``(a, b)``: links between distinct fingerprints (``fp``) that connect all pairs within 3 bits."""
     ones = [(1 << i) - (1 << 64 if i == 63 else 0) for i in range(64)]
     twos = [x ^ y for x, y in combinations(ones, 2)]
     odd = F.bit_count("fp") % 2 == 1
@@ -154,28 +158,11 @@ def _stars(distinct: DataFrame) -> DataFrame:
         near.union(far)
         .withColumn("centre", centre)
         .filter("centre <> fp")
-        .select("fp", "centre")
+        .select(F.least("fp", "centre").alias("a"), F.greatest("fp", "centre").alias("b"))
         .distinct()
     )
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """``(a, b)``: links between distinct fingerprints (``fp``) that connect all pairs within 3 bits."""
-    return _stars(distinct).select(F.least("fp", "centre").alias("a"), F.greatest("fp", "centre").alias("b")).distinct()
-
-
-def _few_links(distinct: DataFrame) -> DataFrame:
-    """Links that connect the same fingerprints, far fewer where many lie close together.
-
-    A fingerprint is linked to the least of its centres, and that one to the others in its place.
-    """
-    # A fingerprint has at most 2,080 variants, and a centre for each.
-    least = F.min("centre").over(Window.partitionBy("fp"))
-    end = F.when(F.col("centre") == F.col("least"), F.col("fp")).otherwise(F.col("least"))
-    named = _stars(distinct).withColumn("least", least).withColumn("end", end)
-    return named.select(F.least("end", "centre").alias("a"), F.greatest("end", "centre").alias("b")).distinct()
-
-
 def _components(prints: DataFrame) -> DataFrame:
     """``(fp, component)`` of every distinct fingerprint of a written table."""
     distinct = prints.select("fp").distinct()
@@ -195,35 +182,102 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     return prints.join(by_print, "fp").select(key, shown, "component_id")
 
 
+def _spanning(profiles: np.ndarray, family: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Verified links between rows of fingerprints that connect what all verified pairs connect.
+
+    Each row that is reached is compared with all that are not, so no pair is left out.
+    """
+    left = np.arange(len(profiles))
+    while len(left) > 1:
+        reached, left = [left[0]], left[1:]
+        while reached and len(left):
+            one = reached.pop()
+            differing = np.bitwise_count(profiles[left] ^ profiles[one])
+            most = 64 * (profiles.shape[1] - 1) * MOST_DIFFERENT
+            held = (differing[:, family] <= RADIUS) & (differing[:, 1:].sum(axis=1, dtype=np.int64) <= int(most))
+            if held.any():
+                yield one, left[held]
+                reached += left[held].tolist()
+                left = left[~held]
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(a, b)`` of rows (``family``, ``choice``, ``bits``, ``fps``) sorted by the first three."""
+
+    def linked(group: np.ndarray) -> Iterator[np.ndarray]:
+        profiles = group[:, 3:]
+        base = profiles[:, 0].view(np.int64)
+        for one, others in _spanning(profiles, int(group[0, 0])):
+            ends = np.stack([np.full(len(others), base[one]), base[others]])
+            yield np.sort(ends[:, ends[0] != ends[1]], axis=0)
+
+    def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
+        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    # The last group of a batch may go on in the next one.
+    held: list[np.ndarray] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [c.cast(pa.int64()).to_numpy(zero_copy_only=False) for c in batch.columns[:3]]
+        fps = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        rows = np.column_stack([*keys, fps]).view(np.uint64)
+        found = []
+        if held and (held[0][0, :3] != rows[0, :3]).any():
+            found += linked(np.concatenate(held))
+            held = []
+        starts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
+        if len(starts):
+            found += linked(np.concatenate([*held, rows[: starts[0]]]))
+            sizes = np.diff(starts)
+            for n in np.flatnonzero(sizes > 1):
+                found += linked(rows[starts[n] : starts[n + 1]])
+            held = []
+        held.append(rows[starts[-1] if len(starts) else 0 :].copy())
+        if found:
+            yield batch_of(found)
+    if held and (found := list(linked(np.concatenate(held)))):
+        yield batch_of(found)
+
+
+def _verified_links(profiles: DataFrame, n_mixed: int) -> DataFrame:
+    """``(a, b)``: links between first fingerprints that connect all verified pairs of ``fps``.
+
+    A pair holds if it is within 3 bits in one mixed family and all mixed fingerprints together
+    differ in at most ``MOST_DIFFERENT``. Those within 3 bits agree in three of six pieces, so every
+    pair meets in one of the groups that agree there, and is verified before links are thinned.
+    A group is in one task, at 64 bytes for each of its distinct profiles.
+    """
+    shared = F.array(
+        *[
+            F.struct(
+                F.lit(n).alias("family"),
+                F.lit(choice).alias("choice"),
+                F.get("fps", F.lit(n)).bitwiseAND(F.lit(mask)).alias("bits"),
+            )
+            for n in range(1, 1 + n_mixed)
+            for choice, mask in enumerate(_choices())
+        ]
+    )
+    keys = ["family", "choice", "bits"]
+    groups = profiles.select("fps", F.explode(shared).alias("k")).select(*[f"k.{k}" for k in keys], "fps")
+    return groups.repartition(*keys).sortWithinPartitions(*keys, "fps").mapInArrow(_verified, "a bigint, b bigint")
+
+
 def _components_of_families(prints: DataFrame, n_mixed: int) -> DataFrame:
     """``(base, component)`` of the first fingerprints, linked by any of the families.
 
-    The documents of a first fingerprint are one node. In each other family the nodes that share a
-    fingerprint are linked to the least of them, which also stands for it in that family's links.
-    These links are verified by all mixed fingerprints of the two nodes.
+    The documents of a first fingerprint are one node, whatever their mixed fingerprints; those are
+    compared profile by profile, a profile being all the fingerprints of a document.
     """
-    base = F.get("fps", F.lit(0)).alias("base")
-    profiles = materialize(prints.groupBy(base).agg(F.min("fps").alias("fps")), "profiles")
-    mixed = None
-    for n in range(1, 1 + n_mixed):
-        pairs = prints.select(base, F.get("fps", F.lit(n)).alias("fp")).distinct()
-        standing = materialize(pairs.groupBy("fp").agg(F.min("base").alias("rep")), "standing")
-        shared = pairs.join(standing, "fp").select(F.col("base").alias("a"), F.col("rep").alias("b"))
-        near = _few_links(materialize(_with_possible_partner(standing.select("fp")), "emitting"))
-        ends = [standing.select(F.col("fp").alias(end), F.col("rep").alias(f"_{end}")) for end in "ab"]
-        near = near.join(ends[0], "a").join(ends[1], "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-        found = materialize(shared.filter("a <> b").union(near), "mixed")
-        mixed = found if mixed is None else mixed.union(found)
-    one, other = (profiles.select(F.col("base").alias(end), F.col("fps").alias(f"_{end}")) for end in "ab")
-    differing = F.aggregate(
-        F.zip_with(F.slice("_a", 2, n_mixed), F.slice("_b", 2, n_mixed), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-        F.lit(0),
-        lambda total, n: total + n,
-    )
-    verified = mixed.distinct().join(one, "a").join(other, "b").filter(differing <= int(64 * n_mixed * MOST_DIFFERENT))
-    emitting = materialize(_with_possible_partner(profiles.select(F.col("base").alias("fp"))), "emitting")
-    grouped = components(links(emitting).union(verified.select("a", "b"))).withColumnRenamed("node", "base")
-    return profiles.join(grouped, "base", "left").select("base", F.coalesce("component", "base").alias("component"))
+    profiles = materialize(prints.select("fps").distinct(), "profiles")
+    verified = materialize(_verified_links(profiles, n_mixed).distinct(), "verified")
+    bases = profiles.select(F.get("fps", F.lit(0)).alias("fp")).distinct()
+    emitting = materialize(_with_possible_partner(bases), "emitting")
+    grouped = components(links(emitting).union(verified)).withColumnRenamed("node", "fp")
+    joined = bases.join(grouped, "fp", "left")
+    return joined.select(F.col("fp").alias("base"), F.coalesce("component", "fp").alias("component"))
 
 
 def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
