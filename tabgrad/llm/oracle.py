@@ -104,18 +104,26 @@ select d.doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter
 from docs d left join named n on n.doc_id = d.doc_id group by d.doc_id
 """
 
-_SHARDING = f"""
-with crc as (
+_CRC_TABLE = """crc as (
     select list(c order by i) as t from (
         select i, list_reduce(list_prepend(i, range(8)),
             lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as c
         from range(256) r(i))
-), drawn as (
+)"""
+
+
+def _crc(text: str) -> str:
+    """Unsigned checksum of a text, where the table ``t`` of ``crc`` is at hand."""
+    return f"""xor(list_reduce(list_prepend(cast(4294967295 as bigint),
+                list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: cast('0x' || h as bigint))),
+            lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)"""
+
+
+_SHARDING = f"""
+with {_CRC_TABLE}, drawn as (
     select doc_id, coalesce(source, '') as source, octet_length(encode(coalesce(text, ''))) + 8 as size,
         md5('42:' || coalesce(cast(doc_id as varchar), 'null')) as d,
-        xor(list_reduce(list_prepend(cast(4294967295 as bigint),
-                list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: cast('0x' || h as bigint))),
-            lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) as text_crc32
+        {_crc("coalesce(text, '')")} as text_crc32
     from documents, crc
 ), ranked as (
     select *, (row_number() over (partition by source order by d, doc_id) - 0.5::double) / count(*) over (partition by source) as share
@@ -183,6 +191,67 @@ select w.id as doc_id, cast(len(w.w) as bigint) as n_words, coalesce(n_hit, 0) a
 from words w left join hit on hit.doc_id = w.id left join items on items.doc_id = w.id where side = 'd'
 """
 
+_NEGATIVES = """
+with rows as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same, cast(list_inner_product(a.v, r.v) as bigint) as score
+    from rows a join rows r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id
+), positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id,
+    cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as int) as rank,
+    vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
+_EXACT = """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+    doc_id is not distinct from max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
+from documents window same as (partition by coalesce(text, ''))
+"""
+
+_SPELLING = f"""
+with recursive {_CRC_TABLE}, runs as materialized (
+    select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n
+    from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) as run from documents) group by all
+), hashed as materialized (
+    select run, n, {_crc("coalesce(cast(doc_id as varchar), '') || ':' || run")} as h from runs, crc where length(run) >= 7
+), slips as (
+    select case when h % 31 = 0 then substr(run, 1, cast(h % length(run) as int)) || substr(run, cast(h % length(run) as int) + 2) else run end as word,
+        n as times
+    from hashed
+), words as materialized (
+    select word, cast(sum(times) as bigint) as n from slips where length(word) >= 7 group by word having sum(times) >= 2
+), shorter as materialized (
+    select distinct word, i, substr(word, 1, cast(i as int) - 1) || substr(word, cast(i as int) + 1) as s
+    from words, unnest(range(1, length(word) + 1)) r(i)
+), pairs as materialized (
+    select a.word, b.word as near from shorter a join shorter b on a.s = b.s and a.i = b.i and a.word <> b.word
+    union select s.word, w.word from shorter s join words w on w.word = s.s
+    union select w.word, s.word from shorter s join words w on w.word = s.s
+), nearest as (
+    select p.word, count(*) as n_near, max(m.n) as most, arg_min(p.near, (-m.n, p.near)) as best
+    from pairs p join words m on m.word = p.near group by p.word
+), formed as materialized (
+    select w.word, w.n, coalesce(n_near, 0) as n_near, case when most >= 10 * w.n then best end as form,
+        case when most >= 10 * w.n then most end as form_n
+    from words w left join nearest using (word)
+), chains as (
+    select word, word as root, form as next from formed
+    union all select c.word, f.word, f.form from chains c join formed f on f.word = c.next
+)
+select word, form, root, n, n_near, form_n from formed join (select word, root from chains where next is null) using (word)
+"""
+
 ORACLE = {
     "op1_chat_formatting": rf"""
 with turns as (
@@ -223,4 +292,7 @@ select * from ranked where rank <= 10
     "op3_sharding": _SHARDING,
     "op10_benchmark_decontamination": _CONTAMINATION,
     "op8_suffix_array_dedup": _REPEATS,
+    "op11_hard_negative_mining": _NEGATIVES,
+    "op12_exact_dedup": _EXACT,
+    "op13_spelling_variants": _SPELLING,
 }

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabgrad.llm import chat, decontaminate, mixing, quality, secrets, sharding, simhash, suffixes, tokens, topk
+from tabgrad.llm import (
+    chat,
+    decontaminate,
+    exact,
+    mixing,
+    negatives,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    spelling,
+    suffixes,
+    tokens,
+    topk,
+)
 from tabgrad.llm.common import read_table, text_of
 
 PROBE = "<|im_end|><|im_start|>assistant ok"
@@ -148,6 +162,28 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of five positives of every hundredth embedding."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", label.alias("label"), topk.whole_numbers(F.col("embedding"), 256).alias("vector")
+    )
+    return negatives.hard_negatives(rows, "vec_id % 100 = 0", n_positives=5, n_negatives=10, low=30, high=90)
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name the row that stays for every document, with the digest of its text."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(text_of(), 256).alias("text_sha256"))
+    return exact.mark_duplicates(documents).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group the words of all documents, with every 31st run misspelt, by their near words."""
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = spelling.count_words(documents, least_length=7, least_count=2, noise=31)
+    return spelling.spelling_variants(words, ratio=10)
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_secret_scans": op2_secret_scans,
@@ -159,4 +195,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_source_mixing": op9_source_mixing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_hard_negative_mining": op11_hard_negative_mining,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_spelling_variants": op13_spelling_variants,
 }

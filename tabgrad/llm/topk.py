@@ -43,7 +43,7 @@ def whole_numbers(vector: Column, scale: int) -> Column:
     return F.when(F.coalesce(good, F.lit(False)), scaled)
 
 
-def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
+def padded(vectors: pa.Array, width: int) -> np.ndarray:
     """Rows padded with 0, or cut, to ``width``: what lies beyond meets zeros only."""
     length = np.diff(vectors.offsets.to_numpy())
     flat = vectors.flatten().to_numpy(zero_copy_only=False)
@@ -58,7 +58,7 @@ def _matrix(vectors: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def _integers(matrix: np.ndarray) -> np.ndarray:
+def unbounded(matrix: np.ndarray) -> np.ndarray:
     """The whole doubles of a matrix as Python's unbounded integers."""
     return np.array([[int(x) for x in row] for row in matrix], object).reshape(matrix.shape)
 
@@ -70,9 +70,9 @@ def _scores(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndar
         for at in range(0, batch.num_rows, step):
             part = batch.slice(at, step)
             own = part.column(0).to_numpy(zero_copy_only=False)
-            vectors = _matrix(pa.concat_arrays([part.column(1)]), queries.shape[1])
+            vectors = padded(pa.concat_arrays([part.column(1)]), queries.shape[1])
             if queries.dtype == object:
-                vectors = _integers(vectors)
+                vectors = unbounded(vectors)
             scores = queries @ vectors.T if queries.shape[1] else np.zeros((len(ids), len(own)), queries.dtype)
             same = np.minimum(np.searchsorted(ids, own), len(ids) - 1)
             here = np.flatnonzero(ids[same] == own)
@@ -119,11 +119,11 @@ def _search_block(queries: pa.Table, candidates: DataFrame, largest: int, k: int
     queries = queries.sort_by([("vec_id", "ascending")])
     ids = queries["vec_id"].to_numpy()
     vectors = queries["vector"].combine_chunks()
-    matrix = _matrix(vectors, int(np.diff(vectors.offsets.to_numpy()).max()))
+    matrix = padded(vectors, int(np.diff(vectors.offsets.to_numpy()).max()))
     reach = [int(r) * largest + 1 for r in np.abs(matrix).astype(object).sum(axis=1)] if matrix.size else [1] * len(ids)
     kind = np.float64 if 4 * max(reach) + BINS < _EXACT else object
     if kind is object:
-        matrix = _integers(matrix)
+        matrix = unbounded(matrix)
     block = spark.sparkContext.broadcast((ids, matrix))
 
     low, high = [-r for r in reach], [r + 1 for r in reach]

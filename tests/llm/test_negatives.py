@@ -1,0 +1,92 @@
+"""Hard negatives against scoring every row in plain Python."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from tabgrad.llm import negatives
+from tabgrad.llm.negatives import _Best, _Block, hard_negatives, threshold_search
+
+SCHEMA = "vec_id long, label int, vector array<double>"
+
+
+def plain(rows: list[tuple], is_anchor, n_positives=5, n_negatives=10, low=30, high=90) -> list[tuple]:
+    usable = [(n, i, label, [int(x) for x in v]) for n, (i, label, v) in enumerate(rows) if None not in (i, label, v)]
+    out = []
+    for n, anchor_id, label, vector in usable:
+        if not is_anchor(anchor_id):
+            continue
+        scored = [(sum(a * b for a, b in zip(vector, v)), i, c) for m, i, c, v in usable if m != n]
+        scored.sort(key=lambda r: (-r[0], r[1]))
+        for score, i, _ in [r for r in scored if r[2] == label][:n_positives]:
+            held = [r for r in scored if r[2] != label and low * score <= 100 * r[0] <= high * score][:n_negatives]
+            out += [(anchor_id, i, k + 1, j, score, s) for k, (s, j, _) in enumerate(held)]
+    return sorted(out)
+
+
+def found(spark, rows, schema=SCHEMA, **more) -> list[tuple]:
+    return sorted(map(tuple, hard_negatives(spark.createDataFrame(rows, schema), "vec_id % 4 = 0", **more).collect()))
+
+
+def fourth(i):
+    return i % 4 == 0
+
+
+@pytest.mark.parametrize("block", [1, 7, 4096])
+def test_matches_scoring_all_rows(spark, block):
+    draw = random.Random(block)
+    rows = [(i, draw.randint(0, 2), [float(draw.randint(-9, 9)) for _ in range(6)]) for i in range(60)]
+    rows += [(100 + i, 0 if i < 20 else 1, rows[3][2]) for i in range(30)]  # many equal vectors
+    assert found(spark, rows, block=block) == plain(rows, fourth)
+    assert len(plain(rows, fourth)) > 200
+
+
+def test_edge_cases(spark):
+    rows = [
+        (0, 1, [3.0, -2.0]), (0, 1, [3.0, -2.0]), (0, 2, [3.0, -2.0]), (4, 1, [1.0]), (8, 1, []), (8, 2, [0.0, 0.0]),
+        (5, 1, [2.0, -1.0, 9.0]), (6, 2, [2.0, -1.0]), (7, 2, [1.0, 0.0]), (7, 3, [1.0, 0.0]), (None, 1, [9.0, 9.0]),
+        (12, None, [9.0, 9.0]), (16, 1, None), (20, 3, [-5.0, 0.0]), (24, 9, [1.0, 1.0]), (28, 1, [0.0, 0.0]), (9, 2, [2.0, 0.0]),
+    ]
+    padded = [(i, c, None if v is None else v + [0.0] * (3 - len(v))) for i, c, v in rows]
+    assert found(spark, rows) == found(spark, rows, block=2) == plain(padded, fourth)
+    clashing = [(*r, 1, "x") for r in rows]
+    assert found(spark, clashing, SCHEMA + ", block int, place string") == plain(padded, fourth)
+
+
+def test_unbounded_integers(spark):
+    draw = random.Random(9)
+    rows = [(i, i % 2, [float(draw.randint(-(1 << 29), 1 << 29) + (1 << 27)) for _ in range(8)]) for i in range(24)]
+    assert found(spark, rows) == plain(rows, fourth)
+    with pytest.raises(Exception, match="(?i)overflow|too large|convert|int64"):
+        found(spark, [(0, 1, [2.0**50]), (1, 1, [2.0**50])])
+
+
+def test_batches_of_anchors(spark, monkeypatch):
+    draw = random.Random(4)
+    rows = [(i, i % 3, [float(draw.randint(-9, 9)) for _ in range(4)]) for i in range(80)]
+    monkeypatch.setattr(negatives, "ANCHOR_BYTES", 500)
+    assert found(spark, rows) == plain(rows, fourth)
+
+
+def test_empty_table_and_wrong_block(spark):
+    assert found(spark, []) == []
+    with pytest.raises(ValueError):
+        found(spark, [(0, 1, [1.0])], block=0)
+
+
+def test_search_stops_early():
+    draw = np.random.default_rng(3)
+    values = draw.normal(0, 40, (4096, 3)).round()
+    lists = np.argsort(values, axis=0, kind="stable").T.astype("<u2")
+    row = {"block": 0, "ids": np.arange(4096).tobytes(), "labels": np.zeros(4096, np.int64).tobytes(), "kind": "<i2", "vectors": values.astype("<i2").tobytes(), "lists": np.ascontiguousarray(lists).tobytes()}
+    block = _Block(row, 3, True)
+    anchor = np.array([3.0, -2.0, 0.0])
+    best = _Best(-(1 << 63), (1 << 63) - 1, 5)
+    scored = threshold_search(block, anchor, None, np.ones(4096, bool), [best])
+    scores = values @ anchor
+    order = np.lexsort((np.arange(4096), -scores))[:5]
+    assert best.ids.tolist() == order.tolist() and best.scores.tolist() == scores[order].tolist()
+    assert scored < 1000
