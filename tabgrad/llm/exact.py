@@ -86,13 +86,18 @@ def mark_duplicates(
 
     last = F.max(F.struct(F.col("_key").alias("key"), F.col("_row").alias("row"))).alias("_keep")
     groups = rows.filter("_full is not null").groupBy("_full").agg(F.count(F.lit(1)).alias("_n"), last).filter("_n > 1")
+    # Rows without a full hash are alone. They stay out of the join, where they would be one key.
+    lone = rows.filter("_full is null").select(
+        *passed, F.col("_key").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept")
+    )
     alone = F.col("_n").isNull()
-    return rows.join(groups, "_full", "left").select(
+    joined = rows.filter("_full is not null").join(groups, "_full", "left").select(
         *passed,
         F.when(alone, F.col("_key")).otherwise(F.col("_keep.key")).alias("keep_id"),
         F.coalesce("_n", F.lit(1)).cast("bigint").alias("group_size"),
         (alone | (F.col("_row") == F.col("_keep.row"))).alias("kept"),
     )
+    return lone.unionByName(joined)
 
 
 def drop_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", prefix: int = PREFIX) -> DataFrame:
