@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tabgrad.sources.store import materialize
 
-LETTERS = "[A-Za-zÀ-ÿ]+"
+LETTERS = "[a-zÀ-ÿ]"  # after A-Z became a-z
 LEAST_LENGTH = 7
 LEAST_COUNT = 2
 RATIO = 10
@@ -56,12 +56,12 @@ _N = len(GROUPS) + 1
 _DEPTHS = (2, 4, 6, 9, 13, _N)  # of the cut
 _LEAF = 16  # words that need no further branch
 _COUNTED = 1 << 18  # distinct words that a task counts before it hands them on
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(0x41, 0x5B)})
 
 
 def _count_words(batches: Iterator[pa.RecordBatch], least: int, noise: int | None) -> Iterator[pa.RecordBatch]:
     """``(doc_id, text)`` to partial counts ``(word, n)``."""
-    find, counts = re.compile(LETTERS).findall, Counter()
+    # A run that is too short fails at each of its letters, so what is found are whole runs.
+    find, counts = re.compile(f"{LETTERS}{{{max(1, least)},}}").findall, Counter()
 
     def out() -> pa.RecordBatch:
         batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
@@ -71,9 +71,7 @@ def _count_words(batches: Iterator[pa.RecordBatch], least: int, noise: int | Non
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-            for run, n in Counter(find((text.as_py() or "").translate(_LOWER))).items():
-                if len(run) < least:
-                    continue
+            for run, n in Counter(find(text.as_py().lower().decode("utf-8", "replace"))).items():
                 if noise and (h := zlib.crc32(run.encode(), start)) % noise == 0:
                     at = h % len(run)
                     run = run[:at] + run[at + 1 :]
@@ -98,7 +96,8 @@ def count_words(
 
     With ``noise``, a run whose checksum together with the document's id it divides loses a letter.
     """
-    rows = documents.select(F.col(key).cast("string"), F.coalesce(F.col(text), F.lit("")))
+    # As bytes, since lower-casing these changes A-Z alone.
+    rows = documents.select(F.col(key).cast("string"), F.coalesce(F.col(text), F.lit("")).cast("binary"))
     partial_counts = rows.mapInArrow(partial(_count_words, least=least_length, noise=noise), "word string, n bigint")
     return partial_counts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count)
 
@@ -205,9 +204,10 @@ def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 # One edit leaves the first half of a word as it is, or the last.
                 half = len(word) // 2
                 head, tail = word[:half], word[len(word) - half :]
-                for _, other, m in search(trie, path):
+                some = [r for r in search(trie, path) if r[1].startswith(head) or r[1].endswith(tail)]
+                for _, other, m in some:
                     # Within a subtree each of two words asks; the lesser one is heard.
-                    if (other.startswith(head) or other.endswith(tail)) and (not own or word < other) and is_near(word, other):
+                    if (not own or word < other) and is_near(word, other):
                         out.append((word, n, other, m))
                         out.append((other, m, word, n))
                 if len(out) > 1 << 15:
