@@ -8,7 +8,7 @@ from tabgrad.functions.arrays import (
     relu_column,
     softmax_array,
 )
-from tabgrad.functions.seeded import order_key, seeded_uniform
+from tabgrad.functions.seeded import order_key, permuted, permuted_from, seeded_uniform
 
 __all__ = [
     "argmax_array",
@@ -16,6 +16,8 @@ __all__ = [
     "densify",
     "dot_product",
     "order_key",
+    "permuted",
+    "permuted_from",
     "relu_column",
     "seeded_uniform",
     "softmax_array",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabgrad.functions.seeded import order_key
+from tabgrad.functions.seeded import order_key, permuted
 from tabgrad.plans.numbering import number_rows, write_slices
 from tabgrad.sources.store import discard, scratch_path
 
@@ -22,9 +22,8 @@ def assign_batches(
     else:
         keyed = ids.withColumn("_key", order_key(F.col("sample_id"), seed, epoch))
         numbered = number_rows(keyed, ["_key", "sample_id"], "_row")
-    row = F.col("_row")
     return numbered.select(
-        "sample_id", ((row - row % batch_size) / batch_size).cast("int").alias("batch_num")
+        "sample_id", F.expr(f"_row div {int(batch_size)}").cast("bigint").alias("batch_num")
     )
 
 
@@ -60,10 +59,13 @@ def batch_plan(samples: DataFrame, batch_size: int) -> DataFrame:
 
 
 def shuffle_batches(batches: DataFrame, seed: int, epoch: int = 0) -> DataFrame:
-    """``(position, batch_num)``: the batches in a seeded order, membership unchanged."""
-    keyed = batches.select("batch_num").distinct()
-    keyed = keyed.withColumn("_key", order_key(F.col("batch_num"), seed, epoch))
-    return number_rows(keyed, ["_key", "batch_num"], "position").select("position", "batch_num")
+    """``(position, batch_num)``: the batches in a seeded order, membership unchanged.
+
+    The position of a batch is a permutation of its rank, computed row by row.
+    """
+    ranked = number_rows(batches.select("batch_num").distinct(), ["batch_num"], "_rank")
+    sized = ranked.withColumn("_size", ranked.agg(F.count(F.lit(1))).scalar())
+    return sized.select(permuted(F.col("_rank"), F.col("_size"), seed, epoch).alias("position"), "batch_num")
 
 
 class BatchTable:

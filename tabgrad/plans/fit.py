@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabgrad.functions.seeded import order_key
+from tabgrad.functions.seeded import permuted_from
 from tabgrad.operators.batching import BatchTable
 from tabgrad.operators.layers import softmax
 from tabgrad.operators.metrics import flag, loss_and_accuracy, score_samples
@@ -30,6 +30,9 @@ from tabgrad.sources.readers import features_from_vectors
 from tabgrad.sources.store import ModelStore, discard, materialize, scratch_path, scratch_scope
 
 
+HELD_STEPS = 1024
+
+
 @dataclass(frozen=True)
 class TrainConfig:
     """``shuffle`` is None, "batches" (their order) or "samples" (their membership), both seeded.
@@ -66,7 +69,6 @@ class _Progress:
     best_epoch: int | None = None
     waited: int = 0
     epochs: list[tuple] = field(default_factory=list)
-    steps: list[tuple] = field(default_factory=list)
 
     def note_validation(self, epoch: int, loss: float | None) -> None:
         if loss is None:
@@ -77,6 +79,43 @@ class _Progress:
             self.waited += 1
 
 
+class _StepLog:
+    """Step metrics: a table that grows by ``HELD_STEPS`` rows at a time, and the sums of one epoch."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = scratch_path(spark, "batch_metrics")
+        self.held: list[tuple] = []
+        self.written = False
+        self.start_epoch()
+
+    def start_epoch(self) -> None:
+        self.sums = np.zeros(6)
+
+    def add(self, epoch: int, step: int, batch_num: int, n: int, loss: float, accuracy: float) -> None:
+        self.sums += (1, n, loss, accuracy, loss * n, accuracy * n)
+        self.held.append((epoch, step, batch_num, n, loss, accuracy))
+        if len(self.held) >= HELD_STEPS:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.held:
+            rows = self.spark.createDataFrame(self.held, BATCH_METRICS).coalesce(1)
+            rows.write.mode("append").parquet(self.path)
+            self.held, self.written = [], True
+
+    def epoch_means(self) -> tuple[float, float, float, float]:
+        """Mean loss and accuracy of the epoch's batches, plain and weighted by their size."""
+        steps, n, loss, accuracy, weighted_loss, weighted_accuracy = self.sums.tolist()
+        return loss / steps, accuracy / steps, weighted_loss / n, weighted_accuracy / n
+
+    def table(self) -> DataFrame:
+        if not self.written:
+            return self.spark.createDataFrame(self.held, BATCH_METRICS)
+        self.flush()
+        return self.spark.read.schema(BATCH_METRICS).parquet(self.path)
+
+
 def fit(
     train: DataFrame, model: Model, config: TrainConfig, validation: DataFrame | None = None
 ) -> FitResult:
@@ -86,7 +125,8 @@ def fit(
     ``arrow`` broadcasts the model each step and brings back one summed gradient, the size of the
     model. ``hybrid`` and ``relational`` keep parameters in tables, one written version per step, and
     free what a step has written. A failing step fails the run. With ``store_path`` each epoch's
-    model is committed as a version.
+    model is committed as a version. The order of batches is computed step by step, and step metrics
+    go to a table in parts, so the driver holds nothing that grows with the number of batches.
     """
     spark = train.sparkSession
     strategy = choose_strategy(model) if config.strategy == "auto" else config.strategy
@@ -96,7 +136,7 @@ def fit(
         raise ValueError(f"unknown shuffle {config.shuffle!r}")
     trainer = _ArrowTrainer(model, config) if strategy == "arrow" else _TableTrainer(model, config, strategy)
     store = ModelStore(spark, config.store_path) if config.store_path else None
-    progress = _Progress()
+    progress, log = _Progress(), _StepLog(spark)
     stopped = False
     table = None
     try:
@@ -108,20 +148,18 @@ def fit(
                 table = BatchTable(train, config.batch_size, seed, epoch)
                 if config.cache:
                     table.table.persist()
-            order = range(table.n_batches)
-            if config.shuffle == "batches":
-                order = batch_order(spark, table.n_batches, config.seed, epoch)
-            for step, batch_num in enumerate(order):
-                n, loss, accuracy = trainer.step(table.read(batch_num))
-                progress.steps.append((epoch, step, batch_num, n, loss, accuracy))
+            log.start_epoch()
+            for step in range(table.n_batches):
+                batch_num = step
+                if config.shuffle == "batches":
+                    batch_num = permuted_from(step, table.n_batches, config.seed, epoch)
+                log.add(epoch, step, batch_num, *trainer.step(table.read(batch_num)))
             elapsed = time.monotonic() - started
             val_loss = val_accuracy = None
             if validation is not None and config.validate_every and epoch % config.validate_every == 0:
                 val_loss, val_accuracy = validate(validation, trainer.model()).first()
                 progress.note_validation(epoch, val_loss)
-            progress.epochs.append(
-                _epoch_row(epoch, progress.steps, table.n_batches, val_loss, val_accuracy, elapsed)
-            )
+            progress.epochs.append((epoch, *log.epoch_means(), val_loss, val_accuracy, elapsed))
             if store is not None:
                 store.save(trainer.model().params, trainer.model().biases)
             if config.early_stopping and progress.waited >= config.early_stopping:
@@ -133,7 +171,7 @@ def fit(
     return FitResult(
         trainer.model(),
         spark.createDataFrame(progress.epochs, HISTORY),
-        spark.createDataFrame(progress.steps, BATCH_METRICS),
+        log.table(),
         stopped,
         progress.best_epoch,
     )
@@ -171,10 +209,8 @@ def _elements(rows: DataFrame, model: Model) -> DataFrame:
 
 
 def batch_order(spark: SparkSession, n_batches: int, seed: int, epoch: int) -> list[int]:
-    """The order that ``shuffle_batches`` gives the batches of an epoch."""
-    batches = spark.range(n_batches).select(F.col("id").cast("int").alias("batch_num"))
-    keyed = batches.withColumn("_key", order_key(F.col("batch_num"), seed, epoch))
-    return [r["batch_num"] for r in keyed.orderBy("_key", "batch_num").collect()]
+    """The order that ``shuffle_batches`` gives the batches of an epoch, as a list for inspection."""
+    return [permuted_from(step, n_batches, seed, epoch) for step in range(n_batches)]
 
 
 def _release(table: BatchTable | None, config: TrainConfig) -> None:
@@ -185,23 +221,6 @@ def _release(table: BatchTable | None, config: TrainConfig) -> None:
         table.discard()
 
 
-def _epoch_row(epoch, steps, n_batches, val_loss, val_accuracy, elapsed) -> tuple:
-    recent = steps[-n_batches:]
-    n = np.array([s[3] for s in recent], dtype=float)
-    loss = np.array([s[4] for s in recent])
-    accuracy = np.array([s[5] for s in recent])
-    return (
-        epoch,
-        float(loss.mean()),
-        float(accuracy.mean()),
-        float((loss * n).sum() / n.sum()),
-        float((accuracy * n).sum() / n.sum()),
-        val_loss,
-        val_accuracy,
-        elapsed,
-    )
-
-
 class _ArrowTrainer:
     """Holds the dense model on the driver; its size is checked by ``Model.matrices``."""
 

@@ -267,19 +267,30 @@ def forward_from_units(
 
 
 def first_products(features: DataFrame, model: Model) -> DataFrame:
-    """``(sample_id, z)`` of the first layer: products in the scan's tasks, sums after one shuffle."""
+    """``(sample_id, z)`` of the first layer: products in the scan's tasks, then the sums of each sample.
+
+    A row of products holds a block of at most PACK_WIDTH outputs, and the plan has as many sums,
+    whatever the width of the layer. A layer of one block is summed by one shuffle; the summed blocks
+    of a wider one are brought together by another, as many rows for each sample as it has blocks.
+    """
     width = model.layers[1]
+    block_width = min(width, PACK_WIDTH)
     weights = model.params.sparkSession.sparkContext.broadcast(
         np.ascontiguousarray(model.matrices()[0][0].T)
     )
 
     def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return partial_products(batches, weights.value)
+        return partial_products(batches, weights.value, block_width)
 
     rows = features.select(F.col("sample_id").cast("bigint").alias("sample_id"), "idx", "value")
-    parts = rows.mapInArrow(partials, "sample_id bigint, ws array<double>")
-    sums = ", ".join(f"sum(ws[{k}])" for k in range(width))
-    summed = parts.groupBy("sample_id").agg(F.expr(f"array({sums})").alias("sums"))
+    parts = rows.mapInArrow(partials, "sample_id bigint, block int, ws array<double>")
+    keys = ["sample_id"] if width == block_width else ["sample_id", "block"]
+    sums = ", ".join(f"sum(ws[{k}])" for k in range(block_width))
+    summed = parts.groupBy(*keys).agg(F.expr(f"array({sums})").alias("sums"))
+    if width > block_width:
+        blocks = F.sort_array(F.collect_list(F.struct("block", "sums")))
+        joined = summed.groupBy("sample_id").agg(blocks.alias("blocks"))
+        summed = joined.select("sample_id", F.slice(F.flatten("blocks.sums"), 1, width).alias("sums"))
     return add_bias(summed, model.layer_biases(1), width)
 
 

@@ -63,12 +63,13 @@ def run_layers(x: np.ndarray, matrices: Matrices) -> tuple[list[np.ndarray], lis
 
 
 def partial_products(
-    batches: Iterator[pa.RecordBatch], weights_by_input: np.ndarray
+    batches: Iterator[pa.RecordBatch], weights_by_input: np.ndarray, block_width: int
 ) -> Iterator[pa.RecordBatch]:
     """Per Arrow batch and sample, ``SUM(value * weights_by_input[idx])`` over the batch's elements.
 
-    Elements outside the layer and NULL values add nothing. A sample that spans batches gives
-    several rows, to be summed after the shuffle.
+    One row for each block of ``block_width`` outputs, the last filled up with zeros, so memory
+    follows the block and not the layer. Elements outside the layer and NULL values add nothing. A
+    sample that spans batches gives several rows, to be summed after the shuffle.
     """
     width = weights_by_input.shape[1]
     for batch in batches:
@@ -85,11 +86,15 @@ def partial_products(
             order = np.argsort(samples, kind="stable")
             samples, idx, value = samples[order], idx[order], value[order]
         starts = np.append(0, np.flatnonzero(np.diff(samples)) + 1)
-        sums = np.add.reduceat(value[:, None] * weights_by_input[idx], starts, axis=0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(samples[starts]), to_lists(sums.reshape(len(starts), width))],
-            names=["sample_id", "ws"],
-        )
+        owners = pa.array(samples[starts])
+        for block, at in enumerate(range(0, width, block_width)):
+            products = value[:, None] * weights_by_input[idx, at : at + block_width]
+            sums = np.add.reduceat(products, starts, axis=0)
+            sums = np.pad(sums, ((0, 0), (0, block_width - sums.shape[1])))
+            yield pa.RecordBatch.from_arrays(
+                [owners, pa.array(np.full(len(starts), block, np.int32)), to_lists(sums)],
+                names=["sample_id", "block", "ws"],
+            )
 
 
 def softmax_rows(logits: np.ndarray) -> np.ndarray:

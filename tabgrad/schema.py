@@ -49,8 +49,8 @@ HISTORY = T.StructType(
 BATCH_METRICS = T.StructType(
     [
         T.StructField("epoch", T.IntegerType()),
-        T.StructField("step", T.IntegerType()),
-        T.StructField("batch_num", T.IntegerType()),
+        T.StructField("step", T.LongType()),
+        T.StructField("batch_num", T.LongType()),
         T.StructField("n", T.LongType()),
         T.StructField("loss", T.DoubleType()),
         T.StructField("accuracy", T.DoubleType()),

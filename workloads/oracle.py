@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tabgrad.functions.seeded import round_keys
 from workloads import tables as t
 
 ORACLE: dict[str, str] = {}
@@ -194,6 +195,13 @@ def order_key(sample_id: str, seed: int, epoch: int = 0) -> str:
     return scramble(f"{n} % {PRIME} + ({n} // {PRIME}) % {PRIME} * 16807 + {offset}")
 
 
+def permuted(n: str, size: str, seed: int, epoch: int = 0) -> str:
+    partner = f"((k % {size} - x) % {size} + {size}) % {size}"
+    mixed = scramble(f"greatest(x, {partner}) % {PRIME} + k % {PRIME}")
+    swap = f"case when ({mixed}) % 8192 >= 4096 then {partner} else x end"
+    return f"list_reduce(list_prepend(cast({n} as bigint), {round_keys(seed, epoch)}), lambda x, k: {swap})"
+
+
 # Scans, encodings, preparation, sinks
 
 ORACLE["scan_features"] = with_(X, select="select sample_id, idx, value from x")
@@ -550,7 +558,7 @@ ORACLE["train_step_small"] = with_(
 
 _NUMBERED = "numbered as (select o_orderkey as sample_id, row_number() over (order by o_orderkey) - 1 as place, (count(*) over () + 3) // 4 as quarter from orders)"
 ORACLE["assign_batches"] = with_(
-    _NUMBERED, select="select sample_id, cast(place // 32 as int) as batch_num from numbered"
+    _NUMBERED, select="select sample_id, place // 32 as batch_num from numbered"
 )
 ORACLE["select_batch"] = with_(
     _NUMBERED, select="select sample_id from numbered where place // quarter = 1"
@@ -565,11 +573,11 @@ ORACLE["batch_plan"] = (
     "count(distinct o_orderkey) - (cast(ceil(count(distinct o_orderkey) / 32.0) as bigint) - 1) * 32 as last_batch_size from orders"
 )
 ORACLE["shuffle_batches"] = (
-    f"select cast(row_number() over (order by {order_key('batch_num', SEED, 3)}, batch_num) - 1 as bigint) as position, batch_num "
-    "from (select cast(range as int) as batch_num from range((select (count(*) + 31) // 32 from orders)))"
+    f"select {permuted('range', 'n', SEED, 3)} as position, range as batch_num "
+    "from (select (count(*) + 31) // 32 as n from orders) sizes, lateral (select unnest(range(n)) as range)"
 )
 ORACLE["shuffle_samples"] = (
-    f"select o_orderkey as sample_id, cast((row_number() over (order by {order_key('o_orderkey', SEED, 3)}, o_orderkey) - 1) // 32 as int) as batch_num from orders"
+    f"select o_orderkey as sample_id, cast((row_number() over (order by {order_key('o_orderkey', SEED, 3)}, o_orderkey) - 1) // 32 as bigint) as batch_num from orders"
 )
 
 
