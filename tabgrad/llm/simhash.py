@@ -34,20 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tabgrad.llm.graph import components
+from tabgrad.plans.numbering import shuffle_partitions
 from tabgrad.sources.store import materialize
 
 SHINGLE = 3
 SEED = 42
 RADIUS = 3
-# ``keep_one`` also links by fingerprints of long words and pairs of words, two from each of these
-# seeds. Texts whose five-word shingles agree to 0.8 are five to ten of 64 bits apart in three-word
-# shingles, and two to seven in these, so together they reach nearly all of them. Short words are
-# left out because their counts alone make texts of one language alike.
-MIXED_SEEDS = (1, 2)
-LONG = 5  # bytes
-# A mixed link holds if all mixed fingerprints together differ in at most 3 of 16 bits. Texts whose
-# five-word shingles agree to 0.8 differ in about 1 of 14, unrelated ones in more than 1 of 3.
-MOST_DIFFERENT = 3 / 16
+EMITTING = 2048  # fingerprints whose variants one task emits
 _CHUNK = 1 << 15
 _PIECES = 6
 
@@ -85,43 +78,6 @@ def fingerprints(documents: DataFrame, keys: list[str], text: str = "text") -> D
     return rows.mapInArrow(_fingerprints, ", ".join([*[f"{k} bigint" for k in keys], "fp bigint"]))
 
 
-def mixed_fingerprints(text: bytes, seeds: tuple[int, ...] = MIXED_SEEDS) -> list[int]:
-    """Fingerprints by the words of at least ``LONG`` bytes and the pairs of words; two per seed.
-
-    A text without any is represented by itself as a whole, one without words by zeros.
-    """
-    words = text.lower().split()
-    if not words:
-        return [0] * (2 * len(seeds))
-    joined = b" ".join(words)
-    length = np.fromiter(map(len, words), np.int64, len(words))
-    end = np.cumsum(length + 1) - 1
-    start = end - length
-    long = length >= LONG
-    spans = [*zip(start[long].tolist(), end[long].tolist()), *zip(start[:-1].tolist(), end[1:].tolist())]
-    spans = spans or [(0, len(joined))]
-    out = []
-    for seed in seeds:
-        ones = np.zeros(128, np.int64)
-        for at in range(0, len(spans), _CHUNK):
-            digests = b"".join([xxhash.xxh3_128_digest(joined[s:e], seed) for s, e in spans[at : at + _CHUNK]])
-            bits = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, 16), axis=1)
-            ones += bits.sum(axis=0, dtype=np.int64)
-        out += np.packbits(2 * ones > len(spans)).view(np.uint64).tolist()
-    return out
-
-
-def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for text in batch.column(batch.num_columns - 1).to_pylist():
-            text = text or b""
-            out.append(np.array([fingerprint(text), *mixed_fingerprints(text)], np.uint64).view(np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(out, pa.list_(pa.int64()))], names=[*batch.schema.names[:-1], "fps"]
-        )
-
-
 def _choices() -> list[int]:
     """Masks of every choice of three pieces, as signed longs."""
     cuts = [round(64 * i / _PIECES) for i in range(_PIECES + 1)]
@@ -148,6 +104,8 @@ def links(distinct: DataFrame) -> DataFrame:
     """``(a, b)``: links between distinct fingerprints (``fp``) that connect all pairs within 3 bits."""
     ones = [(1 << i) - (1 << 64 if i == 63 else 0) for i in range(64)]
     twos = [x ^ y for x, y in combinations(ones, 2)]
+    # A row becomes up to 2,080, so tasks follow the rows and not the files that hold them.
+    distinct = distinct.repartition(max(shuffle_partitions(distinct), -(-distinct.count() // EMITTING)), "fp")
     odd = F.bit_count("fp") % 2 == 1
     fp = F.col("fp")
     near = distinct.select("fp", F.lit(True).alias("one"), F.explode(_flips(fp, ones)).alias("variant"))
@@ -182,120 +140,18 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     return prints.join(by_print, "fp").select(key, shown, "component_id")
 
 
-def _spanning(profiles: np.ndarray, family: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Verified links between rows of fingerprints that connect what all verified pairs connect.
-
-    Each row that is reached is compared with all that are not, so no pair is left out.
-    """
-    left = np.arange(len(profiles))
-    while len(left) > 1:
-        reached, left = [left[0]], left[1:]
-        while reached and len(left):
-            one = reached.pop()
-            differing = np.bitwise_count(profiles[left] ^ profiles[one])
-            most = 64 * (profiles.shape[1] - 1) * MOST_DIFFERENT
-            held = (differing[:, family] <= RADIUS) & (differing[:, 1:].sum(axis=1, dtype=np.int64) <= int(most))
-            if held.any():
-                yield one, left[held]
-                reached += left[held].tolist()
-                left = left[~held]
-
-
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(a, b)`` of rows (``family``, ``choice``, ``bits``, ``fps``) sorted by the first three."""
-
-    def linked(group: np.ndarray) -> Iterator[np.ndarray]:
-        profiles = group[:, 3:]
-        base = profiles[:, 0].view(np.int64)
-        for one, others in _spanning(profiles, int(group[0, 0])):
-            ends = np.stack([np.full(len(others), base[one]), base[others]])
-            yield np.sort(ends[:, ends[0] != ends[1]], axis=0)
-
-    def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
-        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    # The last group of a batch may go on in the next one.
-    held: list[np.ndarray] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = [c.cast(pa.int64()).to_numpy(zero_copy_only=False) for c in batch.columns[:3]]
-        fps = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-        rows = np.column_stack([*keys, fps]).view(np.uint64)
-        found = []
-        if held and (held[0][0, :3] != rows[0, :3]).any():
-            found += linked(np.concatenate(held))
-            held = []
-        starts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
-        if len(starts):
-            found += linked(np.concatenate([*held, rows[: starts[0]]]))
-            sizes = np.diff(starts)
-            for n in np.flatnonzero(sizes > 1):
-                found += linked(rows[starts[n] : starts[n + 1]])
-            held = []
-        held.append(rows[starts[-1] if len(starts) else 0 :].copy())
-        if found:
-            yield batch_of(found)
-    if held and (found := list(linked(np.concatenate(held)))):
-        yield batch_of(found)
-
-
-def _verified_links(profiles: DataFrame, n_mixed: int) -> DataFrame:
-    """``(a, b)``: links between first fingerprints that connect all verified pairs of ``fps``.
-
-    A pair holds if it is within 3 bits in one mixed family and all mixed fingerprints together
-    differ in at most ``MOST_DIFFERENT``. Those within 3 bits agree in three of six pieces, so every
-    pair meets in one of the groups that agree there, and is verified before links are thinned.
-    A group is in one task, at 64 bytes for each of its distinct profiles.
-    """
-    shared = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("family"),
-                F.lit(choice).alias("choice"),
-                F.get("fps", F.lit(n)).bitwiseAND(F.lit(mask)).alias("bits"),
-            )
-            for n in range(1, 1 + n_mixed)
-            for choice, mask in enumerate(_choices())
-        ]
-    )
-    keys = ["family", "choice", "bits"]
-    groups = profiles.select("fps", F.explode(shared).alias("k")).select(*[f"k.{k}" for k in keys], "fps")
-    return groups.repartition(*keys).sortWithinPartitions(*keys, "fps").mapInArrow(_verified, "a bigint, b bigint")
-
-
-def _components_of_families(prints: DataFrame, n_mixed: int) -> DataFrame:
-    """``(base, component)`` of the first fingerprints, linked by any of the families.
-
-    The documents of a first fingerprint are one node, whatever their mixed fingerprints; those are
-    compared profile by profile, a profile being all the fingerprints of a document.
-    """
-    profiles = materialize(prints.select("fps").distinct(), "profiles")
-    verified = materialize(_verified_links(profiles, n_mixed).distinct(), "verified")
-    bases = profiles.select(F.get("fps", F.lit(0)).alias("fp")).distinct()
-    emitting = materialize(_with_possible_partner(bases), "emitting")
-    grouped = components(links(emitting).union(verified)).withColumnRenamed("node", "fp")
-    joined = bases.join(grouped, "fp", "left")
-    return joined.select(F.col("fp").alias("base"), F.coalesce("component", "fp").alias("component"))
-
-
 def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, all columns, without all but one of each group.
+    """The documents, all columns, without all but one of each component of ``near_duplicates``.
 
-    A group is connected by fingerprints within 3 bits: those of three-word shingles, or any of the
-    mixed ones, which aim at texts whose five-word shingles agree to 0.8 or more and are verified by
-    all of these. The least ``key`` stays (one without a key only if none has one), ties by a hash of the row.
+    The least ``key`` stays (one without a key only if none has one), ties by a hash of the row.
     """
     columns = documents.columns
     row = F.struct(*[F.col(c) for c in columns])
     rows = documents.select(row.alias("_row"), F.col(key).cast("bigint").alias("_key"), F.xxhash64(*columns).alias("_tie"))
-    texts = rows.select("_key", "_tie", F.col(f"_row.{text}").cast("binary").alias("_text"))
-    prints = texts.mapInArrow(_families, "_key bigint, _tie bigint, fps array<bigint>")
-    prints = materialize(prints, "fingerprints")
+    texts = rows.select("_key", "_tie", F.col(f"_row.{text}").alias("_text"))
+    prints = materialize(fingerprints(texts, ["_key", "_tie"], "_text"), "fingerprints")
     order = F.struct(F.col("_key").isNull().alias("missing"), F.col("_key").alias("key"), F.col("_tie").alias("tie"))
-    first = prints.groupBy(F.get("fps", F.lit(0)).alias("base")).agg(F.min(order).alias("first"))
-    first = first.join(_components_of_families(prints, 2 * len(MIXED_SEEDS)), "base")
+    first = prints.groupBy("fp").agg(F.min(order).alias("first")).join(_components(prints), "fp")
     stays = first.groupBy("component").agg(F.min("first").alias("first")).select(
         F.col("first.tie").alias("_tie"), F.coalesce("first.key", F.lit(0)).alias("_id")
     )

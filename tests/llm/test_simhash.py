@@ -8,7 +8,7 @@ import re
 import xxhash
 
 from tabgrad.llm.queries import op4_simhash_near_dedup
-from tabgrad.llm.simhash import _components_of_families, fingerprint, links, near_duplicates
+from tabgrad.llm.simhash import fingerprint, keep_one, links, near_duplicates
 
 SF = "/root/testdata/sf0.01"
 
@@ -104,66 +104,12 @@ def test_long_text_goes_in_chunks():
     assert fingerprint(text.encode()) == plain_fingerprint(text)
 
 
-def flipped(draw: random.Random, fp: int, n: int) -> int:
-    return fp ^ sum(1 << b for b in draw.sample(range(64), n))
-
-
-def groups_of_profiles(spark, profiles: list[list[int]]) -> tuple[list[list[int]], list[list[int]]]:
-    """First fingerprints by component, as found and by all pairs."""
-    signed = [([p - (1 << 64) if p >> 63 else p for p in x],) for x in profiles]
-    found = {}
-    for r in _components_of_families(spark.createDataFrame(signed, "fps array<bigint>"), 4).collect():
-        found.setdefault(r.component, []).append(r.base % (1 << 64))
-    parent = {x[0]: x[0] for x in profiles}
-
-    def root(p):
-        while parent[p] != p:
-            p = parent[p]
-        return p
-
-    for i, x in enumerate(profiles):
-        for y in profiles[:i]:
-            apart = [(u ^ v).bit_count() for u, v in zip(x, y)]
-            if apart[0] <= 3 or min(apart[1:]) <= 3 and sum(apart[1:]) <= 48:
-                parent[root(x[0])] = root(y[0])
-    plain = {}
-    for p in parent:
-        plain.setdefault(root(p), []).append(p)
-    return [sorted(map(sorted, g.values())) for g in (found, plain)]
-
-
-def test_false_centre_does_not_part_near_copies(spark):
-    """Texts that are near the least one in a single family, and near each other in all."""
-    draw = random.Random(11)
-    for apart in (0, 1):
-        low = draw.getrandbits(60) << 1
-        near = [low | apart, low | apart | apart << 62]
-        others = [draw.getrandbits(64) for _ in range(3)]
-        profiles = [
-            [5, low, *(o ^ (1 << 64) - 1 for o in others)],
-            [draw.getrandbits(62) | 1 << 62, near[0], *others],
-            [draw.getrandbits(62) | 1 << 62, near[1], *(flipped(draw, o, 6) for o in others)],
-        ]
-        found, plain = groups_of_profiles(spark, profiles)
-        assert found == plain == sorted([[5], sorted([profiles[1][0], profiles[2][0]])])
-
-
-def test_verified_pairs_link_whatever_stands_between(spark):
-    draw = random.Random(12)
-    profiles = []
-    for _ in range(30):
-        centre = [draw.getrandbits(64) for _ in range(5)]
-        for _ in range(draw.randint(2, 12)):
-            near = [flipped(draw, p, draw.choice((0, 1, 2, 5, 9, 12))) for p in centre[1:]]
-            strange = [p if draw.random() < 0.5 else draw.getrandbits(64) for p in near]
-            # Some have a first fingerprint in common, with other mixed ones.
-            first = centre[0] if draw.random() < 0.1 else draw.getrandbits(64)
-            profiles.append([first, *(strange if draw.random() < 0.4 else near)])
-    # Groups go on from one batch of rows to the next.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
-    try:
-        found, plain = groups_of_profiles(spark, profiles)
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert found == plain
-    assert 1 < len(plain) < len(profiles)
+def test_keep_one_leaves_the_least_of_each_component(spark, table):
+    rows = table("documents", "/root/testdata/sf0.001")
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = keep_one(df)
+    assert kept.columns == df.columns
+    components = plain_components({r["doc_id"]: plain_fingerprint(r["text"] or "") for r in rows})
+    wanted = [r for r in rows if components[r["doc_id"]] == r["doc_id"]]
+    assert 0 < len(wanted) < len(rows)
+    assert sorted(map(tuple, kept.collect())) == sorted(tuple(r.values()) for r in wanted)
