@@ -6,8 +6,8 @@ document's id (8) and the token ids, 2 bytes each if the vocabulary fits them, e
 file beside each data file holds one offset of 8 bytes per record, so a reader can take records in
 any order without scanning.
 
-Documents are sorted by id with a range shuffle, and each task encodes its run and writes one data
-file and one index. Files have a new name in every attempt, and the manifest, a Parquet table that
+Documents are sorted by id with a range shuffle, and each task encodes its run and writes it to data
+files of about ``file_bytes`` with an index each; a file ends with the record that fills it. Files have a new name in every attempt, and the manifest, a Parquet table that
 Spark commits whole, lists those of the attempts that counted. So a lost executor costs its tasks
 only, and readers never see half a file. Files are written through ``pyarrow.fs``, so the folder
 may be in any store with such a URI that the executors reach.
@@ -19,7 +19,7 @@ are not read.
 
 from __future__ import annotations
 
-import itertools
+import json
 import os
 import re
 import struct
@@ -28,6 +28,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import cache, partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ from tabgrad.sources.store import scratch_path
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 _LENGTH, _CHECK, _HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<?q")
+FILE_BYTES = 256 << 20
+_READ = 4096  # records that a reader hands on at once
 _CACHED, _RUN = 600_000, 100_000  # entries remembered twice over; pieces looked up at once
 
 
@@ -106,6 +109,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self._check_shape()
         self.dtype = np.dtype("<u4" if self.tokenizer.get_vocab_size() > 1 << 16 else "<u2")
         self.code = self.dtype.char  # ids are packed in the machine's order, which is little-endian
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -115,6 +119,16 @@ class Encoder:
         self.spaced = _Recent()  # ids of a space and the key
         self.plain = _Recent()  # ids of the key
 
+    def _check_shape(self) -> None:
+        """Only texts of this kind of tokenizer may be cut as above."""
+        shape = json.loads(self.tokenizer.to_str())
+        cuts = shape["pre_tokenizer"] or {}
+        plain = cuts.get("type") == "ByteLevel" and not cuts.get("add_prefix_space") and cuts.get("use_regex", True)
+        if not plain or shape["normalizer"] is not None or shape["model"].get("type") != "BPE" or shape["model"].get("dropout"):
+            raise ValueError("needs a byte-level BPE tokenizer without normalizer, prefix space and dropout")
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in shape["added_tokens"]):
+            raise ValueError("an added token that takes white space along could be cut")
+
     def _cut(self, text: str) -> list[str]:
         """The pieces of a text, without the space that begins all but the first."""
         cut = text.split(" ")
@@ -182,30 +196,38 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    """Encode a sorted run of documents into one data file and its index; one manifest row."""
-    batches = (b for b in batches if b.num_rows)
-    first = next(batches, None)
-    if first is None:
-        return
-    encoder = _encoder(path)
-    end = np.array([end_id], encoder.dtype).tobytes()
-    store, root = pafs.FileSystem.from_uri(folder)
-    name = uuid.uuid4().hex
-    offsets, at, n_tokens = [], 0, 0
-    part = first.column(0)[0].as_py()
-    with store.open_output_stream(f"{root}/{name}.rec") as out, store.open_output_stream(f"{root}/{name}.idx") as index:
-        for batch in itertools.chain([first], batches):
-            for doc_id, text in zip(batch.column(1).to_pylist(), batch.column(2)):
+_MANIFEST = pa.schema(
+    [("part", pa.int32()), ("seq", pa.int32()), ("file", pa.string()), ("n_records", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()), ("width", pa.int32())]
+)
+
+
+def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: int, file_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Encode a sorted run of documents into data files with an index each; a manifest row per file."""
+    rows = ((part, i, t) for b in batches for part, i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)))
+    encoder, store = None, None
+    following = next(rows, None)
+    seq = 0
+    while following is not None:
+        if encoder is None:
+            encoder = _encoder(path)
+            end = np.array([end_id], encoder.dtype).tobytes()
+            store, root = pafs.FileSystem.from_uri(folder)
+        name, part = uuid.uuid4().hex, following[0]
+        n_records = n_tokens = at = 0
+        with store.open_output_stream(f"{root}/{name}.rec") as out, store.open_output_stream(f"{root}/{name}.idx") as index:
+            while following is not None and at < file_bytes:
+                _, doc_id, text = following
                 ids = encoder.encode(text.as_py() or "") + end
                 record = frame(_HEAD.pack(doc_id is not None, doc_id or 0) + ids)
                 out.write(record)
                 index.write(_LENGTH.pack(at))
-                offsets.append(at)
+                n_records += 1
                 at += len(record)
                 n_tokens += len(ids) // encoder.dtype.itemsize
-    row = {"part": part, "file": name, "n_records": len(offsets), "n_tokens": n_tokens, "n_bytes": at, "width": encoder.dtype.itemsize}
-    yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_records", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()), ("width", pa.int32())]))
+                following = next(rows, None)
+        row = {"part": part, "seq": seq, "file": name, "n_records": n_records, "n_tokens": n_tokens, "n_bytes": at, "width": encoder.dtype.itemsize}
+        yield pa.RecordBatch.from_pylist([row], schema=_MANIFEST)
+        seq += 1
 
 
 def _uri(folder: str) -> str:
@@ -222,8 +244,11 @@ def write_tokens(
     text: str = "text",
     tokenizer: str | None = None,
     end_id: int = END_ID,
+    file_bytes: int = FILE_BYTES,
 ) -> str:
     """Write the ids of all documents in ascending ``key`` order; returns the folder."""
+    if file_bytes < 1:
+        raise ValueError("file_bytes is at least 1")
     spark = documents.sparkSession
     folder = folder or scratch_path(spark, "tokens")
     rows = documents.select(F.col(key).cast("bigint").alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
@@ -232,9 +257,9 @@ def write_tokens(
     data = f"{_uri(folder)}/data"
     store, root = pafs.FileSystem.from_uri(data)
     store.create_dir(root, recursive=True)
-    schema = "part int, file string, n_records bigint, n_tokens bigint, n_bytes bigint, width int"
+    schema = "part int, seq int, file string, n_records bigint, n_tokens bigint, n_bytes bigint, width int"
     written = runs.mapInArrow(
-        partial(_write, folder=data, path=tokenizer or tokenizer_path(), end_id=end_id), schema
+        partial(_write, folder=data, path=tokenizer or tokenizer_path(), end_id=end_id, file_bytes=file_bytes), schema
     )
     written.write.parquet(f"{folder}/manifest")
     return folder
@@ -284,21 +309,25 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
     names = ["doc_id", "start", "n_tokens", "ids_crc32"]
     for batch in batches:
         for row in batch.to_pylist():
-            start, out = 0, []
-            for payload in read_records(store, f"{root}/{row['file']}.rec"):
-                doc_id, ids = unpack(payload, row["width"])
-                out.append((doc_id, row["before"] + start, len(ids), zlib.crc32(ids.tobytes())))
-                start += len(ids)
-            if len(out) != row["n_records"] or start != row["n_tokens"]:
+            start = n_records = 0
+            records = read_records(store, f"{root}/{row['file']}.rec")
+            while some := list(islice(records, _READ)):
+                out = []
+                for payload in some:
+                    doc_id, ids = unpack(payload, row["width"])
+                    out.append((doc_id, row["before"] + start, len(ids), zlib.crc32(ids.tobytes())))
+                    start += len(ids)
+                n_records += len(out)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
+            if n_records != row["n_records"] or start != row["n_tokens"]:
                 raise ValueError(f"{row['file']}: records are missing")
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Read every file back: ``doc_id, start, n_tokens, ids_crc32`` per document."""
     manifest = spark.read.parquet(f"{folder}/manifest")
     # One row per file, which takes along how many ids stand before it.
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.withColumn("before", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)))
     return files.repartition(max(1, manifest.count())).mapInArrow(
         partial(_read, folder=f"{_uri(folder)}/data"), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"

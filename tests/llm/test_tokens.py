@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow.fs as pafs
@@ -83,3 +85,27 @@ def test_missing_ids_come_first(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     folder = tokens.write_tokens(spark.createDataFrame([], "doc_id long, text string"), str(tmp_path / "out"))
     assert tokens.read_tokens(spark, folder).collect() == []
+
+
+def test_files_of_bounded_size(spark, tmp_path):
+    rows = [(k, f"document {k} " * (k % 30)) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    one = tokens.write_tokens(df, str(tmp_path / "one"))
+    many = tokens.write_tokens(df, str(tmp_path / "many"), file_bytes=900)
+    results = [sorted(map(tuple, tokens.read_tokens(spark, f).collect())) for f in (one, many)]
+    assert results[0] == results[1] and [r[0] for r in results[0]] == list(range(300))
+    files = spark.read.parquet(f"{many}/manifest").collect()
+    # A file ends with the record that fills it.
+    assert len(files) > 20 and all(f["n_bytes"] < 900 + 400 for f in files)
+    with pytest.raises(ValueError):
+        tokens.write_tokens(df, str(tmp_path / "none"), file_bytes=0)
+
+
+def test_other_kinds_of_tokenizers_are_refused(tmp_path):
+    shape = json.loads(Path(tokens.tokenizer_path()).read_text())
+    prefixed = shape | {"pre_tokenizer": shape["pre_tokenizer"] | {"add_prefix_space": True}}
+    for n, other in enumerate((prefixed, shape | {"normalizer": {"type": "Lowercase"}}, shape | {"pre_tokenizer": {"type": "Whitespace"}})):
+        path = tmp_path / f"{n}.json"
+        path.write_text(json.dumps(other))
+        with pytest.raises(ValueError, match="byte-level"):
+            tokens.Encoder(str(path))
