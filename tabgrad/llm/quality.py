@@ -8,11 +8,14 @@ the sparse dot product with the weights.
 
 The model is fitted on at most ``max_rows`` labelled documents, those with the smallest seeded
 draws, by per-coordinate FTRL-proximal updates with an L1 term, in one task whose input that bound
-limits. Scoring is a scan of whole texts; the weights (1 MB) are the broadcast side.
+limits: one row for each document of the sample, of at most 2**18 places (2 MB) however long its text
+is. Scoring is a scan of whole texts, in pieces of about a megabyte or one text; the weights (1 MB)
+are the broadcast side.
 
 Defined results: a null or empty text has no features and scores by the bias alone. Of several
 labels of a document the lowest counts; null labels are ignored. Without labels nothing speaks
-against a document, and every score is 1. Repeated documents each get their own row. A column of the
+against a document, and every score is 1. Repeated documents each get their own row; of the texts of
+a repeated doc_id one, by a hash of the text, is learnt from. A column of the
 documents named ``score`` is replaced; all others are passed on.
 """
 
@@ -158,7 +161,9 @@ def fit(
     sample = known.withColumn("drawn", draw(F.col(key), seed)).orderBy("drawn", key).limit(max_rows)
     texts = documents.select(key, F.col(text).cast("binary").alias("_text"))
     # The sample is at most ``max_rows`` narrow rows.
-    rows = texts.join(F.broadcast(sample), key).select("drawn", "label", "_text")
+    rows = texts.join(F.broadcast(sample), key)
+    # A repeated key must not add rows to the one task that fits the model.
+    rows = rows.groupBy("drawn", "label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
     features = rows.mapInArrow(_features, "drawn string, label int, place array<int>, value array<float>")
     one = features.withColumn("model", F.lit(0)).groupBy("model")
     model = one.applyInArrow(lambda table: _train(table, settings), "weights binary").first()

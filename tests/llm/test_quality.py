@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import zlib
 
 import numpy as np
+import pytest
 
 from tabgrad.llm import quality
 from tabgrad.llm.queries import op7_quality_classifier
@@ -53,6 +56,57 @@ def test_repeated_rows_stay(spark):
     assert quality.score(documents.union(documents), weights).count() == 4
 
 
+def plain_scores(texts: dict, labels: list[tuple], max_rows: int, settings=quality.Ftrl()) -> dict:
+    """FTRL-proximal over dictionaries, one number at a time."""
+    lowest = {}
+    for key, label, _ in labels:
+        if None not in (key, label) and zlib.crc32(str(key).encode()) % 4 != 2:
+            lowest[key] = min(label, lowest.get(key, label))
+    order = sorted(lowest, key=lambda k: hashlib.md5(f"42:{k}".encode()).hexdigest())[:max_rows]
+    features = {}
+    for key, text in texts.items():
+        (_, _, _, places, values), = quality.featurize([(text or "").encode()])
+        features[key] = dict(zip(places.tolist(), values.tolist()))
+    bias, z, n, w = 1 << quality.BITS, {}, {}, {}
+    for _ in range(settings.epochs):
+        for key in order:
+            if key not in texts:
+                continue
+            row = {p: float(np.float32(v)) for p, v in features[key].items()} | {bias: 1.0}
+            error = 1 / (1 + math.exp(-sum(w.get(p, 0.0) * v for p, v in row.items()))) - lowest[key]
+            for p, v in row.items():
+                g, before = error * v, n.get(p, 0.0)
+                n[p] = before + g * g
+                z[p] = z.get(p, 0.0) + g - (math.sqrt(n[p]) - math.sqrt(before)) / settings.alpha * w.get(p, 0.0)
+                if abs(z[p]) <= settings.l1:
+                    w[p] = 0.0
+                else:
+                    w[p] = (math.copysign(settings.l1, z[p]) - z[p]) / ((settings.beta + math.sqrt(n[p])) / settings.alpha + settings.l2)
+    dots = {k: sum(float(np.float32(w.get(p, 0.0))) * v for p, v in row.items()) for k, row in features.items()}
+    return {k: 1 / (1 + math.exp(-d - float(np.float32(w.get(bias, 0.0))))) for k, d in dots.items()}
+
+
+@pytest.mark.parametrize("max_rows", [60, 4096])
+def test_scores_match_plain_updates(spark, table, by, max_rows):
+    small = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in table("documents", small)}
+    labels = [tuple(r.values()) for r in table("labels", small)]
+    documents = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    weights = quality.fit(documents, known, "quality", max_rows=max_rows)
+    found = by(quality.score(documents, weights), "doc_id")
+    wanted = plain_scores(texts, labels, max_rows)
+    assert max(abs(found[k]["score"] - s) for k, s in wanted.items()) < 1e-6
+
+
+def test_repeated_ids_do_not_add_to_the_sample(spark):
+    documents, known = frames(spark, {k: f"words {k} here" for k in range(40)}, [(k, k % 2, 0) for k in range(40)])
+    once, many = quality.fit(documents, known, "quality"), documents
+    for _ in range(3):
+        many = many.union(documents)
+    assert np.array_equal(once, quality.fit(many, known, "quality"))
+
+
 def test_without_labels_nothing_is_rejected(spark):
     documents, none = frames(spark, {1: "a", 2: None}, [])
     assert quality.fit(documents, none, "quality") is None
