@@ -14,8 +14,11 @@ broadcast side.
 Scores are whole numbers. They are computed in doubles where no sum can reach 2**53, else with
 unbounded integers; a score that no bigint holds raises an error. Defined results: vectors that are
 null, or hold a null or a value that is not finite, take no part, nor do rows without an id. A
-missing element counts as 0. A candidate never meets a query of its own id. Repeated candidates are
-candidates of their own; of repeated query ids the least vector counts. Empty tables give no row.
+missing element counts as 0. A query is a row of the candidates and does not meet itself: one more
+than k rows are found, and the first with the query's id and its score with itself goes. Rows that
+repeat an id are rows of their own, as candidates and as queries, whose results then stand side by
+side under one id. Empty tables give no row. Only the two columns named are read, so others cannot
+clash.
 """
 
 from __future__ import annotations
@@ -64,7 +67,7 @@ def unbounded(matrix: np.ndarray) -> np.ndarray:
 
 
 def _scores(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndarray) -> Iterator[tuple]:
-    """Scores of some candidates: their ids, and a matrix with a row per query; -inf for its own id."""
+    """Scores of some candidates: their ids, and a matrix with a row per query."""
     step = max(1, _AT_ONCE // max(1, len(ids)))
     for batch in batches:
         for at in range(0, batch.num_rows, step):
@@ -74,9 +77,6 @@ def _scores(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndar
             if queries.dtype == object:
                 vectors = unbounded(vectors)
             scores = queries @ vectors.T if queries.shape[1] else np.zeros((len(ids), len(own)), queries.dtype)
-            same = np.minimum(np.searchsorted(ids, own), len(ids) - 1)
-            here = np.flatnonzero(ids[same] == own)
-            scores[same[here], here] = -np.inf
             yield own, scores
 
 
@@ -100,17 +100,17 @@ def _selected(batches, block, threshold: np.ndarray, need: np.ndarray) -> Iterat
     ids, queries = block.value
     ties = [np.zeros(0, np.int64) for _ in ids]
     kinds = (pa.int64(), pa.int64(), pa.int64())
-    names = ["query_id", "vec_id", "score"]
+    names = ["query", "vec_id", "score"]
     for own, scores in _scores(batches, ids, queries):
         query, column = np.nonzero(scores > threshold[:, None])
         found = [int(s) for s in scores[query, column]]
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((ids[query], own[column], found), kinds)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((query, own[column], found), kinds)], names=names)
         equal = scores == threshold[:, None]
         for q in np.flatnonzero(equal.any(axis=1)):
             ties[q] = np.sort(np.concatenate([ties[q], own[equal[q]]]))[: need[q]]
     for q, tied in enumerate(ties):
         if len(tied):
-            columns = (np.full(len(tied), ids[q]), tied, [int(threshold[q])] * len(tied))
+            columns = (np.full(len(tied), q), tied, [int(threshold[q])] * len(tied))
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], names=names)
 
 
@@ -126,8 +126,9 @@ def _search_block(queries: pa.Table, candidates: DataFrame, largest: int, k: int
         matrix = unbounded(matrix)
     block = spark.sparkContext.broadcast((ids, matrix))
 
+    with_itself = [int(s) for s in (matrix * matrix).sum(axis=1)] if matrix.size else [0] * len(ids)
     low, high = [-r for r in reach], [r + 1 for r in reach]
-    need = np.full(len(ids), k)
+    need = np.full(len(ids), k + 1)
     while max(h - x for x, h in zip(low, high)) > 1:
         width = [-(-(h - x) // BINS) for x, h in zip(low, high)]
         bounds = {"low": np.array(low, kind), "high": np.array(high, kind), "width": np.array(width, kind)}
@@ -146,27 +147,40 @@ def _search_block(queries: pa.Table, candidates: DataFrame, largest: int, k: int
             break
     rows = candidates.mapInArrow(
         partial(_selected, block=block, threshold=np.array(low, kind), need=need),
-        "query_id bigint, vec_id bigint, score bigint",
+        "query bigint, vec_id bigint, score bigint",
     )
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return rows.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    ranked = rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k + 1)
+    at = F.col("query").cast("int")
+    ranked = ranked.withColumn("query_id", F.get(F.lit(ids.tolist()), at))
+    itself = (F.col("vec_id") == F.col("query_id")) & (F.col("score") == F.get(F.lit(with_itself), at))
+    # At most k + 1 rows a query.
+    own = F.min(F.when(itself, F.col("rank"))).over(Window.partitionBy("query"))
+    left = ranked.withColumn("own", own).filter(F.col("own").isNull() | (F.col("rank") != F.col("own")))
+    after = F.when(F.col("rank") > F.col("own"), 1).otherwise(0)
+    left = left.withColumn("rank", (F.col("rank") - after).cast("int")).filter(F.col("rank") <= k)
+    return left.select("query_id", "rank", "vec_id", "score")
 
 
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` highest inner products per query, ties to the smaller id: ``query_id, rank, vec_id, score``.
 
-    Both sides have ``vec_id`` and ``vector``, an array of whole doubles.
+    Both sides have ``vec_id`` and ``vector``, an array of whole doubles; ``queries`` are rows of
+    ``candidates``.
     """
     spark = candidates.sparkSession
     usable = F.col("vec_id").isNotNull() & F.col("vector").isNotNull()
     candidates = candidates.filter(usable).select(F.col("vec_id").cast("bigint").alias("vec_id"), "vector")
-    queries = queries.filter(usable).groupBy(F.col("vec_id").cast("bigint").alias("vec_id")).agg(F.min("vector").alias("vector"))
+    queries = queries.filter(usable).select(F.col("vec_id").cast("bigint").alias("vec_id"), "vector")
     size = F.array_max(F.transform("vector", F.abs))
     largest = int(candidates.agg(F.max(size)).first()[0] or 0)
+    # Written once, with numbers that tell repeated rows apart, so that every block is of its size.
+    queries = materialize(queries.withColumn("row", F.monotonically_increasing_id()), "queries")
     n_blocks = -(-queries.count() // QUERY_BLOCK)
     blocks = []
     for n in range(n_blocks):
-        some = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == n).toArrow()
+        mine = queries.filter(F.pmod(F.xxhash64("row"), F.lit(n_blocks)) == n)
+        some = mine.select("vec_id", "vector").toArrow()
         if some.num_rows:
             found = _search_block(some, candidates, largest, k)
             blocks.append(found if n_blocks == 1 else materialize(found, "top_k"))

@@ -66,6 +66,19 @@ def test_fewer_than_k_and_repeated_candidates(spark):
     assert run(spark, [(0, [1.0])], rows, 10) == {0: [(1, 2), (1, 2)]}
 
 
+def test_repeated_ids_are_rows_of_their_own(spark):
+    rows = [(0, [1.0]), (0, [1.0]), (0, [3.0]), (1, [2.0]), (2, [1.0]), (2, [1.0])]
+    schema = "vec_id long, vector array<double>"
+    whole = spark.createDataFrame(rows, schema)
+    found = sorted(map(tuple, top_k(whole.filter("vec_id % 2 = 0"), whole, 3).collect()))
+    wanted = []
+    for n, (q, x) in enumerate(rows):
+        if q % 2 == 0:
+            scored = sorted((-int(x[0] * y[0]), c) for m, (c, y) in enumerate(rows) if m != n)[:3]
+            wanted += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored)]
+    assert found == sorted(wanted)
+
+
 def test_rows_that_take_no_part(spark):
     values = [(0, [1.0, 0.5]), (1, None), (2, [1.0, None]), (3, [float("nan")]), (4, [float("inf")]), (5, [-0.001, 1.0]), (None, [1.0])]
     df = spark.createDataFrame(values, "vec_id long, embedding array<double>")
