@@ -8,8 +8,7 @@ the sparse dot product with the weights.
 
 The model is fitted on at most ``max_rows`` labelled documents, those with the smallest seeded
 draws, by per-coordinate FTRL-proximal updates with an L1 term, in one task whose input that bound
-limits: one row for each document of the sample, of at most 2**18 places (2 MB) however long its text
-is. Scoring is a scan of whole texts, in pieces of about a megabyte or one text; the weights (1 MB)
+limits: one text for each document of the sample, of at most 2**18 places (2 MB) however long it is. Scoring is a scan of whole texts, in pieces of about a megabyte or one text; the weights (1 MB)
 are the broadcast side.
 
 Defined results: a null or empty text has no features and scores by the bias alone. Of several
@@ -120,10 +119,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _train(table: pa.Table, settings: Ftrl) -> pa.Table:
     """FTRL-proximal over the examples in the order of their draws; the last place is the bias."""
     table = table.sort_by([("drawn", "ascending")])
-    labels = table["label"].to_pylist()
+    drawn, labels = table["drawn"].to_pylist(), table["label"].to_pylist()
     examples = [
         (np.append(p.values.to_numpy(), 1 << BITS), np.append(v.values.to_numpy(), np.float32(1)), y)
-        for p, v, y in zip(table["place"], table["value"], labels)
+        for n, (p, v, y) in enumerate(zip(table["place"], table["value"], labels))
+        if n == 0 or drawn[n] != drawn[n - 1]
     ]
     z, n, weights = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     for _ in range(settings.epochs):
@@ -161,9 +161,11 @@ def fit(
     sample = known.withColumn("drawn", draw(F.col(key), seed)).orderBy("drawn", key).limit(max_rows)
     texts = documents.select(key, F.col(text).cast("binary").alias("_text"))
     # The sample is at most ``max_rows`` narrow rows.
-    rows = texts.join(F.broadcast(sample), key)
-    # A repeated key must not add rows to the one task that fits the model.
-    rows = rows.groupBy("drawn", "label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
+    # Of the texts of a repeated key the one with the least hash goes on: a fixed-size aggregate of at
+    # most ``max_rows`` rows. Copies of that same text are left out by the task that fits the model.
+    chosen = texts.join(F.broadcast(sample), key).groupBy(key, "drawn", "label").agg(F.min(F.xxhash64("_text")).alias("_hash"))
+    chosen = F.broadcast(chosen.select(F.col(key).alias("_key"), "drawn", "label", "_hash"))
+    rows = texts.join(chosen, (F.col(key) == F.col("_key")) & (F.xxhash64("_text") == F.col("_hash"))).select("drawn", "label", "_text")
     features = rows.mapInArrow(_features, "drawn string, label int, place array<int>, value array<float>")
     one = features.withColumn("model", F.lit(0)).groupBy("model")
     model = one.applyInArrow(lambda table: _train(table, settings), "weights binary").first()
