@@ -17,12 +17,15 @@ goes through the shuffles, for the run of starts that share it, with a hash of t
    anchor, which is suffix order; for each distance before the anchor, a stable sort by the byte
    there keeps suffix order while it separates what differs in front, and common prefixes come from
    range minima. All classes of a task advance together, as numpy arrays.
-3. A class of more than ``GROUP`` contexts never meets in a task: its contexts emit one hash per
-   start, which is counted.
+3. A class of more than ``GROUP`` contexts is split until its parts fit a task. A start at some
+   distance before the anchor matches only if all bytes match that the distances of its range have
+   in common, so each context is cut to the nearer and to the farther half of its distances, and
+   those with equal common bytes form a part. Parts that fit are sorted as in step 2; where one
+   distance is left, the common bytes are the whole string, and strings are counted as they are.
 4. The repeated starts of each document come back to its text.
 
 Hashes decide which rows meet and which contexts count as equal: 64 bits for the class and another
-64 for the context. Texts are shuffled once, and that exchange serves steps 2 and 4.
+64 for the context. What meets is compared byte by byte, whatever the size of the class. Texts are shuffled once, and that exchange serves steps 2 and 4.
 
 Defined results: a null text is empty; texts shorter than ``least`` keep all. Repeated rows are
 documents of their own, so each removes the other, and with ``keep="first"`` they count as one.
@@ -33,8 +36,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
-from itertools import groupby
+from functools import partial, reduce
+from itertools import batched, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +48,7 @@ from tabgrad.llm.wordhash import mix, pieces, powers, sliding_min
 from tabgrad.sources.store import materialize
 
 LEAST = 400
-GROUP = 4096
+GROUP = 1024
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 20  # places within a segment
 _SEGMENT = (1 << _BITS) - 1
@@ -53,6 +56,11 @@ _POWERS = powers(1 << _BITS)
 _INVERSES = powers(1 << _BITS, np.uint64(pow(int(_ODD), -1, 1 << 64)))
 _TOGETHER = 1 << 14  # contexts that a task sorts at once
 
+_CONTEXT_ARROW = pa.schema(
+    [(c, pa.int64()) for c in ("part", "near", "far", "class", "context", "owner", "tie", "anchor", "before", "reach")]
+    + [("bytes", pa.binary())]
+)
+_CONTEXT = ", ".join(f"{f.name} {'binary' if f.name == 'bytes' else 'bigint'}" for f in _CONTEXT_ARROW)
 CELL = "owner bigint, tie bigint, class bigint, context bigint, anchor bigint, low bigint, high bigint"
 
 
@@ -239,10 +247,10 @@ def _matched(classes: list, contexts: list, repeated: list, later: list) -> pa.R
 
 
 def _match(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Contexts sorted by class to the distances before the anchor at which they are repeated."""
+    """Contexts sorted by part to the distances before the anchor at which they are repeated."""
     rows = (row for batch in batches for at in range(0, batch.num_rows, 1024) for row in batch.slice(at, 1024).to_pylist())
     waiting: list[dict] = []
-    for _, members in groupby(rows, key=lambda r: r["class"]):
+    for _, members in groupby(rows, key=lambda r: r["part"]):
         waiting.extend(members)
         if len(waiting) >= _TOGETHER:
             yield _match_some(waiting, least)
@@ -258,7 +266,7 @@ def _match_some(rows: list[dict], least: int) -> pa.RecordBatch:
 
     place = np.empty(len(rows), np.int64)
     place[sorted(range(len(rows)), key=position)] = np.arange(len(rows))
-    group = np.array([r["class"] for r in rows], np.int64)
+    group = np.array([r["part"] for r in rows], np.int64)
     before = np.array([r["before"] for r in rows], np.int64)
     repeated, later = [[] for _ in rows], [[] for _ in rows]
     for distance, members, earlier in factors(group, place, before, [r["bytes"] for r in rows], least):
@@ -266,40 +274,72 @@ def _match_some(rows: list[dict], least: int) -> pa.RecordBatch:
             repeated[i].append(distance)
             if is_later:
                 later[i].append(distance)
-    return _matched(group.tolist(), [r["context"] for r in rows], list(map(_runs, repeated)), list(map(_runs, later)))
+    return _matched([r["class"] for r in rows], [r["context"] for r in rows], list(map(_runs, repeated)), list(map(_runs, later)))
 
 
-def _starts(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """One hash for each start that a context covers."""
-    names = ["gram", "class", "context", "distance", "owner", "tie", "anchor"]
-    for batch in batches:
-        for row in batch.to_pylist():
-            data = np.frombuffer(row["bytes"], np.uint8)
-            at = np.arange(row["reach"] + 1)
-            grams = mix(_Hashes(data)(at, at + least))
-            same = [pa.array([row[c]] * len(at), pa.int64()) for c in ("class", "context", "owner", "tie", "anchor")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(grams.view(np.int64)), *same[:2], pa.array(row["before"] - at), *same[2:]], names=names
-            )
-
-
-def _count_starts(contexts: DataFrame, least: int) -> DataFrame:
-    """What ``_match`` gives, for classes with too many contexts to meet in a task."""
-    starts = contexts.mapInArrow(
-        partial(_starts, least=least),
-        "gram bigint, class bigint, context bigint, distance bigint, owner bigint, tie bigint, anchor bigint",
-    )
+def _halves(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Contexts cut to the nearer and the farther half of their distances, ``near`` to ``far``."""
+    names = [f.name for f in _CONTEXT_ARROW]
+    rows = (row for batch in batches for at in range(0, batch.num_rows, 256) for row in batch.slice(at, 256).to_pylist())
+    for some in batched(rows, 256):
+        out = []
+        for row in some:
+            anchor, data = row["before"], row["bytes"]
+            middle = (row["near"] + row["far"]) // 2
+            for near, far in ((row["near"], middle), (middle + 1, row["far"])):
+                before, nearest = min(anchor, far), max(anchor - row["reach"], near)
+                if nearest > before:
+                    continue
+                common = hashlib.blake2b(data[anchor - near : anchor + least - far], digest_size=8, salt=b"%d-%d" % (near, far))
+                common.update(row["part"].to_bytes(8, "little", signed=True))
+                out.append(
+                    row
+                    | {
+                        "part": int.from_bytes(common.digest(), "little", signed=True),
+                        "near": near,
+                        "far": far,
+                        "before": before,
+                        "reach": before - nearest,
+                        "bytes": data[anchor - before : anchor + least - nearest],
+                    }
+                )
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], _CONTEXT_ARROW.field(c).type) for c in names], names=names)
+
+
+def _split(contexts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Contexts of classes too large for a task: in parts that fit one, and cut to single strings.
+
+    Each round halves the ranges of distances of the parts that are still too large, so rounds are
+    the logarithm of ``least`` at most, and a start is in one row at most of each round.
+    """
+    same = ["part", "near", "far"]
+    fitting, strings = [], []
+    while True:
+        halves = materialize(contexts.mapInArrow(partial(_halves, least=least), _CONTEXT), "halves")
+        strings.append(halves.filter("near = far"))
+        open_ranges = halves.filter("near < far")
+        sizes = materialize(open_ranges.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "parts")
+        fitting.append(open_ranges.join(sizes.filter(F.col("n") <= GROUP), same, "left_semi"))
+        large = sizes.filter(F.col("n") > GROUP)
+        if large.isEmpty():
+            return reduce(DataFrame.unionByName, fitting), reduce(DataFrame.unionByName, strings)
+        contexts = open_ranges.join(large, same, "left_semi")
+
+
+def _count_strings(strings: DataFrame) -> DataFrame:
+    """What ``_match`` gives, for contexts cut to a single string each."""
     position = F.struct("owner", "tie", "anchor")
-    grams = starts.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("first")).filter("n > 1")
-    hit = starts.join(grams, "gram").withColumn("later", F.when(position != F.col("first"), F.col("distance")))
-    listed = hit.groupBy("class", "context").agg(F.sort_array(F.collect_set("distance")).alias("repeated"), F.sort_array(F.collect_set("later")).alias("later"))
+    same = ["part", "bytes"]
+    counted = strings.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("first")).filter("n > 1")
+    hit = strings.join(counted, same).withColumn("later", F.when(position != F.col("first"), F.col("near")))
+    listed = hit.groupBy("class", "context").agg(F.sort_array(F.collect_set("near")).alias("repeated"), F.sort_array(F.collect_set("later")).alias("later"))
 
-    def single(batches):
+    def runs(batches):
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
             yield _matched(columns[0], columns[1], list(map(_runs, columns[2])), list(map(_runs, columns[3])))
 
-    return listed.mapInArrow(single, _MATCHED)
+    return listed.mapInArrow(runs, _MATCHED)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], least: int, with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -364,17 +404,26 @@ def remove_repeats(
     placed = rows.repartition(*same)
     chosen = contexts.join(classes.select("class"), "class").select("first.*", "class", "context").groupBy(*same)
     chosen = chosen.agg(F.collect_list(F.struct("class", "context", "anchor", "low", "high")).alias("chosen"))
-    with_bytes = placed.join(chosen, same).mapInArrow(
-        partial(_contexts, least=least),
-        "class bigint, context bigint, owner bigint, tie bigint, anchor bigint, before bigint, reach bigint, bytes binary",
+    far = least - least // 2
+    with_bytes = (
+        placed.join(chosen, same)
+        .mapInArrow(
+            partial(_contexts, least=least),
+            "class bigint, context bigint, owner bigint, tie bigint, anchor bigint, before bigint, reach bigint, bytes binary",
+        )
+        .select(F.col("class").alias("part"), F.lit(0).cast("bigint").alias("near"), F.lit(far).cast("bigint").alias("far"), "*")
     )
     huge = classes.filter(F.col("n_contexts") > GROUP).select("class")
     any_huge = not huge.isEmpty()
     meeting = with_bytes.join(huge, "class", "left_anti") if any_huge else with_bytes
-    meeting = meeting.repartition("class").sortWithinPartitions("class", "context")
+    if any_huge:
+        # Step 3
+        fitting, strings = _split(with_bytes.join(huge, "class", "left_semi").select(*_CONTEXT_ARROW.names), least)
+        meeting = meeting.unionByName(fitting)
+    meeting = meeting.repartition("part").sortWithinPartitions("part", "context")
     matched = meeting.mapInArrow(partial(_match, least=least), _MATCHED)
     if any_huge:
-        matched = matched.unionByName(_count_starts(with_bytes.join(huge, "class", "left_semi"), least))
+        matched = matched.unionByName(_count_strings(strings))
 
     # Step 4: starts of each document. What has an equal context is repeated whole, but for the first.
     equal = cells.join(contexts.filter("n > 1").select("class", "context", "first"), ["class", "context"])

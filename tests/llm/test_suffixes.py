@@ -73,6 +73,28 @@ def test_classes_too_large_to_meet(spark, monkeypatch, keep):
     assert run(spark, rows, 30, keep) == plain(rows, 30, keep)
 
 
+@pytest.mark.parametrize("group,least", [(2, 31), (5, 8), (1, 2), (20, 40)])
+def test_every_split_of_a_class_gives_the_same(spark, monkeypatch, group, least):
+    monkeypatch.setattr(operator, "GROUP", group)
+    rows = texts(10 + group, 50, "ab") + [(100 + i, "ab" * 30 + "x" * i) for i in range(12)]
+    for keep in ("none", "first"):
+        assert run(spark, rows, least, keep) == plain(rows, least, keep)
+
+
+def test_parts_of_a_split_fit_a_task(spark, monkeypatch):
+    """Contexts of one class that differ on both sides: parts stay small, strings carry the rest."""
+    monkeypatch.setattr(operator, "GROUP", 4)
+    core = b"0123456789"
+    draw = random.Random(3)
+    sides = [bytes(draw.choices(b"ab", k=10)) + core + bytes(draw.choices(b"ab", k=10)) for _ in range(60)]
+    rows = [(7, 0, 10, 7, i, i, 0, 10, 10, 10, s) for i, s in enumerate(sides)]
+    fitting, strings = operator._split(spark.createDataFrame(rows, operator._CONTEXT), 20)
+    assert max(r["count"] for r in fitting.groupBy("part").count().collect()) <= 4
+    assert strings.filter("near <> far or length(bytes) <> 20").isEmpty()
+    found = {(r["near"], r["owner"], bytes(r["bytes"])) for r in strings.collect()}
+    assert all(sides[owner][10 - near : 30 - near] == cut for near, owner, cut in found)
+
+
 def test_long_texts_go_in_segments(spark, monkeypatch):
     monkeypatch.setattr(operator, "_SEGMENT", 300)
     rows = [(i, t * 9) for i, t in texts(9, 25, "abcdefgh")]
