@@ -6,12 +6,15 @@ have equal fingerprints: every shared span of that length is found. Windows of t
 joined to those of the benchmark by fingerprint, the hits are compared word by word, and each hit
 extends over all words of its window.
 
-The benchmark is the broadcast side. It is cut into blocks of at most ``BLOCK`` distinct windows,
-each of which takes one pass over the documents, so no broadcast grows with it, and the documents
-are never shuffled.
+A benchmark of at most ``BLOCK`` distinct windows is broadcast, and the documents are not shuffled.
+A larger one is joined by shuffle: a table of 2**``SIEVE_BITS`` flags, whatever the size of the
+benchmark, is broadcast and sieves the documents' fingerprints; the runs of words that pass, and no
+others, meet the windows with equal words, and hits come back to the documents by the digest of their
+text. Texts are read twice then and never written.
 
 Defined results: a null or empty text has no words. An empty benchmark hits nothing. An item without
-an id marks words but is not listed. Repeated documents each get their own row. Columns of the
+an id marks words but is not listed. Repeated documents each get their own row. Texts of any length are
+taken whole, in pieces of about a megabyte. Columns of the
 documents named like a result are replaced; all others are passed on.
 """
 
@@ -33,6 +36,7 @@ from tabgrad.sources.store import materialize
 
 SPAN = 10
 BLOCK = 1 << 17
+SIEVE_BITS = 27  # 16 MiB of flags
 _FILTER_BITS = 20
 
 # [^\x00-\x2F\x3A-\x60\x7B-\x7F], after A-Z became a-z
@@ -105,6 +109,75 @@ class _Index:
                 yield i, length
 
 
+def _sieve(windows: DataFrame) -> bytes:
+    """One flag for each value of a fingerprint's first ``SIEVE_BITS`` bits, in words of 64."""
+    low = F.shiftrightunsigned("fingerprint", 64 - SIEVE_BITS)
+    flag = F.expr("shiftleft(1L, cast(low & 63 as int))")
+    words = windows.select(low.alias("low")).select(F.shiftright("low", 6).alias("at"), flag.alias("flag"))
+    table = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
+    # At most one row for each word of the table.
+    rows = words.groupBy("at").agg(F.bit_or("flag").alias("flags")).toArrow()
+    table[rows["at"].to_numpy()] = rows["flags"].to_numpy()
+    return table.tobytes()
+
+
+def _sift(batches: Iterator[pa.RecordBatch], sieve, lengths: list[int], bits: int) -> Iterator[pa.RecordBatch]:
+    """``(blob, text)`` to the runs of words whose fingerprint passes the sieve."""
+    table = np.frombuffer(sieve.value, np.uint64)
+    names, kinds = ["blob", "first", "n", "window"], [pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+    for batch in batches:
+        texts = [None if t is None else t.lower() for t in batch.column(1).to_pylist()]
+        for start, _, data, offsets in pieces(texts):
+            words = find_words(np.frombuffer(data, np.uint8), IS_WORD)
+            bounds = np.append(np.searchsorted(words.start, offsets), len(words.start))
+            for length in lengths:
+                low = _fingerprints(words.hash, length) >> np.uint64(64 - bits)
+                at = np.flatnonzero(table[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1))
+                doc = np.searchsorted(bounds, at, "right") - 1
+                inside = at + length <= bounds[doc + 1]
+                at, doc = at[inside], doc[inside]
+                for some in range(0, len(at), 4096):
+                    here, mine = at[some : some + 4096], doc[some : some + 4096]
+                    runs = [b" ".join(data[words.start[j] : words.end[j]] for j in range(i, i + length)) for i in here.tolist()]
+                    columns = [batch.column(0).take(pa.array(mine + start)), here - bounds[mine], np.full(len(here), length), runs]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+def _count_words(batches: Iterator[pa.RecordBatch], text_at: int, keep: list[str]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = []
+        for _, _, data, offsets in pieces(batch.column(text_at).to_pylist()):
+            words = find_words(np.frombuffer(data.lower(), np.uint8), IS_WORD)
+            counts.extend(np.diff(np.append(np.searchsorted(words.start, offsets), len(words.start))).tolist())
+        columns = [pa.array(counts, pa.int64()) if c == "n_words" else batch.column(c) for c in keep]
+        yield pa.RecordBatch.from_arrays(columns, names=keep)
+
+
+def _join_hits(marked: DataFrame, windows: DataFrame, keep: list[str]) -> DataFrame:
+    """What ``_match`` gives, by a shuffle of the runs that pass the sieve."""
+    spark = marked.sparkSession
+    sieve = spark.sparkContext.broadcast(_sieve(windows))
+    lengths = sorted(r["length"] for r in windows.select("length").distinct().collect())  # 1 to ``span``
+    blob = F.unhex(F.sha2(F.coalesce("_text", F.lit(b"")), 256)).alias("_blob")
+    runs = marked.filter(F.length("_text") > 0).select(blob, "_text")
+    runs = runs.mapInArrow(
+        partial(_sift, sieve=sieve, lengths=lengths, bits=SIEVE_BITS), "_blob binary, first bigint, n bigint, window binary"
+    )
+    known = windows.groupBy(F.col("length").cast("bigint").alias("n"), "window").agg(F.collect_set("item_id").alias("ids"))
+    # Written, so that adaptive execution can split the joins at a window or a text of many documents.
+    met = materialize(runs.join(materialize(known, "known"), ["n", "window"]).drop("window"), "met")
+    hits = met.groupBy("_blob").agg(F.collect_set(F.struct("first", "n")).alias("_hits"))
+    items = met.select("_blob", F.explode("ids").alias("item")).distinct()
+    items = items.groupBy("_blob").agg(F.sort_array(F.collect_set("item")).alias("_items"))
+    found = materialize(hits.join(items, "_blob", "left"), "hits")
+    counted = marked.select(blob, *marked.columns)
+    schema = T.StructType([counted.schema[c] for c in ["_blob", *keep]])
+    counted = counted.mapInArrow(partial(_count_words, text_at=counted.columns.index("_text"), keep=["_blob", *keep]), schema)
+    return counted.join(found, "_blob", "left").select(
+        *[F.coalesce(f"_{c}", c).alias(c) if c in ("hits", "items") else F.col(f"`{c}`") for c in keep]
+    )
+
+
 def _match(batches: Iterator[pa.RecordBatch], block, text_at: int, keep: list[str]) -> Iterator[pa.RecordBatch]:
     index = _Index(pickle.loads(block.value))
     for batch in batches:
@@ -140,7 +213,6 @@ def mark_contamination(
     """Add ``n_words``, ``hits`` (first word and length of each window found), ``items`` and ``n_hit``."""
     spark = documents.sparkSession
     windows = materialize(benchmark_windows(benchmark, span), "windows")
-    n_blocks = max(1, -(-windows.count() // BLOCK))
     others = [c for c in documents.columns if c not in (*RESULTS, "n_hit")]
     marked = documents.select(
         *others,
@@ -151,16 +223,15 @@ def mark_contamination(
     )
     if not keep_text:
         marked = marked.drop(text)
-    for n in range(n_blocks):
-        mine = windows.filter(F.pmod(F.xxhash64("window", "item_id"), F.lit(n_blocks)) == n)
-        rows = [tuple(r.values()) for r in mine.toArrow().to_pylist()]
+    text_at = marked.columns.index("_text")
+    keep = [c for c in marked.columns if c != "_text"]
+    if windows.count() <= BLOCK:
+        rows = [tuple(r.values()) for r in windows.toArrow().to_pylist()]
         block = spark.sparkContext.broadcast(pickle.dumps(rows))
-        last = n == n_blocks - 1
-        keep = [c for c in marked.columns if not (last and c == "_text")]
         schema = T.StructType([marked.schema[c] for c in keep])
-        marked = marked.mapInArrow(partial(_match, block=block, text_at=marked.columns.index("_text"), keep=keep), schema)
-        if not last:
-            marked = materialize(marked, "marked")
+        marked = marked.mapInArrow(partial(_match, block=block, text_at=text_at, keep=keep), schema)
+    else:
+        marked = _join_hits(marked, windows, keep)
     ends = F.aggregate(
         F.array_sort("hits"),
         F.struct(F.lit(0).cast("bigint").alias("end"), F.lit(0).cast("bigint").alias("n")),

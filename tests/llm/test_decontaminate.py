@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import re
 
+import pytest
+
 import tabgrad.llm.decontaminate as operator
 from tabgrad.llm.queries import op10_benchmark_decontamination
 
@@ -93,10 +95,34 @@ def test_edge_cases(spark, by):
     assert found[10] == {"n_words": 1, "n_hit": 1, "items": []}
 
 
-def test_blocks_give_the_same(spark, by, monkeypatch):
+@pytest.mark.parametrize("bits", [7, 27])
+def test_large_benchmarks_give_the_same(spark, by, monkeypatch, bits):
+    """By the shuffle of what passes the sieve, also where it lets nearly everything pass."""
     whole = marked(spark, by)
     monkeypatch.setattr(operator, "BLOCK", 2)
-    assert marked(spark, by) == whole
+    monkeypatch.setattr(operator, "SIEVE_BITS", bits)
+    assert marked(spark, by) == whole == plain(CASES, BENCHMARK)
+
+
+def test_large_benchmark_over_the_given_table(spark, table, by, monkeypatch):
+    monkeypatch.setattr(operator, "BLOCK", 0)
+    test_query_matches_brute_force(spark, table, by)
+
+
+def test_copies_without_ids_in_both_ways(spark, monkeypatch):
+    rows = [(None, CASES[6]), (None, CASES[6]), (None, "clean"), (None, None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").withColumnRenamed("doc_id", "items")
+    benchmark = spark.createDataFrame(BENCHMARK, "item_id long, text string")
+
+    def found():
+        df = operator.mark_contamination(documents, benchmark, keep_text=False)
+        return sorted((r.n_words, r.n_hit, r["items"]) for r in df.collect())
+
+    whole = found()
+    expected = plain(dict(enumerate(text for _, text in rows)), BENCHMARK).values()
+    assert whole == sorted((e["n_words"], e["n_hit"], e["items"]) for e in expected)
+    monkeypatch.setattr(operator, "BLOCK", 0)
+    assert found() == whole
 
 
 def test_empty_benchmark(spark, by):
