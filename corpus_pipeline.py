@@ -4,6 +4,11 @@ Each stage is a function of ``(spark, docs, sf_dir)``. Its result is written as
 again as the next one's documents. All but the last return the columns of ``documents``, whatever
 they are; ``doc_id``, ``text``, ``lang`` and ``source`` are used.
 
+Defined results: a null text is empty; it is scored, linked to other empty texts and written as one
+end id. Ids may be null or repeated: rows are scored one by one, and of linked rows one stays, the
+least by id (one without only if none has one) and then by a hash of the row. An empty table gives no rows. Whole rows go
+through the stages in one column, so extra columns may have any name.
+
 ORACLE_SQL is None: neither a fitted model nor the tokenizer can be expressed in SQL. The tests
 compare the stages with brute-force versions.
 """
@@ -16,7 +21,7 @@ from pyspark.sql import functions as F
 from tabgrad.llm import decontaminate, mixing, quality, simhash, tokens
 from tabgrad.llm.common import read_table
 from tabgrad.llm.queries import MIXTURE, QUALITY_THRESHOLD
-from tabgrad.sources.store import materialize
+from tabgrad.sources.store import discard, materialize, scratch_path, scratch_scope
 
 ORACLE_SQL = None
 
@@ -75,8 +80,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; returns the rows of the last one."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over ``documents``; returns the rows of the last one.
+
+    A stage's own tables are deleted when its result is written, and a result when the next one is.
+    """
+    docs, path = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        kept = scratch_path(spark, name)
+        with scratch_scope(spark):
+            after = materialize(stage(spark, docs, sf_dir), path=kept)
+        if path:
+            discard(spark, path)
+        docs, path = after, kept
     return STAGES[-1][1](spark, docs, sf_dir)
