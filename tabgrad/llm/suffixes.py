@@ -20,12 +20,12 @@ goes through the shuffles, for the run of starts that share it, with a hash of t
 3. A class of more than ``GROUP`` contexts is split until its parts fit a task. A start at some
    distance before the anchor matches only if all bytes match that the distances of its range have
    in common, so each context is cut to the nearer and to the farther half of its distances, and
-   those with equal common bytes form a part. Parts that fit are sorted as in step 2; where one
-   distance is left, the common bytes are the whole string, and strings are counted as they are.
+   those with equal common bytes form a part. Equal cuts are repeated whole, and one stands for all.
+   Parts that fit are sorted as in step 2; where one distance is left, a cut is a whole string.
 4. The repeated starts of each document come back to its text.
 
 Hashes decide which rows meet and which contexts count as equal: 64 bits for the class and another
-64 for the context. What meets is compared byte by byte, whatever the size of the class. Texts are shuffled once, and that exchange serves steps 2 and 4.
+64 for the context, 128 for the cuts of step 3. What is sorted is compared byte by byte. Texts are shuffled once, and that exchange serves steps 2 and 4.
 
 Defined results: a null text is empty; texts shorter than ``least`` keep all. Repeated rows are
 documents of their own, so each removes the other, and with ``keep="first"`` they count as one.
@@ -58,9 +58,9 @@ _TOGETHER = 1 << 14  # contexts that a task sorts at once
 
 _CONTEXT_ARROW = pa.schema(
     [(c, pa.int64()) for c in ("part", "near", "far", "class", "context", "owner", "tie", "anchor", "before", "reach")]
-    + [("bytes", pa.binary())]
+    + [("bytes", pa.binary()), ("cut", pa.binary())]
 )
-_CONTEXT = ", ".join(f"{f.name} {'binary' if f.name == 'bytes' else 'bigint'}" for f in _CONTEXT_ARROW)
+_CONTEXT = ", ".join(f"{f.name} {'binary' if pa.types.is_binary(f.type) else 'bigint'}" for f in _CONTEXT_ARROW)
 CELL = "owner bigint, tie bigint, class bigint, context bigint, anchor bigint, low bigint, high bigint"
 
 
@@ -292,6 +292,7 @@ def _halves(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
                     continue
                 common = hashlib.blake2b(data[anchor - near : anchor + least - far], digest_size=8, salt=b"%d-%d" % (near, far))
                 common.update(row["part"].to_bytes(8, "little", signed=True))
+                cut = data[anchor - before : anchor + least - nearest]
                 out.append(
                     row
                     | {
@@ -300,46 +301,39 @@ def _halves(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
                         "far": far,
                         "before": before,
                         "reach": before - nearest,
-                        "bytes": data[anchor - before : anchor + least - nearest],
+                        "bytes": cut,
+                        "cut": hashlib.blake2b(cut, digest_size=16).digest(),
                     }
                 )
         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], _CONTEXT_ARROW.field(c).type) for c in names], names=names)
 
 
 def _split(contexts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
-    """Contexts of classes too large for a task: in parts that fit one, and cut to single strings.
+    """Contexts of classes too large for a task: in parts that fit one, and what is repeated whole.
 
     Each round halves the ranges of distances of the parts that are still too large, so rounds are
-    the logarithm of ``least`` at most, and a start is in one row at most of each round.
+    the logarithm of ``least`` at most. Where many contexts share a passage, its inner ranges become
+    equal cuts at once, and only the ranges that hold an end of it go on.
     """
-    same = ["part", "near", "far"]
-    fitting, strings = [], []
+    part = ["part", "near", "far"]
+    equal = [*part, "before", "reach", "cut"]
+    position = F.struct("owner", "tie", "anchor")
+    run = F.array(F.struct((F.col("before") - F.col("reach")).alias("from"), F.col("before").alias("to")))
+    fitting, whole = [], []
     while True:
         halves = materialize(contexts.mapInArrow(partial(_halves, least=least), _CONTEXT), "halves")
-        strings.append(halves.filter("near = far"))
-        open_ranges = halves.filter("near < far")
-        sizes = materialize(open_ranges.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "parts")
-        fitting.append(open_ranges.join(sizes.filter(F.col("n") <= GROUP), same, "left_semi"))
+        cuts = materialize(halves.groupBy(*equal).agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("first")), "cuts")
+        later = F.when(position != F.col("first"), run).otherwise(F.array().cast(_RUNS))
+        shared = halves.join(cuts.filter("n > 1"), equal)
+        whole.append(shared.select("class", "context", run.cast(_RUNS).alias("repeated"), later.alias("later")))
+        open_cuts = cuts.filter("near < far")
+        sizes = materialize(open_cuts.groupBy(*part).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "parts")
+        standing = halves.join(open_cuts.join(sizes, part, "left_semi").select(*equal, "first.*"), [*equal, "owner", "tie", "anchor"], "left_semi")
+        fitting.append(standing.join(sizes.filter(F.col("n") <= GROUP), part, "left_semi"))
         large = sizes.filter(F.col("n") > GROUP)
         if large.isEmpty():
-            return reduce(DataFrame.unionByName, fitting), reduce(DataFrame.unionByName, strings)
-        contexts = open_ranges.join(large, same, "left_semi")
-
-
-def _count_strings(strings: DataFrame) -> DataFrame:
-    """What ``_match`` gives, for contexts cut to a single string each."""
-    position = F.struct("owner", "tie", "anchor")
-    same = ["part", "bytes"]
-    counted = strings.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("first")).filter("n > 1")
-    hit = strings.join(counted, same).withColumn("later", F.when(position != F.col("first"), F.col("near")))
-    listed = hit.groupBy("class", "context").agg(F.sort_array(F.collect_set("near")).alias("repeated"), F.sort_array(F.collect_set("later")).alias("later"))
-
-    def runs(batches):
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            yield _matched(columns[0], columns[1], list(map(_runs, columns[2])), list(map(_runs, columns[3])))
-
-    return listed.mapInArrow(runs, _MATCHED)
+            return reduce(DataFrame.unionByName, fitting), reduce(DataFrame.unionByName, whole)
+        contexts = standing.join(large, part, "left_semi").select(*_CONTEXT_ARROW.names)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], least: int, with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -411,19 +405,19 @@ def remove_repeats(
             partial(_contexts, least=least),
             "class bigint, context bigint, owner bigint, tie bigint, anchor bigint, before bigint, reach bigint, bytes binary",
         )
-        .select(F.col("class").alias("part"), F.lit(0).cast("bigint").alias("near"), F.lit(far).cast("bigint").alias("far"), "*")
+        .select(F.col("class").alias("part"), F.lit(0).cast("bigint").alias("near"), F.lit(far).cast("bigint").alias("far"), "*", F.lit(b"").alias("cut"))
     )
     huge = classes.filter(F.col("n_contexts") > GROUP).select("class")
     any_huge = not huge.isEmpty()
     meeting = with_bytes.join(huge, "class", "left_anti") if any_huge else with_bytes
     if any_huge:
         # Step 3
-        fitting, strings = _split(with_bytes.join(huge, "class", "left_semi").select(*_CONTEXT_ARROW.names), least)
+        fitting, whole = _split(with_bytes.join(huge, "class", "left_semi").select(*_CONTEXT_ARROW.names), least)
         meeting = meeting.unionByName(fitting)
     meeting = meeting.repartition("part").sortWithinPartitions("part", "context")
     matched = meeting.mapInArrow(partial(_match, least=least), _MATCHED)
     if any_huge:
-        matched = matched.unionByName(_count_strings(strings))
+        matched = matched.unionByName(whole)
 
     # Step 4: starts of each document. What has an equal context is repeated whole, but for the first.
     equal = cells.join(contexts.filter("n > 1").select("class", "context", "first"), ["class", "context"])
