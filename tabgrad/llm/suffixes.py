@@ -25,7 +25,10 @@ goes through the shuffles, for the run of starts that share it, with a hash of t
 4. The repeated starts of each document come back to its text.
 
 Hashes decide which rows meet and which contexts count as equal: 64 bits for the class and another
-64 for the context, 128 for the cuts of step 3. What is sorted is compared byte by byte. Texts are shuffled once, and that exchange serves steps 2 and 4.
+64 for the context, 128 for the cuts of step 3. What is sorted is compared byte by byte. Texts are
+shuffled once, and that exchange serves steps 2 and 4. Step 3 runs before it and shuffles the texts
+that hold a context of a large class, and no others but by chance: a table of ``2**OWNER_BITS`` bits
+(2 MB), the only forced broadcast, sieves them in the scan, however many they are.
 
 Defined results: a null text is empty; texts shorter than ``least`` keep all. Repeated rows are
 documents of their own, so each removes the other, and with ``keep="first"`` they count as one.
@@ -44,11 +47,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabgrad.llm.exact import _marked, _place
 from tabgrad.llm.wordhash import mix, pieces, powers, sliding_min
 from tabgrad.sources.store import materialize
 
 LEAST = 400
 GROUP = 1024
+OWNER_BITS = 24
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 20  # places within a segment
 _SEGMENT = (1 << _BITS) - 1
@@ -336,6 +341,32 @@ def _split(contexts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
         contexts = standing.join(large, part, "left_semi").select(*_CONTEXT_ARROW.names)
 
 
+def _chosen(contexts: DataFrame, classes: DataFrame) -> DataFrame:
+    """``owner, tie, chosen``: for each document the contexts of ``classes`` that it stands for."""
+    chosen = contexts.join(classes.select("class"), "class").select("first.*", "class", "context").groupBy("owner", "tie")
+    return chosen.agg(F.collect_list(F.struct("class", "context", "anchor", "low", "high")).alias("chosen"))
+
+
+def _owning(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The documents that ``chosen`` names, and a few others whose bit is set by chance."""
+    owner = F.struct("owner", "tie")
+    at = chosen.select(_place(owner, OWNER_BITS).alias("_at"))
+    at = at.select(F.bitmap_bucket_number("_at").alias("_place"), F.bitmap_bit_position("_at").alias("_at"))
+    table = at.groupBy("_place").agg(F.bitmap_construct_agg("_at").alias("_bits"))
+    return _marked(rows, owner, table, OWNER_BITS, "_owning").filter("_owning").drop("_owning")
+
+
+def _with_bytes(texts: DataFrame, least: int) -> DataFrame:
+    """The chosen contexts of each text, a part for each class, with all their distances and bytes."""
+    far = least - least // 2
+    cut = texts.mapInArrow(
+        partial(_contexts, least=least),
+        "class bigint, context bigint, owner bigint, tie bigint, anchor bigint, before bigint, reach bigint, bytes binary",
+    )
+    whole = cut.select(F.col("class").alias("part"), F.lit(0).cast("bigint").alias("near"), F.lit(far).cast("bigint").alias("far"), "*", F.lit(b"").alias("cut"))
+    return whole.select(*_CONTEXT_ARROW.names)
+
+
 def _cut(batches: Iterator[pa.RecordBatch], least: int, with_text: bool) -> Iterator[pa.RecordBatch]:
     """Remove what the repeated starts cover."""
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -377,7 +408,8 @@ def remove_repeats(
     rows = documents.select(
         F.coalesce(doc_id, F.lit(0)).alias("owner"),
         F.xxhash64(body, doc_id.isNull()).alias("tie"),
-        doc_id.alias("doc_id"),
+        # Not the id itself: a bare column would be renamed on one side, and the exchange not reused.
+        doc_id.isNotNull().alias("known"),
         body.cast("binary").alias("body"),
     )
 
@@ -396,23 +428,14 @@ def remove_repeats(
     # Step 2: the bytes of the contexts that have to be compared, cut from the texts.
     same = ["owner", "tie"]
     placed = rows.repartition(*same)
-    chosen = contexts.join(classes.select("class"), "class").select("first.*", "class", "context").groupBy(*same)
-    chosen = chosen.agg(F.collect_list(F.struct("class", "context", "anchor", "low", "high")).alias("chosen"))
-    far = least - least // 2
-    with_bytes = (
-        placed.join(chosen, same)
-        .mapInArrow(
-            partial(_contexts, least=least),
-            "class bigint, context bigint, owner bigint, tie bigint, anchor bigint, before bigint, reach bigint, bytes binary",
-        )
-        .select(F.col("class").alias("part"), F.lit(0).cast("bigint").alias("near"), F.lit(far).cast("bigint").alias("far"), "*", F.lit(b"").alias("cut"))
-    )
-    huge = classes.filter(F.col("n_contexts") > GROUP).select("class")
+    huge = classes.filter(F.col("n_contexts") > GROUP)
     any_huge = not huge.isEmpty()
-    meeting = with_bytes.join(huge, "class", "left_anti") if any_huge else with_bytes
+    chosen = _chosen(contexts, classes.filter(F.col("n_contexts") <= GROUP))
+    meeting = _with_bytes(placed.join(chosen, same), least)
     if any_huge:
         # Step 3
-        fitting, whole = _split(with_bytes.join(huge, "class", "left_semi").select(*_CONTEXT_ARROW.names), least)
+        chosen = materialize(_chosen(contexts, huge), "owners")
+        fitting, whole = _split(_with_bytes(_owning(rows, chosen).join(chosen, same), least), least)
         meeting = meeting.unionByName(fitting)
     meeting = meeting.repartition("part").sortWithinPartitions("part", "context")
     matched = meeting.mapInArrow(partial(_match, least=least), _MATCHED)
@@ -433,7 +456,8 @@ def remove_repeats(
         )
     )
     runs = marked.groupBy(*same).agg(F.collect_set("run").alias("runs"))
-    return placed.join(runs, same, "left").select("doc_id", "body", "runs").mapInArrow(
+    named = F.when(F.col("known"), F.col("owner")).alias("doc_id")
+    return placed.join(runs, same, "left").select(named, "body", "runs").mapInArrow(
         partial(_cut, least=least, with_text=with_text),
         "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept_sha256 string, kept binary",
     )

@@ -128,3 +128,13 @@ def test_previous_factors():
         for d, members, later in factors(np.zeros(4, int), np.array([1, 0, 2, 3]), np.full(4, 2), contexts, 6)
     }
     assert found == {0: ([0, 1, 3], [0, 3]), 1: ([0, 1], [0]), 2: ([0, 2], [2])}
+
+
+def test_large_classes_take_only_their_own_texts(spark):
+    rows = spark.createDataFrame([(i, -i, i, b"x") for i in range(3000)], "owner long, tie long, doc_id long, body binary")
+    chosen = rows.filter("owner % 100 = 0").select("owner", "tie")
+    passed = operator._owning(rows, chosen)
+    assert passed.columns == rows.columns
+    assert chosen.exceptAll(passed.select("owner", "tie")).isEmpty()
+    assert passed.count() <= 32
+    assert operator._owning(rows, chosen.limit(0)).isEmpty()
