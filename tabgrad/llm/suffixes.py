@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabgrad.llm.exact import _marked, _place
+from tabgrad.llm.exact import _place
 from tabgrad.llm.wordhash import mix, pieces, powers, sliding_min
 from tabgrad.sources.store import materialize
 
@@ -353,7 +353,12 @@ def _owning(rows: DataFrame, chosen: DataFrame) -> DataFrame:
     at = chosen.select(_place(owner, OWNER_BITS).alias("_at"))
     at = at.select(F.bitmap_bucket_number("_at").alias("_place"), F.bitmap_bit_position("_at").alias("_at"))
     table = at.groupBy("_place").agg(F.bitmap_construct_agg("_at").alias("_bits"))
-    return _marked(rows, owner, table, OWNER_BITS, "_owning").filter("_owning").drop("_owning")
+    # A condition of the join, so that texts are not copied together with bits.
+    at = _place(owner, OWNER_BITS)
+    position = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (position % 8).cast("int")) == 1
+    return rows.join(F.broadcast(table), (F.bitmap_bucket_number(at) == F.col("_place")) & is_set, "left_semi")
 
 
 def _with_bytes(texts: DataFrame, least: int) -> DataFrame:
