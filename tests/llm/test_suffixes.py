@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import tabgrad.llm.suffixes as operator
@@ -138,3 +140,32 @@ def test_large_classes_take_only_their_own_texts(spark):
     assert chosen.exceptAll(passed.select("owner", "tie")).isEmpty()
     assert passed.count() <= 32
     assert operator._owning(rows, chosen.limit(0)).isEmpty()
+
+
+def test_anchors_of_many_texts_take_bounded_memory():
+    """A task's arrays follow its segments, not the rows that one batch brings."""
+    draw = np.random.default_rng(4)
+    rows = [draw.integers(97, 123, 6000, np.uint8).tobytes() for _ in range(800)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(800)), pa.array(range(800)), pa.array(rows)], names=["owner", "tie", "body"])
+    tracemalloc.start()
+    cells = sum(b.num_rows for b in operator._cells(iter([batch]), 400))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert cells > 800
+    assert peak < 40e6
+
+
+def test_a_stage_runs_one_python_worker_a_task(spark, monkeypatch):
+    """Every stage between two shuffles or scratch tables has one function of Python at most."""
+    monkeypatch.setattr(operator, "GROUP", 3)
+    counts, write = {}, operator.materialize
+
+    def watched(df, name):
+        counts.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString().count("MapInArrow"))
+        return write(df, name)
+
+    monkeypatch.setattr(operator, "materialize", watched)
+    rows = texts(7, 80, "abc")
+    assert run(spark, rows, 30) == plain(rows, 30)
+    assert len(counts["halves"]) > 1
+    assert set(counts["halves"]) == {1}
