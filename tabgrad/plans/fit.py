@@ -129,11 +129,7 @@ def fit(
     go to a table in parts, so the driver holds nothing that grows with the number of batches.
     """
     spark = train.sparkSession
-    strategy = choose_strategy(model) if config.strategy == "auto" else config.strategy
-    if strategy not in ("arrow", "hybrid", "relational"):
-        raise ValueError(f"unknown training strategy {strategy!r}")
-    if config.shuffle not in (None, "batches", "samples"):
-        raise ValueError(f"unknown shuffle {config.shuffle!r}")
+    strategy = _checked_strategy(model, config)
     trainer = _ArrowTrainer(model, config) if strategy == "arrow" else _TableTrainer(model, config, strategy)
     store = ModelStore(spark, config.store_path) if config.store_path else None
     progress, log = _Progress(), _StepLog(spark)
@@ -177,6 +173,15 @@ def fit(
     )
 
 
+def _checked_strategy(model: Model, config: TrainConfig) -> str:
+    strategy = choose_strategy(model) if config.strategy == "auto" else config.strategy
+    if strategy not in ("arrow", "hybrid", "relational"):
+        raise ValueError(f"unknown training strategy {strategy!r}")
+    if config.shuffle not in (None, "batches", "samples"):
+        raise ValueError(f"unknown shuffle {config.shuffle!r}")
+    return strategy
+
+
 def fit_features(
     features: DataFrame,
     labels: DataFrame,
@@ -186,19 +191,33 @@ def fit_features(
 ) -> FitResult:
     """Train from long tables: ``(sample_id, idx, value)`` and ``(sample_id, true_label)``.
 
-    The elements of a sample are gathered once, so that a batch is a range of samples; ``validation``
-    is such a pair of tables.
+    The elements of a sample are gathered once and written, so that a batch is a range of samples;
+    ``validation`` is such a pair of tables, gathered once as well, or the same pair. What was
+    written is deleted at the end.
     """
-    strategy = choose_strategy(model) if config.strategy == "auto" else config.strategy
+    spark = features.sparkSession
+    strategy = _checked_strategy(model, config)
+    written: list[str] = []
 
     def rows(pair: tuple[DataFrame, DataFrame]) -> DataFrame:
         if strategy == "arrow":
             samples = gather_vectors(pair[0], model.layers[0])
         else:
             samples = gather_entries(known_elements(pair[0], model.layers[0]))
-        return labelled_samples(samples, pair[1], model.n_classes)
+        written.append(scratch_path(spark, "samples"))
+        return materialize(labelled_samples(samples, pair[1], model.n_classes), path=written[-1])
 
-    return fit(rows((features, labels)), model, config, validation and rows(validation))
+    if not 0 < abs(config.validate_every) <= config.epochs:
+        validation = None  # never read
+    try:
+        train = rows((features, labels))
+        if validation is not None:
+            same = validation[0] is features and validation[1] is labels
+            validation = train if same else rows(validation)
+        return fit(train, model, config, validation)
+    finally:
+        for path in written:
+            discard(spark, path)
 
 
 def _elements(rows: DataFrame, model: Model) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabgrad.functions.arrays import argmax_array, dense_forward, softmax_array
 from tabgrad.operators.codec import pixels_to_array, sum_repeats
@@ -26,6 +27,8 @@ from tabgrad.operators.layers import (
 from tabgrad.operators.metrics import clamped_loss, flag, score_samples
 from tabgrad.plans.kernels import (
     grade_rows,
+    merge_entries,
+    partial_entries,
     partial_products,
     place_entries,
     predict_rows,
@@ -135,15 +138,29 @@ def gather_entries(features: DataFrame, unique: bool = False) -> DataFrame:
     return rows.groupBy("sample_id").agg(entries)
 
 
-def gather_vectors(features: DataFrame, width: int, unique: bool = False) -> DataFrame:
-    """``(sample_id, x)`` with gaps filled, placed by a kernel instead of sorted."""
+def gather_vectors(features: DataFrame, width: int) -> DataFrame:
+    """``(sample_id, x)`` with gaps filled and repeats summed.
 
-    @F.arrow_udf("array<double>")
-    def place(idx: pa.Array, value: pa.Array) -> pa.Array:
-        return to_lists(place_entries(idx, value, width))
+    The elements of a sample become lists where they are read. One shuffle brings the lists of a
+    sample together, and a kernel adds them up one after the other, so no group is ever held.
+    """
+    known = known_elements(features, width)
+    sample_id = T.StructField("sample_id", known.schema["sample_id"].dataType)
+    rows = known.select(
+        "sample_id", F.col("idx").cast("int").alias("idx"), F.col("value").cast("double").alias("value")
+    )
+
+    def partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return partial_entries(batches, width)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return merge_entries(batches, width)
 
-    entries = gather_entries(known_elements(features, width), unique)
-    return entries.select("sample_id", place("entries.idx", "entries.value").alias("x"))
+    doubles = T.ArrayType(T.DoubleType())
+    lists = T.StructType([sample_id]).add("idx", T.ArrayType(T.IntegerType())).add("value", doubles)
+    spread = rows.mapInArrow(partials, lists).repartition("sample_id")
+    vectors = T.StructType([sample_id]).add("x", doubles)
+    return spread.sortWithinPartitions("sample_id").mapInArrow(merged, vectors)
 
 
 def score_predictions(

@@ -17,6 +17,7 @@ Matrices = Sequence[tuple[np.ndarray, np.ndarray]]
 
 GRADIENT_SCHEMA = "block int, slice int, n bigint, loss_sum double, correct bigint, grad array<double>"
 LOG_FLOOR = 1e-10
+VECTOR_BYTES = 8 << 20  # vectors that a gathering task holds at once
 
 
 def to_matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -30,10 +31,16 @@ def to_matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.asarray(flat.cast(pa.float64())).reshape(len(column), width)
 
 
-def place_entries(idx: pa.Array, value: pa.Array, width: int) -> np.ndarray:
-    """Lists of (idx, value) per sample as an (n, width) matrix; gaps are 0.0, repeats are summed."""
-    n = len(idx)
-    rows = np.repeat(np.arange(n), np.asarray(pc.list_value_length(idx)))
+def place_entries(
+    idx: pa.Array, value: pa.Array, width: int, owner: np.ndarray | None = None
+) -> np.ndarray:
+    """Lists of (idx, value) per sample as an (n, width) matrix; gaps are 0.0, repeats are summed.
+
+    ``owner`` is each list's row of the matrix, ascending, where samples have several lists.
+    """
+    owner = np.arange(len(idx)) if owner is None else owner
+    n = int(owner[-1]) + 1 if len(owner) else 0
+    rows = np.repeat(owner, np.asarray(pc.list_value_length(idx)))
     columns = np.asarray(idx.flatten()).astype(np.int64)
     values = value.flatten()
     values = np.asarray(values.fill_null(0.0) if values.null_count else values)
@@ -97,6 +104,71 @@ def partial_products(
             )
 
 
+def partial_entries(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Per Arrow batch and sample, the elements as lists ``(sample_id, idx, value)``, repeats summed.
+
+    Elements lie inside the layer and are not NULL. A sample that spans batches gives several rows.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        samples = batch.column("sample_id").dictionary_encode("encode")
+        key = np.asarray(samples.indices).astype(np.int64) * width + np.asarray(batch.column("idx"))
+        value = np.asarray(batch.column("value"))
+        if (np.diff(key) <= 0).any():
+            order = np.argsort(key, kind="stable")
+            key, value = key[order], value[order]
+            firsts = np.append(0, np.flatnonzero(np.diff(key)) + 1)
+            key, value = key[firsts], np.add.reduceat(value, firsts)
+        owner = key // width
+        # Every number of the dictionary occurs, so the runs are its samples in their order.
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        offsets = pa.array(np.append(starts, len(owner)).astype(np.int32))
+        idx = pa.array((key - owner * width).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [
+                samples.dictionary,
+                pa.ListArray.from_arrays(offsets, idx),
+                pa.ListArray.from_arrays(offsets, pa.array(value)),
+            ],
+            names=["sample_id", "idx", "value"],
+        )
+
+
+def merge_entries(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """``(sample_id, x)`` from rows of ``partial_entries`` that arrive sorted by sample.
+
+    Holds one sample's sum and ``VECTOR_BYTES`` of others, however many rows a sample has.
+    """
+    at_once = max(1, VECTOR_BYTES // (8 * width))
+    held = None
+
+    def vectors(ids: pa.Array, x: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([ids, to_lists(x)], names=["sample_id", "x"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        samples = batch.column("sample_id").dictionary_encode("encode")
+        ids, owner = samples.dictionary, np.asarray(samples.indices).astype(np.int64)
+        edges = np.append(np.flatnonzero(np.diff(owner, prepend=-1)), len(owner))
+        for low in range(0, len(ids), at_once):
+            high = min(low + at_once, len(ids))
+            start, end = int(edges[low]), int(edges[high])
+            part = batch.slice(start, end - start)
+            x = place_entries(part.column("idx"), part.column("value"), width, owner[start:end] - low)
+            if held is not None:
+                if held[0].equals(ids.slice(low, 1)):
+                    x[0] += held[1][0]
+                else:
+                    yield vectors(*held)
+            held = ids.slice(high - 1, 1), x[-1:].copy()
+            if high - low > 1:
+                yield vectors(ids.slice(low, high - low - 1), x[:-1])
+    if held is not None:
+        yield vectors(*held)
+
+
 def softmax_rows(logits: np.ndarray) -> np.ndarray:
     shifted = np.exp(logits - logits.max(axis=1, keepdims=True))
     return shifted / shifted.sum(axis=1, keepdims=True)

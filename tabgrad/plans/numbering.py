@@ -16,12 +16,24 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slice_count(df: DataFrame, target_bytes: int | None = None) -> int:
-    """Slices of about ``target_bytes`` by the optimizer's estimate, one per shuffle partition at least.
+def estimated_bytes(plan) -> int:
+    """The optimizer's estimate for a logical plan, but for joins the sum of their sides.
 
-    The estimate of a plan with joins can be far too high, so the count ends at MOST_SLICES.
+    Without statistics of columns its own estimate of a join is the product of the sides.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = int(str(plan.stats().sizeInBytes()))
+    children = plan.children()
+    sides = [children.apply(k) for k in range(children.size())]
+    given = sum(int(str(side.stats().sizeInBytes())) for side in sides)
+    if not given:
+        return size
+    followed = sum(estimated_bytes(side) for side in sides)
+    return followed * (size if len(sides) == 1 else min(size, given)) // given
+
+
+def slice_count(df: DataFrame, target_bytes: int | None = None) -> int:
+    """Slices of about ``target_bytes`` by ``estimated_bytes``, one per shuffle partition at least."""
+    size = estimated_bytes(df._jdf.queryExecution().optimizedPlan())
     wanted = -(-size // (SLICE_BYTES if target_bytes is None else target_bytes))
     return max(shuffle_partitions(df), min(wanted, MOST_SLICES))
 
